@@ -26,6 +26,7 @@ from frostline.plans.staging import (
     STAGED_COLUMNS,
     stage_markets,
     stage_prices,
+    stage_routes,
     stage_telemetry,
 )
 from frostline.sources import reference as ref
@@ -198,7 +199,7 @@ class Marts:
         self.prices = stage_prices(
             raw_prices or ref.raw_prices(spark), F.lit("2026-09-21 06:00:00")
         )
-        self.raw_routes = raw_routes or ref.raw_routes(spark)
+        self.routes = stage_routes(raw_routes or ref.raw_routes(spark))
 
     @property
     def health(self) -> DataFrame:

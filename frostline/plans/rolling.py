@@ -109,9 +109,10 @@ def _this_row() -> Column:
     return F.struct(*SENSORS)
 
 
-def _add_features(df: DataFrame, rows: int) -> DataFrame:
+def add_features(df: DataFrame) -> DataFrame:
+    """Features of readings that carry the readings before them."""
     df = df.withColumn("_now", _this_row())
-    window = ["_now", *[f"previous_{i}" for i in range(1, rows)]]
+    window = ["_now", *[f"previous_{i}" for i in range(1, ANOMALY_ROWS)]]
     return with_specs(df).withColumns(window_of([F.col(c) for c in window])).drop("_now")
 
 
@@ -128,7 +129,7 @@ def rolling_features(
         ANOMALY_ROWS - 1 + extra,
         rows_per_chunk,
     )
-    return _add_features(lagged, ANOMALY_ROWS)
+    return add_features(lagged)
 
 
 def latest_features(staged: DataFrame) -> DataFrame:
@@ -138,7 +139,8 @@ def latest_features(staged: DataFrame) -> DataFrame:
     lagged = last.withColumns(
         {f"previous_{i}": F.lead(_this_row(), i).over(older) for i in range(1, ANOMALY_ROWS)}
     )
-    return _add_features(lagged.filter(F.col("_rank") == 1).drop("_rank"), ANOMALY_ROWS)
+    older_rows = [f"previous_{i}" for i in range(1, ANOMALY_ROWS)]
+    return add_features(lagged.filter(F.col("_rank") == 1)).drop("_rank", *older_rows)
 
 
 def with_risk(features: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from frostline.functions.documents import iso_time
+
 REQUIRED_FIELDS = [
     "timestamp",
     "container_id",
@@ -76,7 +78,7 @@ RAW_DEFAULTS = {
 
 def natural_record_id() -> F.Column:
     """Stable id of a reading that came without one."""
-    return F.md5(F.concat_ws("|", "container_id", F.col("timestamp").cast("string")))
+    return F.md5(F.concat_ws("|", "container_id", iso_time(F.col("timestamp"))))
 
 
 def apply_defaults(df: DataFrame, table: str, as_of: F.Column | None = None) -> DataFrame:

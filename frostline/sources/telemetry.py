@@ -138,12 +138,11 @@ def raw_feed(df: DataFrame) -> DataFrame:
 def resent(df: DataFrame) -> DataFrame:
     """Readings with retries: some arrive again, up to three times, at later times."""
     copies = F.when(_every(40), 3).when(_every(10), 2).otherwise(1)
+    later = F.col("ingestion_timestamp") + F.make_dt_interval(mins="copy")
     return (
         df.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
-        .withColumn(
-            "ingestion_timestamp", F.col("ingestion_timestamp") + F.make_dt_interval(mins="copy")
-        )
-        .withColumn("record_id", F.concat("record_id", F.lit("_"), "copy"))
+        .withColumn("ingestion_timestamp", later)
+        .drop("copy")
     )
 
 
@@ -226,3 +225,57 @@ def route_surveys(df: DataFrame) -> DataFrame:
         F.when(~_every(5), F.lit(0.5) + (F.col("k") % 50) / 100.0).alias("road_condition_index"),
         "event_id",
     )
+
+
+def observed_markets(df: DataFrame, markets: DataFrame) -> DataFrame:
+    """Market rows as seen from the fleet: located where the containers bound for it report."""
+    seen = df.groupBy(F.col("destination").alias("market_name")).agg(
+        round_half_up(F.avg("latitude"), 4).alias("latitude"),
+        round_half_up(F.avg("longitude"), 4).alias("longitude"),
+    )
+    return markets.drop("latitude", "longitude").join(seen, "market_name").select(markets.columns)
+
+
+def visited_markets(df: DataFrame, markets: DataFrame) -> DataFrame:
+    """Markets that some container started from."""
+    starts = df.select(F.col("origin").alias("market_name")).distinct()
+    return markets.join(starts, "market_name", "left_semi").select(markets.columns)
+
+
+def observed_routes(df: DataFrame, routes: DataFrame) -> DataFrame:
+    """Corridor rows as driven, with the way back as a corridor of its own."""
+    speed = df.groupBy("origin", "destination").agg(F.avg("speed_kmh").alias("speed"))
+    there = (
+        routes.join(speed, ["origin", "destination"])
+        .withColumn("distance_km", round_half_up(F.col("distance_km") * 1.01, 2))
+        .withColumn(
+            "estimated_transit_hours", round_half_up(F.col("distance_km") / F.col("speed"), 2)
+        )
+        .select(routes.columns)
+    )
+    back = there.withColumns(
+        {
+            "route_id": F.concat("route_id", F.lit("_R")),
+            "origin": F.col("destination"),
+            "destination": F.col("origin"),
+        }
+    )
+    return there.unionByName(back)
+
+
+def authorised_reroutes(df: DataFrame) -> DataFrame:
+    """Reroute authorisations: containers may be named more than once."""
+    return df.filter((F.col("event_type") == "purchase") & (F.col("k") == 7)).select("container_id")
+
+
+def seed_readings(spark: SparkSession) -> DataFrame:
+    """The sample fleet's first readings as raw rows."""
+    columns = "timestamp, " + ", ".join(READING_COLUMNS[3:])
+    rows = ref.local_table(spark, columns, ref.SEED_READINGS)
+    clock = F.col("timestamp").cast("timestamp_ntz")
+    return rows.select(
+        F.concat_ws("_", F.lit("SEED"), "container_id", F.date_format(clock, "HH")).alias("record_id"),
+        clock.alias("ingestion_timestamp"),
+        clock.alias("timestamp"),
+        *READING_COLUMNS[3:],
+    )
