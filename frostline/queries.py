@@ -72,10 +72,16 @@ def src_json(spark, sf_dir):
     return files.read_event_arrays(spark, path)
 
 
+def _doubles(df: DataFrame) -> DataFrame:
+    """Fixed-point columns as doubles, for comparing results."""
+    fixed = [f.name for f in df.schema if f.dataType.typeName() == "decimal"]
+    return df.withColumns({c: F.col(c).cast("double") for c in fixed})
+
+
 def _csv(spark, df: DataFrame, table: str) -> DataFrame:
     path = tables.work_folder(spark, f"csv-{table}")
     df.write.option("header", True).csv(path)
-    return files.read_reference_csv(spark, path, table)
+    return _doubles(files.read_reference_csv(spark, path, table))
 
 
 def src_csv_prices(spark, sf_dir):
@@ -126,11 +132,7 @@ def raw_defaults(spark, sf_dir):
         }
     )
     filled = schemas.apply_defaults(sparse, "sensor_telemetry", _time())
-    doubles = ["temperature_c", "humidity_pct", "vibration_g", "latitude", "longitude", "speed_kmh"]
-    return filled.withColumns(
-        {c: F.col(c).cast("double") for c in doubles}
-        | {"quantity_kg": F.col("quantity_kg").cast("bigint")}
-    )
+    return _doubles(filled)
 
 
 def dim_reference(spark, sf_dir):
@@ -244,7 +246,7 @@ def validate_events(spark, sf_dir):
         "record_id",
         "container_id",
         "temperature_c",
-        "quantity_kg",
+        F.col("quantity_kg").cast("double").alias("quantity_kg"),
         (F.size("errors") == 0).alias("is_valid"),
         F.array_join("errors", "; ").alias("cause"),
     )
