@@ -11,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is cut when it exceeds this many rows and one part in HOT_PARTS of all rows.
+# A key with more rows than this is cut.
 ROWS_PER_CHUNK = 5_000_000
-HOT_PARTS = 10_000
+# So many keys at most, the largest ones, are cut. Any other key then holds less than
+# one part in HOT_KEYS of the rows, and one task sorts it whole.
+HOT_KEYS = 10_000
 
 _FIRST_CHUNK = -(2**63)
 
@@ -25,19 +27,19 @@ def _seconds(clock: Column) -> Column:
 
 
 def hot_keys(df: DataFrame, key: str, clock: str, rows_per_chunk: int) -> DataFrame:
-    """Keys to cut and the width of their chunks in seconds.
+    """Keys to cut and the width of their chunks in seconds: HOT_KEYS rows at most.
 
-    Counting per key and hour combines before the shuffle. At most HOT_PARTS keys can
-    each hold more than one part in HOT_PARTS of the rows, which bounds the result.
+    Counting per key and hour reads two columns and combines before the shuffle.
     """
-    hours = df.groupBy(key, F.floor(_seconds(F.col(clock)) / 3600).alias("_hour")).count()
+    hour = F.floor(_seconds(F.col(clock)) / 3600)
+    hours = df.filter(F.col(key).isNotNull()).groupBy(key, hour.alias("_hour")).count()
     sizes = hours.groupBy(key).agg(
         F.sum("count").alias("_rows"), F.max("count").alias("_densest")
     )
-    floor = F.greatest(F.lit(rows_per_chunk), sizes.agg(F.sum("_rows")).scalar() / HOT_PARTS)
-    return sizes.filter(F.col("_rows") > floor).select(
-        key, (3600.0 * rows_per_chunk / F.col("_densest")).alias("_width")
-    )
+    largest = (
+        sizes.filter(F.col("_rows") > rows_per_chunk).orderBy(F.col("_rows").desc(), key)
+    ).limit(HOT_KEYS)
+    return largest.select(key, (3600.0 * rows_per_chunk / F.col("_densest")).alias("_width"))
 
 
 def with_previous(

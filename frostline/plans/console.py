@@ -22,8 +22,8 @@ HISTORY_ROWS = 30
 REROUTED_MARK = " (Rerouted)"
 
 
-def console_state(staged: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-    return rolling_decision(staged, ref.CONSOLE_DESK, overrides)
+def console_state(readings: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
+    return rolling_decision(readings, ref.CONSOLE_DESK, overrides)
 
 
 def fleet_records(state: DataFrame) -> DataFrame:
@@ -131,10 +131,10 @@ def console_kpis(state: DataFrame) -> DataFrame:
     )
 
 
-def history_series(staged: DataFrame) -> DataFrame:
+def history_series(readings: DataFrame) -> DataFrame:
     """The last readings of each container, numbered, with labels aligned at the newest."""
     last = newest_per_container(
-        staged.select(
+        readings.select(
             "container_id",
             "telemetry_timestamp",
             "record_id",
@@ -178,13 +178,13 @@ def _part(df: DataFrame, section: str, key, fields: dict) -> DataFrame:
     )
 
 
-def console_document(staged: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
+def console_document(readings: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
     """The console document as one row per entry.
 
     A document in one value would gather the fleet in one task. Here each container,
     its history of at most thirty rows, each market and the indicators are entries.
     """
-    state = console_state(staged, overrides)
+    state = console_state(readings, overrides)
     fleet, arbitrage, kpis = fleet_records(state), arbitrage_records(state), console_kpis(state)
     points = F.array_sort(
         F.collect_list(
@@ -198,7 +198,7 @@ def console_document(staged: DataFrame, overrides: DataFrame | None = None) -> D
             )
         )
     )
-    history = history_series(staged).groupBy("container_id").agg(points.alias("points"))
+    history = history_series(readings).groupBy("container_id").agg(points.alias("points"))
     name = F.col("container_id")
     parts = [
         _part(
@@ -269,7 +269,7 @@ def console_document(staged: DataFrame, overrides: DataFrame | None = None) -> D
             F.to_json("points", {"ignoreNullFields": "false"}).alias("body"),
         ),
         _part(
-            ref.console_markets(staged.sparkSession),
+            ref.console_markets(readings.sparkSession),
             "markets",
             F.col("market_name"),
             {

@@ -28,6 +28,7 @@ from frostline.plans.staging import (
     stage_prices,
     stage_routes,
     stage_telemetry,
+    type_readings,
 )
 from frostline.sources import reference as ref
 
@@ -194,6 +195,7 @@ class Marts:
     ):
         spark = raw_telemetry.sparkSession
         self.spark = spark
+        self.typed = type_readings(raw_telemetry)
         self.staged = stage_telemetry(raw_telemetry)
         self.markets = stage_markets(raw_markets or ref.raw_markets(spark))
         self.prices = stage_prices(

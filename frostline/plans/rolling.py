@@ -117,11 +117,11 @@ def add_features(df: DataFrame) -> DataFrame:
 
 
 def rolling_features(
-    staged: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, extra: int = 0
+    readings: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, extra: int = 0
 ) -> DataFrame:
     """Trailing means and anomaly count at every reading."""
     lagged = with_previous(
-        staged.select(*STAGED_COLUMNS),
+        readings.select(*STAGED_COLUMNS),
         "container_id",
         ["telemetry_timestamp", "record_id"],
         "telemetry_timestamp",
@@ -132,9 +132,9 @@ def rolling_features(
     return add_features(lagged)
 
 
-def latest_features(staged: DataFrame) -> DataFrame:
+def latest_features(readings: DataFrame) -> DataFrame:
     """The same at each container's newest reading only, from its last five rows."""
-    last = newest_per_container(staged.select(*STAGED_COLUMNS), ANOMALY_ROWS, rank="_rank")
+    last = newest_per_container(readings.select(*STAGED_COLUMNS), ANOMALY_ROWS, rank="_rank")
     older = Window.partitionBy("container_id").orderBy(*newest_first())
     lagged = last.withColumns(
         {f"previous_{i}": F.lead(_this_row(), i).over(older) for i in range(1, ANOMALY_ROWS)}
@@ -228,8 +228,8 @@ def transitions(scored: DataFrame) -> DataFrame:
     )
 
 
-def risk_transitions(staged: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    features = rolling_features(staged, rows_per_chunk, extra=1)
+def risk_transitions(readings: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    features = rolling_features(readings, rows_per_chunk, extra=1)
     return transitions(with_previous_score(with_risk(features)))
 
 
@@ -377,15 +377,15 @@ def decision_columns(decided: DataFrame) -> DataFrame:
 
 
 def rolling_decision(
-    staged: DataFrame, desk: ref.Desk = ref.DESK, overrides: DataFrame | None = None
+    readings: DataFrame, desk: ref.Desk = ref.DESK, overrides: DataFrame | None = None
 ) -> DataFrame:
-    return decide(with_risk(latest_features(staged)), desk, overrides)
+    return decide(with_risk(latest_features(readings)), desk, overrides)
 
 
-def reading_status(staged: DataFrame) -> DataFrame:
+def reading_status(readings: DataFrame) -> DataFrame:
     """Temperature status of every reading."""
     t = F.col("temperature_c")
     status = F.when(t <= 8.0, "OPTIMAL").when(t <= 12.0, "WARNING").otherwise("CRITICAL RISK")
-    return staged.select(
+    return readings.select(
         "record_id", "container_id", "telemetry_timestamp", "temperature_c", status.alias("status")
     )

@@ -78,9 +78,9 @@ def alert_flags(df: DataFrame) -> DataFrame:
     )
 
 
-def stage_telemetry(raw: DataFrame) -> DataFrame:
-    """Raw readings to 22 typed columns; rows without container or time text are dropped."""
-    typed = raw.filter(F.col("container_id").isNotNull() & F.col("timestamp").isNotNull()).select(
+def type_readings(raw: DataFrame) -> DataFrame:
+    """Raw readings trimmed, typed and defaulted; rows without container or time text are dropped."""
+    return raw.filter(F.col("container_id").isNotNull() & F.col("timestamp").isNotNull()).select(
         "record_id",
         _time("timestamp").alias("telemetry_timestamp"),
         *_trim("container_id", "shipment_id", "commodity"),
@@ -93,7 +93,11 @@ def stage_telemetry(raw: DataFrame) -> DataFrame:
         F.coalesce(F.trim("anomaly_mode"), F.lit("NORMAL")).alias("anomaly_mode"),
         "ingestion_timestamp",
     )
-    return alert_flags(typed).select(*STAGED_COLUMNS, "ingestion_timestamp", *FLAG_COLUMNS)
+
+
+def stage_telemetry(raw: DataFrame) -> DataFrame:
+    """Raw readings to 22 typed columns."""
+    return alert_flags(type_readings(raw)).select(*STAGED_COLUMNS, "ingestion_timestamp", *FLAG_COLUMNS)
 
 
 def stage_prices(raw: DataFrame, as_of: Column) -> DataFrame:

@@ -44,8 +44,12 @@ def _mart_query(build):
     return lambda spark, sf_dir: build(_marts(spark, sf_dir))
 
 
-def _staged_query(build):
-    return lambda spark, sf_dir: build(_marts(spark, sf_dir).staged)
+def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.type_readings(feed.readings(spark, sf_dir))
+
+
+def _typed_query(build):
+    return lambda spark, sf_dir: build(_typed(spark, sf_dir))
 
 
 def _time() -> F.Column:
@@ -306,7 +310,7 @@ def dim_market_query(spark, sf_dir):
 
 def _console_state(spark, sf_dir):
     readings = feed.readings(spark, sf_dir)
-    return console.console_state(Marts(readings).staged, feed.authorised_reroutes(readings))
+    return console.console_state(staging.type_readings(readings), feed.authorised_reroutes(readings))
 
 
 def _console_arbitrage(spark, sf_dir):
@@ -322,21 +326,21 @@ def _console_table(spark, sf_dir):
 
 def console_document(spark, sf_dir):
     readings = feed.readings(spark, sf_dir)
-    return console.console_document(Marts(readings).staged, feed.authorised_reroutes(readings))
+    return console.console_document(staging.type_readings(readings), feed.authorised_reroutes(readings))
 
 
 def rolling_features(spark, sf_dir):
-    return rolling.feature_columns(rolling.rolling_features(_marts(spark, sf_dir).staged))
+    return rolling.feature_columns(rolling.rolling_features(_typed(spark, sf_dir)))
 
 
 def rolling_risk(spark, sf_dir):
-    features = rolling.rolling_features(_marts(spark, sf_dir).staged)
+    features = rolling.rolling_features(_typed(spark, sf_dir))
     return rolling.risk_columns(rolling.with_risk(features))
 
 
 def rolling_decision(desk: ref.Desk):
     return lambda spark, sf_dir: rolling.decision_columns(
-        rolling.rolling_decision(_marts(spark, sf_dir).staged, desk)
+        rolling.rolling_decision(_typed(spark, sf_dir), desk)
     )
 
 
@@ -345,7 +349,7 @@ def _decisions(spark, sf_dir):
 
 
 def scenario_sweep(spark, sf_dir):
-    sweep = scenario.scenario_sweep(rolling.latest_features(_marts(spark, sf_dir).staged))
+    sweep = scenario.scenario_sweep(rolling.latest_features(_typed(spark, sf_dir)))
     return sweep.withColumn("temperature_c", round_half_up(F.col("temperature_c"), 2))
 
 
@@ -354,7 +358,7 @@ def filter_bucket(spark, sf_dir):
 
 
 def critical_alerts(spark, sf_dir):
-    raised = alerts.with_reasons(_marts(spark, sf_dir).staged)
+    raised = alerts.with_reasons(_typed(spark, sf_dir))
     return alerts.alert_lines(alerts.alert_documents(raised))
 
 
@@ -385,7 +389,7 @@ def stream_ingest(spark, sf_dir):
 
 def stream_alerts(spark, sf_dir):
     folder = tables.work_folder(spark, "alerts")
-    staged = staging.stage_telemetry(_stream(spark, sf_dir))
+    staged = staging.type_readings(_stream(spark, sf_dir))
     jobs.run_to_end(jobs.alert_stream(staged, folder))
     return spark.read.parquet(f"{folder}/alerts")
 
@@ -398,7 +402,7 @@ def stream_dedup(spark, sf_dir):
 
 def _scored_stream(spark, sf_dir):
     folder = tables.work_folder(spark, "rolling")
-    jobs.run_to_end(jobs.rolling_stream(staging.stage_telemetry(_stream(spark, sf_dir)), folder))
+    jobs.run_to_end(jobs.rolling_stream(staging.type_readings(_stream(spark, sf_dir)), folder))
     return folder
 
 
@@ -413,7 +417,7 @@ def stream_transitions(spark, sf_dir):
 
 def stream_latest(spark, sf_dir):
     folder = tables.work_folder(spark, "latest")
-    jobs.run_to_end(jobs.latest_stream(staging.stage_telemetry(_stream(spark, sf_dir)), folder))
+    jobs.run_to_end(jobs.latest_stream(staging.type_readings(_stream(spark, sf_dir)), folder))
     return jobs.latest_rows(spark, folder)
 
 
@@ -505,13 +509,13 @@ QUERIES = {
     "filter_values": _mart_query(lambda m: filters.filter_values(m.arbitrage, m.readings)),
     "filter_values_risk": _mart_query(lambda m: filters.filter_values_risk(m.arbitrage)),
     "critical_alerts": critical_alerts,
-    "risk_transitions": _staged_query(rolling.risk_transitions),
+    "risk_transitions": _typed_query(rolling.risk_transitions),
     "rolling_features": rolling_features,
     "rolling_risk": rolling_risk,
     "rolling_decision": rolling_decision(ref.DESK),
     "rolling_decision_catalogue": rolling_decision(ref.CATALOGUE_DESK),
-    "reading_status": _staged_query(rolling.reading_status),
-    "history_series": _staged_query(console.history_series),
+    "reading_status": _typed_query(rolling.reading_status),
+    "history_series": _typed_query(console.history_series),
     "console_table": _console_table,
     "console_kpis": lambda s, d: console.console_kpis(_console_state(s, d)),
     "console_document": console_document,

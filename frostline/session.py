@@ -15,6 +15,8 @@ def local_session(cores: int | None = None, **conf: str) -> SparkSession:
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
+        # Do not record a Python call site for every column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName("frostline")

@@ -54,50 +54,44 @@ def events_stream(spark: SparkSession, folder: str, files_per_trigger: int = 100
     )
 
 
-def _pick(values: list, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(values: list, index: str) -> str:
+    listed = ", ".join(ref.sql_literal(v) for v in values)
+    return f"element_at(array({listed}), int({index} % {len(values)} + 1))"
 
 
 def from_events(df: DataFrame) -> DataFrame:
     """Readings with the raw telemetry columns, and the event's own columns beside them."""
-    event, user = F.col("event_id"), F.col("user_id")
     place = {m[1]: m for m in ref.MARKETS}
     centre = {e[0]: e[3] for e in ref.ENVELOPES}
-    route = user % len(ref.ROUTES)
-    kind = user % len(ref.COMMODITIES)
-    failing = F.col("event_type") == "error"
-
-    def along(axis: int) -> Column:
-        start = _pick([place[r[1]][axis] for r in ref.ROUTES], route)
-        end = _pick([place[r[2]][axis] for r in ref.ROUTES], route)
-        return round_half_up(start + (end - start) * (F.col("k") % 100) / 100.0, 4)
-
-    df = df.withColumn("k", F.regexp_extract("props", "([0-9]+)", 1).cast("int"))
-    return df.select(
-        F.concat(F.lit("REC_"), event).alias("record_id"),
-        F.col("ts").alias("ingestion_timestamp"),
-        F.col("ts").alias("timestamp"),
-        F.concat(F.lit("CONT_"), user).alias("container_id"),
-        F.concat(F.lit("SHIP_"), user).alias("shipment_id"),
-        _pick(ref.COMMODITIES, kind).alias("commodity"),
-        (
-            _pick([centre[c] for c in ref.COMMODITIES], kind)
-            + ((event * 7 + F.col("k")) % 121 - 40) / 10.0
-        ).alias("temperature_c"),
-        (F.lit(72.0) + ((event * 13 + F.col("k")) % 280) / 10.0).alias("humidity_pct"),
-        (((event * 17 + F.col("k")) % 45) / 100.0).alias("vibration_g"),
-        along(2).alias("latitude"),
-        along(3).alias("longitude"),
-        _pick([r[1] for r in ref.ROUTES], route).alias("origin"),
-        _pick([r[2] for r in ref.ROUTES], route).alias("destination"),
-        (8000 + 1000 * route).cast("bigint").alias("quantity_kg"),
-        (20 + event % 60).cast("double").alias("speed_kmh"),
-        (F.col("event_type") == "signup").alias("door_open"),
-        F.when(failing & (F.col("k") % 2 == 0), "FAILURE")
-        .when(failing, "DEGRADED")
-        .otherwise("NORMAL")
-        .alias("compressor_status"),
-        F.when(failing, "REFRIGERATION_FAULT").otherwise("NORMAL").alias("anomaly_mode"),
+    starts, ends = [r[1] for r in ref.ROUTES], [r[2] for r in ref.ROUTES]
+
+    def along(axis: int) -> str:
+        start = _pick([place[name][axis] for name in starts], "user_id")
+        leg = _pick([place[e][axis] - place[s][axis] for s, e in zip(starts, ends)], "user_id")
+        return f"double(round(cast({start} + {leg} * (k % 100) / 100d AS decimal(38,6)), 4))"
+
+    return df.selectExpr("*", "int(regexp_extract(props, '([0-9]+)', 1)) AS k").selectExpr(
+        "concat('REC_', event_id) AS record_id",
+        "ts AS ingestion_timestamp",
+        "ts AS timestamp",
+        "concat('CONT_', user_id) AS container_id",
+        "concat('SHIP_', user_id) AS shipment_id",
+        _pick(ref.COMMODITIES, "user_id") + " AS commodity",
+        _pick([centre[c] for c in ref.COMMODITIES], "user_id")
+        + " + ((event_id * 7 + k) % 121 - 40) / 10d AS temperature_c",
+        "72d + ((event_id * 13 + k) % 280) / 10d AS humidity_pct",
+        "((event_id * 17 + k) % 45) / 100d AS vibration_g",
+        along(2) + " AS latitude",
+        along(3) + " AS longitude",
+        _pick(starts, "user_id") + " AS origin",
+        _pick(ends, "user_id") + " AS destination",
+        f"8000 + 1000 * (user_id % {len(starts)}) AS quantity_kg",
+        "double(20 + event_id % 60) AS speed_kmh",
+        "event_type = 'signup' AS door_open",
+        "CASE WHEN event_type <> 'error' THEN 'NORMAL' WHEN k % 2 = 0 THEN 'FAILURE'"
+        " ELSE 'DEGRADED' END AS compressor_status",
+        "CASE WHEN event_type = 'error' THEN 'REFRIGERATION_FAULT' ELSE 'NORMAL' END"
+        " AS anomaly_mode",
         "event_id",
         "event_type",
         "k",

@@ -102,10 +102,10 @@ def ingest(messages: DataFrame, folder: str, seconds: float | None = None):
     return _each_batch(messages, folder, action, seconds=seconds)
 
 
-def alert_stream(staged: DataFrame, folder: str, seconds: float | None = None):
+def alert_stream(readings: DataFrame, folder: str, seconds: float | None = None):
     """Alert messages as they occur; the profile table is joined to the stream."""
     return (
-        alert_payload(alert_documents(with_reasons(staged)))
+        alert_payload(alert_documents(with_reasons(readings)))
         .writeStream.format("parquet")
         .option("path", f"{folder}/alerts")
         .option("checkpointLocation", f"{folder}/checkpoint")
@@ -146,7 +146,7 @@ _TAIL_COLUMNS = (
 
 
 def rolling_stream(
-    staged: DataFrame,
+    readings: DataFrame,
     folder: str,
     seconds: float | None = None,
     rows_per_chunk: int = ROWS_PER_CHUNK,
@@ -208,7 +208,7 @@ def rolling_stream(
         names = [c.split()[0] for c in _TAIL_COLUMNS.split(", ")]
         state.put(kept.select(names), number)
 
-    return _each_batch(staged, folder, action, seconds=seconds)
+    return _each_batch(readings, folder, action, seconds=seconds)
 
 
 def scored_readings(spark: SparkSession, folder: str) -> DataFrame:
@@ -222,10 +222,10 @@ def transition_alerts(spark: SparkSession, folder: str) -> DataFrame:
 # Latest state
 
 
-def latest_stream(staged: DataFrame, folder: str, seconds: float | None = None):
+def latest_stream(readings: DataFrame, folder: str, seconds: float | None = None):
     """Newest reading per container, kept by Spark's state store; puts out the changes."""
     columns = [c for c in STAGED_COLUMNS if c != "container_id"]
-    newest = staged.groupBy("container_id").agg(
+    newest = readings.groupBy("container_id").agg(
         F.max_by(F.struct(*columns), F.struct("telemetry_timestamp", "record_id")).alias("row")
     )
 
