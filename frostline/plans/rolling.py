@@ -33,60 +33,44 @@ def with_specs(df: DataFrame, commodity: str = "commodity", prefix: str = "") ->
     )
 
 
-def mean(values: list[Column]) -> Column:
+def _mean(values: list[str]) -> str:
     """Mean of the values present, summed oldest first."""
-    total, present = F.lit(0.0), F.lit(0)
-    for v in values:
-        total = total + F.coalesce(v, F.lit(0.0))
-        present = present + F.when(v.isNotNull(), 1).otherwise(0)
-    return F.when(present > 0, total / present)
+    total = " + ".join(f"coalesce({v}, 0d)" for v in values)
+    present = " + ".join(f"int({v} IS NOT NULL)" for v in values)
+    return f"({total}) / nullif({present}, 0)"
 
 
-def window_of(rows: list[Column], prefix: str = "") -> dict[str, Column]:
+def window_of(rows: list[str], prefix: str = "") -> dict[str, Column]:
     """Features of a reading from its row and those before it, newest first."""
-
-    def anomalous(r: Column) -> Column:
-        outside = (
-            (r["temperature_c"] > F.col(f"{prefix}temp_max"))
-            | (r["temperature_c"] < F.col(f"{prefix}temp_min"))
-            | (r["humidity_pct"] > F.col(f"{prefix}humidity_max"))
-            | (r["vibration_g"] > F.col(f"{prefix}vibration_max"))
-        )
-        return F.when(outside, 1).otherwise(0)
-
     recent = list(reversed(rows[:MEAN_ROWS]))
-    count = F.lit(0)
-    for r in rows[:ANOMALY_ROWS]:
-        count = count + anomalous(r)
+    anomalies = [
+        f"CASE WHEN {r}.temperature_c > {prefix}temp_max OR {r}.temperature_c < {prefix}temp_min"
+        f" OR {r}.humidity_pct > {prefix}humidity_max OR {r}.vibration_g > {prefix}vibration_max"
+        " THEN 1 ELSE 0 END"
+        for r in rows[:ANOMALY_ROWS]
+    ]
     return {
-        f"{prefix}avg_temp": mean([r["temperature_c"] for r in recent]),
-        f"{prefix}avg_hum": mean([r["humidity_pct"] for r in recent]),
-        f"{prefix}anomaly_count": count,
+        f"{prefix}avg_temp": F.expr(_mean([f"{r}.temperature_c" for r in recent])),
+        f"{prefix}avg_hum": F.expr(_mean([f"{r}.humidity_pct" for r in recent])),
+        f"{prefix}anomaly_count": F.expr(" + ".join(anomalies)),
     }
 
 
-def penalties(
-    temperature: Column, humidity: Column, vibration: Column, anomalies: Column, prefix: str = ""
-) -> dict[str, Column]:
-    optimum, critical = F.col(f"{prefix}temp_opt"), F.col(f"{prefix}temp_critical")
-    return {
-        f"{prefix}temp_penalty": clamp(
-            (temperature - optimum) / (critical - optimum) * 45.0, 0.0, 45.0
-        ),
-        f"{prefix}hum_penalty": clamp(F.abs(humidity - 90.0) / 20.0 * 20.0, 0.0, 20.0),
-        f"{prefix}vib_penalty": clamp((vibration - 0.10) / 0.35 * 15.0, 0.0, 15.0),
-        f"{prefix}exp_penalty": F.least(F.lit(20.0), anomalies * 4.0),
+def penalties(vibration: str = "vibration_g", prefix: str = "") -> dict[str, Column]:
+    """The four terms of the score. They are NULL-safe only under ``rolling_score``."""
+    heat = f"({prefix}avg_temp - {prefix}temp_opt) / ({prefix}temp_critical - {prefix}temp_opt)"
+    terms = {
+        "temp": f"least(45d, greatest(0d, {heat} * 45d))",
+        "hum": f"least(20d, greatest(0d, abs({prefix}avg_hum - 90d) / 20d * 20d))",
+        "vib": f"least(15d, greatest(0d, ({vibration} - 0.10d) / 0.35d * 15d))",
+        "exp": f"least(20d, {prefix}anomaly_count * 4d)",
     }
+    return {f"{prefix}{name}_penalty": F.expr(term) for name, term in terms.items()}
 
 
-def rolling_score(vibration: Column, prefix: str = "") -> Column:
-    measured = all_present(F.col(f"{prefix}avg_temp"), F.col(f"{prefix}avg_hum"), vibration)
-    total = (
-        F.col(f"{prefix}temp_penalty")
-        + F.col(f"{prefix}hum_penalty")
-        + F.col(f"{prefix}vib_penalty")
-        + F.col(f"{prefix}exp_penalty")
-    )
+def rolling_score(vibration: str = "vibration_g", prefix: str = "") -> Column:
+    measured = all_present(*[F.col(c) for c in (f"{prefix}avg_temp", f"{prefix}avg_hum", vibration)])
+    total = F.expr(" + ".join(f"{prefix}{name}_penalty" for name in ("temp", "hum", "vib", "exp")))
     return F.when(measured, round_half_up(clamp(total, 0.0, 100.0), 1))
 
 
@@ -113,7 +97,7 @@ def add_features(df: DataFrame) -> DataFrame:
     """Features of readings that carry the readings before them."""
     df = df.withColumn("_now", _this_row())
     window = ["_now", *[f"previous_{i}" for i in range(1, ANOMALY_ROWS)]]
-    return with_specs(df).withColumns(window_of([F.col(c) for c in window])).drop("_now")
+    return with_specs(df).withColumns(window_of(window)).drop("_now")
 
 
 def rolling_features(
@@ -145,12 +129,9 @@ def latest_features(readings: DataFrame) -> DataFrame:
 
 def with_risk(features: DataFrame) -> DataFrame:
     """Add the four penalties, the score, its level and the hours left."""
-    terms = penalties(
-        F.col("avg_temp"), F.col("avg_hum"), F.col("vibration_g"), F.col("anomaly_count")
-    )
     return (
-        features.withColumns(terms)
-        .withColumn("spoilage_risk_score", rolling_score(F.col("vibration_g")))
+        features.withColumns(penalties())
+        .withColumn("spoilage_risk_score", rolling_score())
         .withColumns(
             {
                 "risk_level": risk_level(F.col("spoilage_risk_score")),
@@ -191,21 +172,13 @@ def risk_columns(scored: DataFrame) -> DataFrame:
 
 def with_previous_score(features: DataFrame) -> DataFrame:
     """Add the score of the reading before, scored with that reading's own profile."""
-    before = [F.col(f"previous_{i}") for i in range(1, ANOMALY_ROWS + 1)]
+    before = [f"previous_{i}" for i in range(1, ANOMALY_ROWS + 1)]
     known = features.withColumn("_old_commodity", F.col("previous_1.commodity"))
     return (
         with_specs(known, "_old_commodity", "old_")
         .withColumns(window_of(before, "old_"))
-        .withColumns(
-            penalties(
-                F.col("old_avg_temp"),
-                F.col("old_avg_hum"),
-                F.col("previous_1.vibration_g"),
-                F.col("old_anomaly_count"),
-                "old_",
-            )
-        )
-        .withColumn("previous_score", rolling_score(F.col("previous_1.vibration_g"), "old_"))
+        .withColumns(penalties("previous_1.vibration_g", "old_"))
+        .withColumn("previous_score", rolling_score("previous_1.vibration_g", "old_"))
     )
 
 
