@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frostline.functions import documents as doc
-from frostline.functions.numeric import round_half_up
+from frostline.functions.numeric import round_half_up, round_positive, round_total
 from frostline.operators.latest import newest_per_container
 from frostline.plans.rolling import (
     ALARM_LEVELS,
@@ -43,7 +43,7 @@ def fleet_records(state: DataFrame) -> DataFrame:
         round_half_up(F.col("avg_temp"), 2).alias("rolling_avg_temp"),
         round_half_up(F.col("avg_hum"), 2).alias("rolling_avg_hum"),
         *[
-            round_half_up(F.col(c), 1).alias(c)
+            round_positive(F.col(c), 1).alias(c)
             for c in ("temp_penalty", "hum_penalty", "vib_penalty", "exp_penalty")
         ],
         "spoilage_risk_score",
@@ -115,10 +115,10 @@ def console_kpis(state: DataFrame) -> DataFrame:
     def gains(field: str):
         value = best_or_zero(field)
         total = F.sum(F.when(value > 0, value).otherwise(0.0))
-        return round_half_up(F.coalesce(total, F.lit(0.0)), 2)
+        return round_total(F.coalesce(total, F.lit(0.0)), 2)
 
     def average(column: str):
-        return round_half_up(F.coalesce(F.avg(column), F.lit(0.0)), 1)
+        return round_total(F.coalesce(F.avg(column), F.lit(0.0)), 1)
 
     return state.agg(
         F.count("*").alias("total_containers"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frostline.functions.numeric import round_half_up
+from frostline.functions.numeric import round_positive, round_total
 from frostline.plans.kinetics import AT_RISK
 from frostline.plans.staging import FLAG_COLUMNS
 
@@ -46,22 +46,22 @@ def critical_containers(arbitrage: DataFrame) -> DataFrame:
 
 
 def average_temperature(readings: DataFrame) -> DataFrame:
-    return readings.agg(round_half_up(F.avg("temperature_c"), 1).alias("avg_temperature_c"))
+    return readings.agg(round_total(F.avg("temperature_c"), 1).alias("avg_temperature_c"))
 
 
 def average_humidity(readings: DataFrame) -> DataFrame:
-    return readings.agg(round_half_up(F.avg("humidity_pct"), 1).alias("avg_humidity_pct"))
+    return readings.agg(round_total(F.avg("humidity_pct"), 1).alias("avg_humidity_pct"))
 
 
 def total_arbitrage(arbitrage: DataFrame) -> DataFrame:
     return arbitrage.filter("is_reroute_recommended").agg(
-        round_half_up(F.sum("spoilage_arbitrage_inr"), 0).alias("total_arbitrage_opportunity_inr")
+        round_total(F.sum("spoilage_arbitrage_inr"), 0).alias("total_arbitrage_opportunity_inr")
     )
 
 
 def total_loss_avoided(arbitrage: DataFrame) -> DataFrame:
     return arbitrage.filter("is_reroute_recommended").agg(
-        round_half_up(F.sum("spoilage_avoided_value_inr"), 0).alias("total_loss_avoided_inr")
+        round_total(F.sum("spoilage_avoided_value_inr"), 0).alias("total_loss_avoided_inr")
     )
 
 
@@ -81,12 +81,12 @@ def _overview(joined: DataFrame, weight: Column) -> DataFrame:
         _containers().alias("total_active_containers"),
         _containers(_at_risk()).alias("containers_at_risk"),
         _containers(_critical()).alias("critical_containers"),
-        round_half_up(F.sum("sum_t") / F.sum("n_t"), 1).alias("fleet_avg_temp_c"),
-        round_half_up(F.sum("sum_h") / F.sum("n_h"), 1).alias("fleet_avg_humidity_pct"),
-        round_half_up(
+        round_total(F.sum("sum_t") / F.sum("n_t"), 1).alias("fleet_avg_temp_c"),
+        round_total(F.sum("sum_h") / F.sum("n_h"), 1).alias("fleet_avg_humidity_pct"),
+        round_total(
             F.coalesce(F.sum(_rerouted("spoilage_arbitrage_inr") * weight), F.lit(0.0)), 0
         ).alias("total_arbitrage_opportunity_inr"),
-        round_half_up(
+        round_total(
             F.coalesce(F.sum(_rerouted("spoilage_avoided_value_inr") * weight), F.lit(0.0)), 0
         ).alias("total_loss_avoided_inr"),
     )
@@ -188,7 +188,7 @@ def corridor_bubbles(options: DataFrame) -> DataFrame:
         F.col("candidate_market").alias("destination"),
         "distance_km",
         "estimated_transit_hours",
-        round_half_up(F.col("projected_spoilage_rate") * 100.0, 1).alias("projected_spoilage_pct"),
+        round_positive(F.col("projected_spoilage_rate") * 100.0, 1).alias("projected_spoilage_pct"),
         "quantity_kg",
         "is_feasible_within_shelf_life",
     )
@@ -239,14 +239,14 @@ def commodity_value_at_risk(arbitrage: DataFrame) -> DataFrame:
         .agg(
             _containers().alias("total_containers"),
             F.sum("quantity_kg").alias("total_cargo_kg"),
-            round_half_up(F.avg("spoilage_risk_score"), 1).alias("avg_spoilage_risk"),
+            round_total(F.avg("spoilage_risk_score"), 1).alias("avg_spoilage_risk"),
             F.sum(F.when(_at_risk(), 1).otherwise(0)).alias("at_risk_container_count"),
-            round_half_up(F.sum("current_expected_value_inr"), 0).alias("total_current_nrv_inr"),
-            round_half_up(F.sum("current_potential_loss_inr"), 0).alias("total_potential_loss_inr"),
-            round_half_up(F.sum(_rerouted("spoilage_arbitrage_inr")), 0).alias(
+            round_total(F.sum("current_expected_value_inr"), 0).alias("total_current_nrv_inr"),
+            round_total(F.sum("current_potential_loss_inr"), 0).alias("total_potential_loss_inr"),
+            round_total(F.sum(_rerouted("spoilage_arbitrage_inr")), 0).alias(
                 "total_reroute_arbitrage_inr"
             ),
-            round_half_up(F.sum(_rerouted("spoilage_avoided_value_inr")), 0).alias(
+            round_total(F.sum(_rerouted("spoilage_avoided_value_inr")), 0).alias(
                 "total_spoilage_prevented_inr"
             ),
         )
@@ -268,8 +268,8 @@ def corridor_vulnerability(routes: DataFrame, readings: DataFrame) -> DataFrame:
     )
     climate = per_container.groupBy("origin", "destination").agg(
         F.count("container_id").alias("active"),
-        round_half_up(F.sum("sum_t") / F.sum("n_t"), 1).alias("avg_corridor_temp_c"),
-        round_half_up(F.sum("sum_h") / F.sum("n_h"), 1).alias("avg_corridor_humidity_pct"),
+        round_total(F.sum("sum_t") / F.sum("n_t"), 1).alias("avg_corridor_temp_c"),
+        round_total(F.sum("sum_h") / F.sum("n_h"), 1).alias("avg_corridor_humidity_pct"),
     )
     return (
         routes.join(climate, ["origin", "destination"], "left")
@@ -320,7 +320,7 @@ def dispatch_manifest(arbitrage: DataFrame, markets: DataFrame) -> DataFrame:
             "reroute_distance_km",
             "reroute_transit_hours",
             F.col("time_to_spoilage_hours").alias("remaining_shelf_life_hours"),
-            round_half_up(F.col("spoilage_arbitrage_inr"), 0).alias("net_arbitrage_profit_inr"),
+            round_positive(F.col("spoilage_arbitrage_inr"), 0).alias("net_arbitrage_profit_inr"),
             "recommendation_reason",
         )
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frostline.functions.numeric import all_present, clamp, round_half_up
+from frostline.functions.numeric import all_present, clamp, round_positive
 from frostline.operators.latest import newest_per_container
 from frostline.plans.staging import FLAG_COLUMNS, STAGED_COLUMNS
 from frostline.sources import reference as ref
@@ -38,7 +38,7 @@ def risk_band(score: Column) -> Column:
 def shelf_life_left(shelf: Column, score: Column) -> Column:
     left = F.greatest(F.lit(0.01), 1.0 - score / 100.0)
     hours = F.greatest(F.lit(1.0), shelf * F.pow(left, F.lit(1.85)))
-    return F.when(score.isNotNull(), round_half_up(hours, 1))
+    return F.when(score.isNotNull(), round_positive(hours, 1))
 
 
 def container_health(staged: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def spoilage_risk(health: DataFrame) -> DataFrame:
         *kept,
         "baseline_shelf_life_hours",
         "temp_excursion_c",
-        round_half_up(F.col("raw_score"), 1).alias("spoilage_risk_score"),
+        round_positive(F.col("raw_score"), 1).alias("spoilage_risk_score"),
         risk_band(F.col("raw_score")).alias("risk_category"),
         shelf_life_left(F.col("baseline_shelf_life_hours"), F.col("raw_score")).alias(
             "time_to_spoilage_hours"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frostline.functions.numeric import flag, greatest_strict, least_strict, round_half_up
+from frostline.functions.numeric import flag, greatest_strict, least_strict, round_half_up, round_positive
 
 KM_PER_DEGREE = 111.0
 PI_DIGITS = 3.14159265359
@@ -16,7 +16,7 @@ def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     """Equirectangular distance."""
     north = lat2 - lat1
     east = (lon2 - lon1) * F.cos(lat1 * F.lit(PI_DIGITS) / 180.0)
-    return round_half_up(KM_PER_DEGREE * F.sqrt(F.pow(north, F.lit(2)) + F.pow(east, F.lit(2))), 1)
+    return round_positive(KM_PER_DEGREE * F.sqrt(F.pow(north, F.lit(2)) + F.pow(east, F.lit(2))), 1)
 
 
 def market_offers(markets: DataFrame, prices: DataFrame) -> DataFrame:
@@ -71,14 +71,14 @@ def market_options(risk: DataFrame, markets: DataFrame, prices: DataFrame) -> Da
         )
         .withColumns(
             {
-                "estimated_transit_hours": round_half_up(
+                "estimated_transit_hours": round_positive(
                     greatest_strict(
                         F.lit(0.5),
                         F.col("distance_km") / greatest_strict(F.lit(25.0), F.col("speed_kmh")),
                     ),
                     1,
                 ),
-                "estimated_freight_cost_inr": round_half_up(
+                "estimated_freight_cost_inr": round_positive(
                     F.col("distance_km") * FREIGHT_PER_KM_KG * kg, 2
                 ),
             }
@@ -86,14 +86,14 @@ def market_options(risk: DataFrame, markets: DataFrame, prices: DataFrame) -> Da
         .withColumns(
             {
                 "projected_spoilage_rate": F.when(hours >= left, late_rate).otherwise(
-                    round_half_up((F.col("spoilage_risk_score") / 100.0) * 0.15, 3)
+                    round_positive((F.col("spoilage_risk_score") / 100.0) * 0.15, 3)
                 ),
                 "is_feasible_within_shelf_life": flag(hours < left),
             }
         )
         .withColumns(
             {
-                "projected_gross_value_inr": round_half_up(value, 2),
+                "projected_gross_value_inr": round_positive(value, 2),
                 "net_realizable_value_inr": round_half_up(
                     value - F.col("estimated_freight_cost_inr"), 2
                 ),

@@ -9,6 +9,7 @@ from frostline.functions.numeric import (
     flag,
     greatest_strict,
     round_half_up,
+    round_positive,
     short_text,
     whole_text,
 )
@@ -87,7 +88,7 @@ def spoilage_arbitrage(options: DataFrame) -> DataFrame:
     """Gain of the best alternative over the plan, and whether to reroute."""
     kg = F.col("now.quantity_kg")
     uplift = F.col("alt.value") - F.col("now.value")
-    loss = round_half_up(kg * F.col("now.price") * F.col("now.rate"), 2)
+    loss = round_positive(kg * F.col("now.price") * F.col("now.rate"), 2)
     at_risk = F.col("now.risk_category").isin(*AT_RISK)
     reroute = F.coalesce(
         (uplift > REROUTE_THRESHOLD_INR) & at_risk & (F.col("alt.feasible") == 1), F.lit(False)
@@ -133,8 +134,8 @@ def spoilage_arbitrage(options: DataFrame) -> DataFrame:
         F.col("alt.price").alias("reroute_market_price"),
         F.col("alt.freight").alias("reroute_freight_cost_inr"),
         F.col("alt.value").alias("reroute_expected_value_inr"),
-        round_half_up(greatest_strict(F.lit(0.0), uplift), 2).alias("spoilage_arbitrage_inr"),
-        round_half_up(
+        round_positive(greatest_strict(F.lit(0.0), uplift), 2).alias("spoilage_arbitrage_inr"),
+        round_positive(
             greatest_strict(F.lit(0.0), loss - (kg * F.col("alt.price") * F.col("alt.rate"))), 2
         ).alias("spoilage_avoided_value_inr"),
         reroute.alias("is_reroute_recommended"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from frostline.functions.numeric import all_present, clamp, round_half_up
+from frostline.functions.numeric import all_present, clamp, round_half_up, round_positive
 from frostline.operators.lags import ROWS_PER_CHUNK, with_previous
 from frostline.operators.latest import newest_first, newest_per_container
 from frostline.plans.staging import STAGED_COLUMNS
@@ -71,7 +71,7 @@ def penalties(vibration: str = "vibration_g", prefix: str = "") -> dict[str, Col
 def rolling_score(vibration: str = "vibration_g", prefix: str = "") -> Column:
     measured = all_present(*[F.col(c) for c in (f"{prefix}avg_temp", f"{prefix}avg_hum", vibration)])
     total = F.expr(" + ".join(f"{prefix}{name}_penalty" for name in ("temp", "hum", "vib", "exp")))
-    return F.when(measured, round_half_up(clamp(total, 0.0, 100.0), 1))
+    return F.when(measured, round_positive(clamp(total, 0.0, 100.0), 1))
 
 
 def risk_level(score: Column) -> Column:
@@ -86,7 +86,7 @@ def risk_level(score: Column) -> Column:
 def hours_left(shelf: Column, score: Column) -> Column:
     left = F.greatest(F.lit(0.05), 1.0 - score / 100.0)
     hours = F.greatest(F.lit(1.0), shelf * F.pow(left, F.lit(1.6)))
-    return F.when(score.isNotNull(), round_half_up(hours, 1))
+    return F.when(score.isNotNull(), round_positive(hours, 1))
 
 
 def _this_row() -> Column:
@@ -161,7 +161,7 @@ def risk_columns(scored: DataFrame) -> DataFrame:
         "container_id",
         "telemetry_timestamp",
         *[
-            round_half_up(F.col(c), 1).alias(c)
+            round_positive(F.col(c), 1).alias(c)
             for c in ("temp_penalty", "hum_penalty", "vib_penalty", "exp_penalty")
         ],
         "spoilage_risk_score",
@@ -231,10 +231,10 @@ def decide(state: DataFrame, desk: ref.Desk, overrides: DataFrame | None = None)
         .withColumn("_loss_rate", loss_rate)
         .withColumns(
             {
-                "current_expected_value": round_half_up(
+                "current_expected_value": round_positive(
                     kg * F.col("current_price") * (1.0 - F.col("_loss_rate")), 2
                 ),
-                "potential_loss": round_half_up(
+                "potential_loss": round_positive(
                     kg * F.col("current_price") * F.col("_loss_rate"), 2
                 ),
             }
@@ -251,10 +251,10 @@ def decide(state: DataFrame, desk: ref.Desk, overrides: DataFrame | None = None)
         .withColumns(
             {
                 "_rate": candidate_rate,
-                "_cost": round_half_up(F.col("candidate_km") * 35.0 + F.col("candidate_toll"), 2),
+                "_cost": round_positive(F.col("candidate_km") * 35.0 + F.col("candidate_toll"), 2),
             }
         )
-        .withColumn("_value", round_half_up(kg * price * (1.0 - F.col("_rate")), 2))
+        .withColumn("_value", round_positive(kg * price * (1.0 - F.col("_rate")), 2))
         .withColumns(
             {
                 "_net": round_half_up(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frostline.functions.numeric import clamp, round_half_up
+from frostline.functions.numeric import clamp, round_half_up, round_positive
 from frostline.plans.rolling import hours_left, risk_level, with_specs
 
 # Hours of the planned route, speed and costs of a diversion, price premium
@@ -39,22 +39,22 @@ def what_if(cases: DataFrame) -> DataFrame:
     divert_rate = F.when(reach > left, 0.85).when(reach <= left * 0.5, 0.10).otherwise(0.25)
     return (
         with_specs(cases)
-        .withColumn("score", round_half_up(clamp(total, 0.0, 100.0), 1))
+        .withColumn("score", round_positive(clamp(total, 0.0, 100.0), 1))
         .withColumns(
             {
                 "level": risk_level(score),
                 "shelf_hours_left": hours_left(F.col("shelf_hours"), score),
                 "diversion_hours": F.greatest(
-                    F.lit(1.0), round_half_up(F.col("km") / DIVERSION_KMH, 1)
+                    F.lit(1.0), round_positive(F.col("km") / DIVERSION_KMH, 1)
                 ),
-                "diversion_cost": round_half_up(F.col("km") * COST_PER_KM + FIXED_COST, 0),
+                "diversion_cost": round_positive(F.col("km") * COST_PER_KM + FIXED_COST, 0),
             }
         )
         .withColumns(
             {
-                "stay_value": round_half_up(kg * price * (1.0 - stay_rate), 0),
-                "divert_value": round_half_up(
-                    kg * round_half_up(price * PREMIUM, 0) * (1.0 - divert_rate), 0
+                "stay_value": round_positive(kg * price * (1.0 - stay_rate), 0),
+                "divert_value": round_positive(
+                    kg * round_positive(price * PREMIUM, 0) * (1.0 - divert_rate), 0
                 ),
                 "viable": reach <= left,
             }

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frostline.functions import documents as doc
-from frostline.functions.numeric import round_half_up
+from frostline.functions.numeric import round_positive, round_total
 from frostline.sources import reference as ref
 
 EVENTS_SCHEMA = (
@@ -68,7 +68,7 @@ def from_events(df: DataFrame) -> DataFrame:
     def along(axis: int) -> str:
         start = _pick([place[name][axis] for name in starts], "user_id")
         leg = _pick([place[e][axis] - place[s][axis] for s, e in zip(starts, ends)], "user_id")
-        return f"double(round(cast({start} + {leg} * (k % 100) / 100d AS decimal(38,6)), 4))"
+        return f"{start} + {leg} * (k % 100) / 100d"
 
     return df.selectExpr("*", "int(regexp_extract(props, '([0-9]+)', 1)) AS k").selectExpr(
         "concat('REC_', event_id) AS record_id",
@@ -95,6 +95,8 @@ def from_events(df: DataFrame) -> DataFrame:
         "event_id",
         "event_type",
         "k",
+    ).withColumns(
+        {axis: round_positive(F.col(axis), 4) for axis in ("latitude", "longitude")}
     )
 
 
@@ -224,8 +226,8 @@ def route_surveys(df: DataFrame) -> DataFrame:
 def observed_markets(df: DataFrame, markets: DataFrame) -> DataFrame:
     """Market rows as seen from the fleet: located where the containers bound for it report."""
     seen = df.groupBy(F.col("destination").alias("market_name")).agg(
-        round_half_up(F.avg("latitude"), 4).alias("latitude"),
-        round_half_up(F.avg("longitude"), 4).alias("longitude"),
+        round_total(F.avg("latitude"), 4).alias("latitude"),
+        round_total(F.avg("longitude"), 4).alias("longitude"),
     )
     return markets.drop("latitude", "longitude").join(seen, "market_name").select(markets.columns)
 
@@ -241,9 +243,9 @@ def observed_routes(df: DataFrame, routes: DataFrame) -> DataFrame:
     speed = df.groupBy("origin", "destination").agg(F.avg("speed_kmh").alias("speed"))
     there = (
         routes.join(speed, ["origin", "destination"])
-        .withColumn("distance_km", round_half_up(F.col("distance_km") * 1.01, 2))
+        .withColumn("distance_km", round_total(F.col("distance_km") * 1.01, 2))
         .withColumn(
-            "estimated_transit_hours", round_half_up(F.col("distance_km") / F.col("speed"), 2)
+            "estimated_transit_hours", round_total(F.col("distance_km") / F.col("speed"), 2)
         )
         .select(routes.columns)
     )

@@ -272,3 +272,24 @@ def test_recent_filter(spark, hours, expected):
     clocks = [datetime(2026, 9, 21, h) for h in (10, 11, 12)]
     readings = marts_of(spark, *[{"timestamp": c} for c in clocks]).readings
     assert filters.filter_recent(readings, hours).count() == expected
+
+
+def test_rounding_forms_agree(spark):
+    values = spark.range(0, 20000).select(
+        (F.rand(1) * 2e6 - 1e6).alias("any"),
+        (F.floor(F.rand(2) * 2e6 - 1e6) / 1000).alias("thousandths"),
+        (F.floor(F.rand(3) * 2e4 - 1e4) / 8).alias("eighths"),
+    )
+    for column in values.columns:
+        for places in (0, 1, 2, 4):
+            value = F.col(column)
+            unequal = values.filter(
+                (numeric.round_total(value, places) != numeric.round_half_up(value, places))
+                | (numeric.round_total(F.abs(value), places) != numeric.round_positive(F.abs(value), places))
+            )
+            assert unequal.count() == 0
+    nothing = spark.sql("SELECT CAST(NULL AS DOUBLE) AS v, -0.2d AS low")
+    row = nothing.select(
+        numeric.round_half_up(F.col("v"), 1), numeric.round_half_up(F.col("low"), 0).cast("string")
+    ).first()
+    assert tuple(row) == (None, "0.0")
