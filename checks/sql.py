@@ -292,6 +292,33 @@ BODIES = {
       SELECT * EXCLUDE (current_price, recommended_price, "action"),
         current_price AS current_dest_price_per_kg, recommended_price AS recommended_market_price,
         "action" AS recommendation_action FROM desk_rows""",
+    "export_bundle": """
+      SELECT 'stg_sensor_telemetry' AS table_name, count(*) AS row_count FROM tele
+      UNION ALL SELECT 'fct_container_health', count(*) FROM desk_rows
+      UNION ALL SELECT 'fct_spoilage_arbitrage', count(*) FROM desk_rows
+      UNION ALL SELECT 'dim_commodity_prices', count(*) FROM ref_price
+      UNION ALL SELECT 'dim_markets', count(*) FROM ref_market
+      UNION ALL SELECT 'dim_routes', count(*) FROM ref_route""",
+    "export_results": "SELECT * FROM desk_rows",
+    "decision_report": "SELECT container_id, commodity, "
+    + ", ".join(
+        f"{float_text(c)} || '{unit}' AS {c}"
+        for c, unit in [
+            ("temperature_c", "°C"), ("humidity_pct", "%"), ("vibration_g", "g"),
+            ("spoilage_risk_score", "/100"), ("time_to_spoilage_hours", " hrs"),
+        ]
+    )
+    + ", "
+    + ", ".join(
+        f"'INR ' || {sign} || format('{{:,}}', CAST(round_even(CAST({c} AS DECIMAL(20,2)), 0) AS BIGINT))"
+        f" AS {c}"
+        for c, sign in [
+            ("current_expected_value", "''"), ("potential_loss", "''"),
+            ("reroute_expected_value", "''"), ("reroute_cost", "''"),
+            ("spoilage_arbitrage_inr", "CASE WHEN spoilage_arbitrage_inr >= -0.5 THEN '+' ELSE '' END"),
+        ]
+    )
+    + """, risk_level, current_destination, recommended_destination, "action" FROM desk_rows""",
     "validate_events": """
       SELECT record_id, CASE WHEN event_id % 53 <> 0 THEN container_id END AS container_id,
         parsed_temp AS temperature_c, CAST(CASE WHEN event_id % 53 <> 0 THEN quantity_kg END AS DOUBLE) AS quantity_kg,

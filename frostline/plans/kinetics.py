@@ -41,14 +41,14 @@ def shelf_life_left(shelf: Column, score: Column) -> Column:
     return F.when(score.isNotNull(), round_positive(hours, 1))
 
 
-def container_health(staged: DataFrame) -> DataFrame:
+def container_health(staged: DataFrame, envelopes: DataFrame | None = None) -> DataFrame:
     """Latest reading of each container with its commodity's envelope and excursion."""
     low, high, centre, shelf = ref.DEFAULT_ENVELOPE
     defaults = dict(zip(ENVELOPE_COLUMNS, (centre, high, low, shelf)))
     temperature = F.col("temperature_c")
     return (
         newest_per_container(staged.select(*STAGED_COLUMNS, *FLAG_COLUMNS))
-        .join(ref.envelopes(staged.sparkSession), "commodity", "left")
+        .join(envelopes or ref.envelopes(staged.sparkSession), "commodity", "left")
         .withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
         .withColumn(
             "temp_excursion_c",

@@ -193,11 +193,14 @@ class Marts:
         raw_markets: DataFrame | None = None,
         raw_prices: DataFrame | None = None,
         raw_routes: DataFrame | None = None,
+        bands: DataFrame | None = None,
+        envelopes: DataFrame | None = None,
     ):
         spark = raw_telemetry.sparkSession
         self.spark = spark
         self.typed = type_readings(raw_telemetry)
-        self.staged = stage_telemetry(raw_telemetry)
+        self.staged = stage_telemetry(raw_telemetry, bands)
+        self.envelopes = envelopes
         self.markets = stage_markets(raw_markets or ref.raw_markets(spark))
         self.prices = stage_prices(
             raw_prices or ref.raw_prices(spark), F.lit("2026-09-21 06:00:00")
@@ -206,7 +209,7 @@ class Marts:
 
     @property
     def health(self) -> DataFrame:
-        return container_health(self.staged)
+        return container_health(self.staged, self.envelopes)
 
     @property
     def risk(self) -> DataFrame:

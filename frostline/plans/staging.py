@@ -54,9 +54,9 @@ def _time(name: str) -> Column:
     return F.col(name).try_cast("timestamp_ntz")
 
 
-def alert_flags(df: DataFrame) -> DataFrame:
+def alert_flags(df: DataFrame, bands: DataFrame | None = None) -> DataFrame:
     """Add the four threshold flags; an unknown commodity or a NULL measure raises none."""
-    bands = ref.alert_bands(df.sparkSession)
+    bands = bands or ref.alert_bands(df.sparkSession)
     temperature, humidity = F.col("temperature_c"), F.col("humidity_pct")
     vibration = F.col("vibration_g")
     failing = F.col("compressor_status").isin("DEGRADED", "FAILURE")
@@ -79,7 +79,7 @@ def alert_flags(df: DataFrame) -> DataFrame:
 
 
 def type_readings(raw: DataFrame) -> DataFrame:
-    """Raw readings trimmed, typed and defaulted; rows without container or time text are dropped."""
+    """Trim, type and default raw readings; those without container or time text are dropped."""
     return raw.filter(F.col("container_id").isNotNull() & F.col("timestamp").isNotNull()).select(
         "record_id",
         _time("timestamp").alias("telemetry_timestamp"),
@@ -95,9 +95,9 @@ def type_readings(raw: DataFrame) -> DataFrame:
     )
 
 
-def stage_telemetry(raw: DataFrame) -> DataFrame:
+def stage_telemetry(raw: DataFrame, bands: DataFrame | None = None) -> DataFrame:
     """Raw readings to 22 typed columns."""
-    return alert_flags(type_readings(raw)).select(*STAGED_COLUMNS, "ingestion_timestamp", *FLAG_COLUMNS)
+    return alert_flags(type_readings(raw), bands).select(*STAGED_COLUMNS, "ingestion_timestamp", *FLAG_COLUMNS)
 
 
 def stage_prices(raw: DataFrame, as_of: Column) -> DataFrame:

@@ -225,6 +225,34 @@ def seed_readings(spark, sf_dir):
     return readings.unionByName(feed.seed_readings(spark))
 
 
+def export_bundle(spark, sf_dir):
+    """Write the reporting bundle and count the rows of each table as read back."""
+    readings = feed.readings(spark, sf_dir)
+    decisions = rolling.decision_columns(
+        rolling.rolling_decision(staging.type_readings(readings), ref.DESK)
+    )
+    dimensions = {
+        "commodity_prices": ref.raw_prices(spark),
+        "markets": ref.raw_markets(spark),
+        "routes": ref.raw_routes(spark),
+    }
+    folder = tables.work_folder(spark, "bundle")
+    paths = exports.write_bundle(readings, decisions, dimensions, folder)
+    counts = [
+        spark.read.parquet(path).agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"))
+        for name, path in paths.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def export_results(spark, sf_dir):
+    """Write the decisions as JSON and read them back."""
+    decisions = _decisions(spark, sf_dir)
+    path = tables.work_folder(spark, "results")
+    decisions.write.mode("overwrite").json(path)
+    return spark.read.schema(decisions.schema).json(path)
+
+
 def mart_materialize(spark, sf_dir):
     path = tables.work_folder(spark, "mart")
     return tables.write_mart(_marts(spark, sf_dir).arbitrage, path)
@@ -459,6 +487,9 @@ QUERIES = {
     "export_telemetry": lambda s, d: exports.export_telemetry(feed.readings(s, d)),
     "export_health": lambda s, d: exports.export_health(_decisions(s, d)),
     "export_arbitrage": lambda s, d: exports.export_arbitrage(_decisions(s, d)),
+    "export_bundle": export_bundle,
+    "export_results": export_results,
+    "decision_report": lambda s, d: exports.decision_report(_decisions(s, d)),
     "validate_events": validate_events,
     "dead_letters": dead_letters,
     "dedup_telemetry": dedup_telemetry,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frostline.functions import documents as doc
+from frostline.functions.numeric import float_text
 
 
 def kafka_payload(readings: DataFrame) -> DataFrame:
@@ -70,3 +71,49 @@ def export_arbitrage(decisions: DataFrame) -> DataFrame:
             "action": "recommendation_action",
         }
     )
+
+
+def write_bundle(
+    readings: DataFrame, decisions: DataFrame, dimensions: dict[str, DataFrame], folder: str
+) -> dict[str, str]:
+    """Replace the reporting bundle: telemetry, health, arbitrage and the dimensions."""
+    bundle = {
+        "stg_sensor_telemetry": export_telemetry(readings),
+        "fct_container_health": export_health(decisions),
+        "fct_spoilage_arbitrage": export_arbitrage(decisions),
+        **{f"dim_{name}": df for name, df in dimensions.items()},
+    }
+    for name, df in bundle.items():
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    return {name: f"{folder}/{name}" for name in bundle}
+
+
+def decision_report(decisions: DataFrame) -> DataFrame:
+    """Decisions as text for a printed table: units, thousands and signs."""
+
+    def measure(column: str, unit: str):
+        return F.concat(float_text(F.col(column)), F.lit(unit)).alias(column)
+
+    def money(column: str, signed: bool = False):
+        amount = F.bround(F.col(column).cast("decimal(20,2)"), 0)
+        sign = F.when(amount >= 0, "+").otherwise("") if signed else F.lit("")
+        return F.concat(F.lit("INR "), sign, F.format_number(amount, 0)).alias(column)
+
+    return decisions.select(
+        "container_id",
+        "commodity",
+        measure("temperature_c", "°C"),
+        measure("humidity_pct", "%"),
+        measure("vibration_g", "g"),
+        measure("spoilage_risk_score", "/100"),
+        "risk_level",
+        measure("time_to_spoilage_hours", " hrs"),
+        "current_destination",
+        money("current_expected_value"),
+        money("potential_loss"),
+        "recommended_destination",
+        money("reroute_expected_value"),
+        money("reroute_cost"),
+        money("spoilage_arbitrage_inr", signed=True),
+        "action",
+    )

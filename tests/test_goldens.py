@@ -186,3 +186,32 @@ def test_risk_bands(spark):
     ]
     levels = [r[0] for r in scores.select(rolling.risk_level(F.col("s"))).collect()]
     assert levels == ["Moderate", "Moderate", "High", "High", "Critical", "Critical", None]
+
+
+def test_other_envelopes(spark):
+    """The kinetic formula under envelopes and bands of the user's own."""
+    bands = ref.local_table(
+        spark, "commodity, temp_low, temp_high, hum_low, hum_high", [("Avocado", 4.5, 7.5, 80.0, 95.0)]
+    )
+    envelopes = ref.local_table(
+        spark,
+        "commodity, optimal_temp_min, optimal_temp_max, optimal_temp_center, baseline_shelf_life_hours",
+        [("Avocado", 4.5, 7.5, 6.0, 120.0)],
+    )
+    seeds = feed.seed_readings(spark).filter("record_id = 'SEED_CONT_001_12'")
+    good = seeds.withColumns(
+        {
+            "container_id": F.lit("good"),
+            "temperature_c": F.lit(5.5),
+            "humidity_pct": F.lit(87.0),
+            "vibration_g": F.lit(0.08),
+            "compressor_status": F.lit("NORMAL"),
+        }
+    )
+    bad = seeds.withColumns({"temperature_c": F.lit(14.8), "humidity_pct": F.lit(97.0)})
+    marts = Marts(good.unionByName(bad), bands=bands, envelopes=envelopes)
+    risk = {
+        r["container_id"]: (r["spoilage_risk_score"], r["time_to_spoilage_hours"])
+        for r in marts.risk.collect()
+    }
+    assert risk == {"good": (0.0, 120.0), "CONT_001": (100.0, 1.0)}
