@@ -18,4 +18,11 @@ def number(value: Column, places: int) -> Column:
 
 
 def iso_time(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    """Wall-clock text with microseconds. A cast knows no zone, so no clock change can shift it."""
+    text = ts.cast("string")
+    fraction = F.rpad(F.substring(text, 21, 6), 6, "0")
+    return F.concat(F.translate(F.substring(text, 1, 19), " ", "T"), F.lit("."), fraction)
+
+
+def time_of_day(ts: Column) -> Column:
+    return F.substring(ts.cast("string"), 12, 8)

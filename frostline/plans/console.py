@@ -157,7 +157,7 @@ def history_series(readings: DataFrame) -> DataFrame:
             F.col("temperature_c").alias("temp"),
             F.col("humidity_pct").alias("hum"),
             F.col("vibration_g").alias("vib"),
-            F.date_format("telemetry_timestamp", "HH:mm:ss").alias("time"),
+            doc.time_of_day(F.col("telemetry_timestamp")).alias("time"),
         )
     )
 

@@ -326,7 +326,10 @@ def dispatch_manifest(arbitrage: DataFrame, markets: DataFrame) -> DataFrame:
     )
 
 
-def audit_trail(readings: DataFrame) -> DataFrame:
+def audit_trail(readings: DataFrame, container_id: str | None = None) -> DataFrame:
+    """History of every container, or of one."""
+    if container_id is not None:
+        readings = readings.filter(F.col("container_id") == container_id)
     return readings.select(
         "record_id",
         "telemetry_timestamp",

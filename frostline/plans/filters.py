@@ -19,9 +19,15 @@ def filter_fleet(df: DataFrame, **choices: list[str]) -> DataFrame:
 
 
 def filter_recent(df: DataFrame, hours: int, as_of: Column | None = None) -> DataFrame:
-    """Readings of the last hours before ``as_of``, by default the newest reading."""
+    """Readings of the last hours before ``as_of``, by default the newest reading.
+
+    Readings that carry their day are also filtered by it, so that whole days are skipped.
+    """
     newest = df.agg(F.max("telemetry_timestamp")).scalar() if as_of is None else as_of
-    return df.filter(F.col("telemetry_timestamp") > newest - F.make_dt_interval(hours=F.lit(hours)))
+    start = newest - F.make_dt_interval(hours=F.lit(hours))
+    if "event_date" in df.columns:
+        df = df.filter(F.col("event_date") >= F.to_date(start))
+    return df.filter(F.col("telemetry_timestamp") > start)
 
 
 def filter_text(df: DataFrame, text: str, columns: list[str]) -> DataFrame:

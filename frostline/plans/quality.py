@@ -42,7 +42,10 @@ def event_errors() -> Column:
             F.when(given, f"invalid {name}").otherwise(f"missing {name}"),
         )
 
-    ranges = [
+    clock = F.col("timestamp")
+    unreadable = clock.isNotNull() & clock.try_cast("timestamp_ntz").isNull()
+    ranges = [F.when(unreadable, "invalid timestamp")]
+    ranges += [
         F.when(~F.col(c).between(low, high), f"{c} out of range")
         for c, (low, high) in LIMITS.items()
     ]

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from frostline.functions import documents as doc
 from frostline.functions.numeric import round_half_up
 from frostline.operators import upsert
 from frostline.operators.latest import first_rows, without_retries
@@ -63,7 +64,7 @@ def src_json(spark, sf_dir):
     """Write events as files of one JSON array each, then read them back."""
     readings = feed.readings(spark, sf_dir)
     event = F.struct(
-        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        doc.iso_time(F.col("timestamp")).alias("timestamp"),
         *EVENT_COLUMNS[1:],
     )
     arrays = (
@@ -180,14 +181,14 @@ def sink_append(spark, sf_dir):
     for alarm in (True, False):
         part = readings.filter((F.col("event_type") == "error") == alarm).select(*EVENT_COLUMNS)
         tables.write_readings(part, path, "timestamp")
-    return tables.read_readings(batch, path)
+    return tables.read_readings(batch, path).drop("event_date")
 
 
 def sink_json(spark, sf_dir):
     """Append two batches as JSON lines; read them back."""
     readings = feed.readings(spark, sf_dir)
     path = tables.work_folder(spark, "json")
-    text = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")
+    text = doc.iso_time(F.col("timestamp")).alias("timestamp")
     for alarm in (True, False):
         part = readings.filter((F.col("event_type") == "error") == alarm)
         tables.append_json(part.select(text, *EVENT_COLUMNS[1:]), path)
@@ -262,7 +263,7 @@ def mart_materialize_readings(spark, sf_dir):
     readings = _marts(spark, sf_dir).readings
     path = tables.work_folder(spark, "readings")
     tables.write_readings(readings, path, "telemetry_timestamp", "overwrite")
-    return tables.read_readings(readings, path)
+    return tables.read_readings(readings, path).drop("event_date")
 
 
 # Validation

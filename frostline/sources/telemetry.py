@@ -270,7 +270,7 @@ def seed_readings(spark: SparkSession) -> DataFrame:
     rows = ref.local_table(spark, columns, ref.SEED_READINGS)
     clock = F.col("timestamp").cast("timestamp_ntz")
     return rows.select(
-        F.concat_ws("_", F.lit("SEED"), "container_id", F.date_format(clock, "HH")).alias("record_id"),
+        F.concat_ws("_", F.lit("SEED"), "container_id", F.substring(clock.cast("string"), 12, 2)).alias("record_id"),
         clock.alias("ingestion_timestamp"),
         clock.alias("timestamp"),
         *READING_COLUMNS[3:],

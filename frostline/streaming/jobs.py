@@ -123,7 +123,7 @@ def dedup_stream(raw: DataFrame, folder: str, seconds: float | None = None):
     fresh = (
         raw.withColumn("event_time", F.col("timestamp").cast("timestamp"))
         .withWatermark("event_time", RETRY_DELAY)
-        .dropDuplicatesWithinWatermark(["container_id", "event_time"])
+        .dropDuplicatesWithinWatermark(["container_id", "timestamp"])
         .select("container_id", "timestamp", "commodity", "temperature_c", "humidity_pct")
     )
     return (
@@ -164,7 +164,7 @@ def rolling_stream(
         tails = state.before(batch.sparkSession, number)
         incoming = batch.select(
             *STAGED_COLUMNS, F.lit(1).alias("arrival"), F.lit(0).alias("position")
-        )
+        ).persist()
         held = tails.drop("newest").withColumn("arrival", F.lit(0))
         rows = incoming.unionByName(held, allowMissingColumns=True)
         order = ["arrival", "position", "telemetry_timestamp", "record_id"]
@@ -207,6 +207,7 @@ def rolling_stream(
         )
         names = [c.split()[0] for c in _TAIL_COLUMNS.split(", ")]
         state.put(kept.select(names), number)
+        incoming.unpersist()
 
     return _each_batch(readings, folder, action, seconds=seconds)
 

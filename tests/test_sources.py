@@ -6,8 +6,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from frostline.functions import documents, numeric
 from frostline.operators.upsert import upsert
-from frostline.plans import quality
+from frostline.plans import filters, quality
 from frostline.plans.marts import Marts
 from frostline.sinks import exports, tables
 from frostline.sources import files, schemas
@@ -50,6 +51,7 @@ def errors_of(spark, value: str) -> list[str]:
         ({"temperature_c": 125.0}, ["temperature_c out of range"]),
         ({"humidity_pct": -1.0}, ["humidity_pct out of range"]),
         ({"vibration_g": 5.5}, ["vibration_g out of range"]),
+        ({"timestamp": "noon"}, ["invalid timestamp"]),
         ({"quantity_kg": 0}, ["quantity_kg out of range"]),
         ({"temperature_c": "not_a_number"}, ["invalid temperature_c"]),
         ({"temperature_c": None}, ["missing temperature_c"]),
@@ -184,3 +186,28 @@ def test_topic_options():
     }
     assert topics.trigger() == {"availableNow": True}
     assert topics.trigger(5) == {"processingTime": "5 seconds"}
+
+
+def test_recent_readings_skip_days(spark, small, tmp_path, capsys):
+    readings = Marts(feed.readings(spark, small)).readings
+    path = str(tmp_path / "readings")
+    tables.write_readings(readings, path, "telemetry_timestamp")
+    stored = tables.read_readings(readings, path)
+    as_of = F.lit("2024-01-20 12:00:00").cast("timestamp_ntz")
+    recent = filters.filter_recent(stored, 24, as_of)
+    recent.explain()
+    assert "PartitionFilters: [isnotnull(event_date" in capsys.readouterr().out.replace("\n", "")
+    assert recent.count() == filters.filter_recent(readings, 24, as_of).count() > 0
+
+
+def test_clock_change_does_not_shift_text(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        clock = F.lit("2024-03-10 02:30:00.5").cast("timestamp_ntz")
+        row = spark.range(1).select(
+            documents.iso_time(clock), documents.time_of_day(clock), numeric.epoch_seconds(clock)
+        ).first()
+        assert tuple(row) == ("2024-03-10T02:30:00.500000", "02:30:00", 1710037800)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
