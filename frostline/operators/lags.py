@@ -16,6 +16,8 @@ ROWS_PER_CHUNK = 5_000_000
 # So many keys at most, the largest ones, are cut. Any other key then holds less than
 # one part in HOT_KEYS of the rows, and one task sorts it whole.
 HOT_KEYS = 10_000
+# So many chunks at most per key: one task carries the rows from chunk to chunk.
+CHUNKS_PER_KEY = 1_000_000
 
 _FIRST_CHUNK = -(2**63)
 
@@ -34,12 +36,16 @@ def hot_keys(df: DataFrame, key: str, clock: str, rows_per_chunk: int) -> DataFr
     hour = F.floor(_seconds(F.col(clock)) / 3600)
     hours = df.filter(F.col(key).isNotNull()).groupBy(key, hour.alias("_hour")).count()
     sizes = hours.groupBy(key).agg(
-        F.sum("count").alias("_rows"), F.max("count").alias("_densest")
+        F.sum("count").alias("_rows"),
+        F.max("count").alias("_densest"),
+        (3600.0 * (F.max("_hour") - F.min("_hour") + 1)).alias("_span"),
     )
     largest = (
         sizes.filter(F.col("_rows") > rows_per_chunk).orderBy(F.col("_rows").desc(), key)
     ).limit(HOT_KEYS)
-    return largest.select(key, (3600.0 * rows_per_chunk / F.col("_densest")).alias("_width"))
+    by_density = 3600.0 * rows_per_chunk / F.col("_densest")
+    width = F.greatest(by_density, F.col("_span") / CHUNKS_PER_KEY)
+    return largest.select(key, width.alias("_width"))
 
 
 def with_previous(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frostline.functions import documents as doc
@@ -145,11 +145,12 @@ def history_series(readings: DataFrame) -> DataFrame:
         HISTORY_ROWS,
         rank="_back",
     )
-    lengths = last.groupBy("container_id").agg(F.max("_back").alias("_length"))
-    longest = lengths.agg(F.max("_length")).scalar()
+    # Counting needs no sort, so the longest series is cheaper to find this way.
+    counts = readings.groupBy("container_id").count()
+    longest = counts.agg(F.least(F.max("count"), F.lit(HISTORY_ROWS))).scalar()
+    length = F.max("_back").over(Window.partitionBy("container_id"))
     return (
-        last.join(lengths, "container_id")
-        .withColumn("step", F.col("_length") - F.col("_back") + 1)
+        last.withColumn("step", length - F.col("_back") + 1)
         .select(
             "container_id",
             "step",
@@ -178,13 +179,12 @@ def _part(df: DataFrame, section: str, key, fields: dict) -> DataFrame:
     )
 
 
-def console_document(readings: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
+def console_document(state: DataFrame, history: DataFrame) -> DataFrame:
     """The console document as one row per entry.
 
     A document in one value would gather the fleet in one task. Here each container,
     its history of at most thirty rows, each market and the indicators are entries.
     """
-    state = console_state(readings, overrides)
     fleet, arbitrage, kpis = fleet_records(state), arbitrage_records(state), console_kpis(state)
     points = F.array_sort(
         F.collect_list(
@@ -198,7 +198,7 @@ def console_document(readings: DataFrame, overrides: DataFrame | None = None) ->
             )
         )
     )
-    history = history_series(readings).groupBy("container_id").agg(points.alias("points"))
+    history = history.groupBy("container_id").agg(points.alias("points"))
     name = F.col("container_id")
     parts = [
         _part(
@@ -269,7 +269,7 @@ def console_document(readings: DataFrame, overrides: DataFrame | None = None) ->
             F.to_json("points", {"ignoreNullFields": "false"}).alias("body"),
         ),
         _part(
-            ref.console_markets(readings.sparkSession),
+            ref.console_markets(state.sparkSession),
             "markets",
             F.col("market_name"),
             {

@@ -57,19 +57,17 @@ def filter_bucket(df: DataFrame, commodity: str = "ALL", risk: str = "ALL") -> D
     return df
 
 
+def _distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct values of several columns in one pass."""
+    pairs = [F.struct(F.lit(c).alias("filter_name"), F.col(c).alias("filter_value")) for c in columns]
+    return df.select(F.inline(F.array(*pairs))).distinct()
+
+
 def filter_values(arbitrage: DataFrame, readings: DataFrame) -> DataFrame:
     """Values offered by the container, commodity, origin and destination filters."""
-    lists = [
-        (arbitrage, "container_id"),
-        (arbitrage, "commodity"),
-        (readings, "origin"),
-        (readings, "destination"),
-    ]
-    parts = [
-        df.select(F.lit(column).alias("filter_name"), F.col(column).alias("filter_value")).distinct()
-        for df, column in lists
-    ]
-    return reduce(DataFrame.unionByName, parts).orderBy("filter_name", "filter_value")
+    fleet = _distinct_values(arbitrage, ["container_id", "commodity"])
+    places = _distinct_values(readings, ["origin", "destination"])
+    return fleet.unionByName(places).orderBy("filter_name", "filter_value")
 
 
 def filter_values_risk(arbitrage: DataFrame) -> DataFrame:

@@ -6,14 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frostline.functions.numeric import (
-    flag,
     greatest_strict,
     round_half_up,
     round_positive,
     short_text,
     whole_text,
 )
-from frostline.operators.latest import newest_per_container
 from frostline.plans.kinetics import (
     AT_RISK,
     compressor_penalty,
@@ -31,6 +29,7 @@ from frostline.plans.staging import (
     stage_telemetry,
     type_readings,
 )
+from frostline.sinks.tables import write_mart
 from frostline.sources import reference as ref
 
 REROUTE_THRESHOLD_INR = 1000.0
@@ -157,8 +156,9 @@ def fct_container_health(staged: DataFrame) -> DataFrame:
     ).withColumn("instant_risk_category", risk_band(F.col("instant_risk_score")))
 
 
-def dim_container(staged: DataFrame) -> DataFrame:
-    columns = [
+def dim_container(health: DataFrame) -> DataFrame:
+    """Master row per container: attributes of its newest reading."""
+    return health.select(
         "container_id",
         "shipment_id",
         "commodity",
@@ -166,9 +166,8 @@ def dim_container(staged: DataFrame) -> DataFrame:
         "origin",
         "destination",
         "compressor_status",
-    ]
-    newest = newest_per_container(staged.select(*columns, "telemetry_timestamp", "record_id"))
-    return newest.select(*columns, F.col("telemetry_timestamp").alias("last_reported_at"))
+        F.col("telemetry_timestamp").alias("last_reported_at"),
+    )
 
 
 def dim_market(staged_markets: DataFrame) -> DataFrame:
@@ -207,8 +206,17 @@ class Marts:
         )
         self.routes = stage_routes(raw_routes or ref.raw_routes(spark))
 
+        self.stored_health: DataFrame | None = None
+
+    def store_health(self, folder: str) -> Marts:
+        """Write the state per container once, for jobs that use several tables above it."""
+        self.stored_health = write_mart(self.health, folder)
+        return self
+
     @property
     def health(self) -> DataFrame:
+        if self.stored_health is not None:
+            return self.stored_health
         return container_health(self.staged, self.envelopes)
 
     @property
@@ -233,4 +241,4 @@ class Marts:
 
     @property
     def container_dim(self) -> DataFrame:
-        return dim_container(self.staged)
+        return dim_container(self.health)

@@ -297,7 +297,13 @@ def dedup_telemetry(spark, sf_dir):
 
 
 def _landed_check(check):
-    return lambda spark, sf_dir: check(Marts(_landed(spark, sf_dir)))
+    """Check the tables over landed readings; the state per container is computed once."""
+
+    def run(spark, sf_dir):
+        marts = Marts(_landed(spark, sf_dir))
+        return check(marts.store_health(tables.work_folder(spark, "health")))
+
+    return run
 
 
 # Staging
@@ -342,20 +348,25 @@ def _console_state(spark, sf_dir):
     return console.console_state(staging.type_readings(readings), feed.authorised_reroutes(readings))
 
 
+def _stored_state(spark, sf_dir):
+    """The console state written once, for queries that use it more than once."""
+    return tables.write_mart(_console_state(spark, sf_dir), tables.work_folder(spark, "state"))
+
+
 def _console_arbitrage(spark, sf_dir):
     return console.arbitrage_records(_console_state(spark, sf_dir))
 
 
 def _console_table(spark, sf_dir):
     """Only fleet members above a moderate score are listed, the others count as low."""
-    state = _console_state(spark, sf_dir)
+    state = _stored_state(spark, sf_dir)
     fleet = console.fleet_records(state).filter(F.col("spoilage_risk_score") >= 40.0)
     return console.console_table(console.arbitrage_records(state), fleet)
 
 
 def console_document(spark, sf_dir):
-    readings = feed.readings(spark, sf_dir)
-    return console.console_document(staging.type_readings(readings), feed.authorised_reroutes(readings))
+    history = console.history_series(_typed(spark, sf_dir))
+    return console.console_document(_stored_state(spark, sf_dir), history)
 
 
 def rolling_features(spark, sf_dir):
