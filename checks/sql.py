@@ -474,6 +474,8 @@ BODIES = {
     "stream_alerts": ALERT_JSON,
     "stream_dedup": """
       SELECT container_id, "timestamp", commodity, temperature_c, humidity_pct FROM tele""",
+    "stream_dedup_table": """
+      SELECT container_id, "timestamp", commodity, temperature_c, humidity_pct FROM tele""",
     "stream_rolling": "SELECT * FROM risk_rows",
     "stream_transitions": "SELECT * FROM turned",
     "stream_latest": f"""SELECT {STAGED} FROM (SELECT *, row_number() OVER (PARTITION BY container_id

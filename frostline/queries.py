@@ -440,6 +440,12 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{folder}/fresh")
 
 
+def stream_dedup_table(spark, sf_dir):
+    folder = tables.work_folder(spark, "dedup-table")
+    jobs.run_to_end(jobs.dedup_table_stream(feed.resent(_stream(spark, sf_dir)), folder))
+    return jobs.fresh_readings(spark, folder)
+
+
 def _scored_stream(spark, sf_dir):
     folder = tables.work_folder(spark, "rolling")
     jobs.run_to_end(jobs.rolling_stream(staging.type_readings(_stream(spark, sf_dir)), folder))
@@ -567,6 +573,7 @@ QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_alerts": stream_alerts,
     "stream_dedup": stream_dedup,
+    "stream_dedup_table": stream_dedup_table,
     "stream_rolling": stream_rolling,
     "stream_transitions": stream_transitions,
     "stream_latest": stream_latest,

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frostline.operators.lags import ROWS_PER_CHUNK, with_previous
-from frostline.operators.latest import first_rows, newest_per_container
+from frostline.operators.latest import first_rows, newest_per_container, without_retries
 from frostline.plans import rolling
 from frostline.plans.alerts import alert_documents, alert_payload, with_reasons
 from frostline.plans.kinetics import container_health, spoilage_risk
@@ -25,6 +25,7 @@ from frostline.sources.schemas import EVENT_FIELDS
 from frostline.streaming.topics import trigger
 
 RETRY_DELAY = "1 hour"
+_FRESH_COLUMNS = ["container_id", "timestamp", "commodity", "temperature_c", "humidity_pct"]
 
 
 def _finish(query) -> None:
@@ -115,16 +116,16 @@ def alert_stream(readings: DataFrame, folder: str, seconds: float | None = None)
 
 
 def dedup_stream(raw: DataFrame, folder: str, seconds: float | None = None):
-    """Drop retries of a reading that arrive within the delay.
+    """Drop retries of a reading that arrive within the delay, with bounded state.
 
-    The delay must exceed the lateness of the source: later rows are not retries but
-    late readings, and belong to the batch form, which knows no delay.
+    Readings later than the delay are lost here, as with any watermark. Where the
+    source may be later than that, use ``dedup_table_stream``.
     """
     fresh = (
         raw.withColumn("event_time", F.col("timestamp").cast("timestamp"))
         .withWatermark("event_time", RETRY_DELAY)
         .dropDuplicatesWithinWatermark(["container_id", "timestamp"])
-        .select("container_id", "timestamp", "commodity", "temperature_c", "humidity_pct")
+        .select(_FRESH_COLUMNS)
     )
     return (
         fresh.writeStream.format("parquet")
@@ -135,6 +136,37 @@ def dedup_stream(raw: DataFrame, folder: str, seconds: float | None = None):
     )
 
 
+def dedup_table_stream(raw: DataFrame, folder: str, seconds: float | None = None):
+    """Drop retries however late they come; late readings are kept.
+
+    The table written so far is the state. Each batch is compared with the days it
+    touches, which the table is partitioned by.
+    """
+
+    def action(batch: DataFrame, number: int) -> None:
+        fresh = without_retries(batch).select(
+            *_FRESH_COLUMNS, F.to_date("timestamp").alias("event_date")
+        )
+        if number > 0:
+            days = batch.agg(
+                F.to_date(F.min("timestamp")).alias("first"),
+                F.to_date(F.max("timestamp")).alias("last"),
+            ).first()
+            written = read_output(batch.sparkSession, folder, "fresh").filter(
+                (F.col("batch") < number) & F.col("event_date").between(days["first"], days["last"])
+            )
+            fresh = fresh.join(written, ["event_date", "container_id", "timestamp"], "left_anti")
+        fresh.hint("rebalance", "event_date").write.mode("overwrite").partitionBy(
+            "event_date"
+        ).parquet(f"{folder}/fresh/batch={number}")
+
+    return _each_batch(raw, folder, action, seconds=seconds)
+
+
+def fresh_readings(spark: SparkSession, folder: str) -> DataFrame:
+    return read_output(spark, folder, "fresh").select(_FRESH_COLUMNS)
+
+
 # Rolling risk
 
 _TAIL_ROWS = rolling.ANOMALY_ROWS

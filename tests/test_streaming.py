@@ -121,3 +121,14 @@ def test_ingest_over_batches(spark, small, landing, tmp_path):
     valid, dead = (jobs.read_output(spark, out, n).count() for n in ("valid", "dead"))
     assert valid + dead == 1000 and dead > 0
     assert jobs.read_output(spark, out, "alerts").count() > 0
+
+
+def test_dedup_table_keeps_late_readings_and_drops_late_retries(spark, small, tmp_path, slices):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    for number, part in enumerate([3, 0, 2, 1, 0, 3]):
+        put_file(folder, slices[part], number)
+    raw = feed.resent(stream(spark, folder))
+    assert jobs.run_to_end(jobs.dedup_table_stream(raw, out)) == 5
+    columns = ["container_id", "timestamp", "commodity", "temperature_c", "humidity_pct"]
+    same(jobs.fresh_readings(spark, out), feed.readings(spark, small).select(columns))
