@@ -6,13 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from frostline.llm import best_fit
+from frostline.llm import best_fit, cube_mixing, jaccard_join, language_id
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and score of every document, learned from those that are not held out."""
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
+def op3_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    taken = cube_mixing.decisions(_table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document, for four-word shingles at 85 per cent."""
+    return jaccard_join.grouped(_table(spark, sf_dir, "documents"), words=4, percent=85).drop("text_hash")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document."""
     return best_fit.pack_documents(_table(spark, sf_dir, "documents"))
@@ -21,6 +37,9 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_language_id,
+        op3_cube_mixing,
+        op6_jaccard_join,
         op9_best_fit_packing,
     )
 }
