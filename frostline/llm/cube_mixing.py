@@ -3,7 +3,8 @@
 A source that is to give r times its words gives floor(r) whole copies; which documents give one copy more is a
 balanced sample with inclusion probability r - floor(r). The flight phase moves the probabilities of a few documents at
 a time through the null space of the constraints, so that expected words and documents stay as they are, until at most
-two of a group are undecided. The undecided ones of all groups fly on together, and only the last two of a source land.
+two of a group are undecided. The undecided ones of all groups fly on together, and only the last two of a source land,
+with ten others of the last flight, so that the source's words come near their target.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from frostline.llm.common import WORD, blocks_of, col, stored, unused
 WEIGHTS, MOST = (5, 2, 1), 3
 #: Documents that fly together in one task's group.
 GROUP = 4096
+#: Decided documents of a source that the landing may decide anew.
+REOPENED = 10
 _EPS = 1e-9
 
 
@@ -118,17 +121,18 @@ def _move(p: list[float], free: list[int], direction: tuple[float, ...], draw: n
     free[:] = left
 
 
-def land(p: list[float], sizes: list[float]) -> None:
-    """Decide the last free ones: the choice whose words, then documents, come nearest to what is expected."""
+def land(p: list[float], sizes: list[float], reopened: int = REOPENED) -> None:
+    """Decide the last free ones, with a few decided ones open again: of all choices, the one whose words, then
+    documents, come nearest to what is expected."""
     free = [i for i, x in enumerate(p) if _EPS < x < 1 - _EPS]
-    want_words, want = sum(p[i] * sizes[i] for i in free), sum(p[i] for i in free)
-    choices = []
-    for mask in range(1 << len(free)):
-        taken = [i for k, i in enumerate(free) if mask >> k & 1]
-        choices.append((abs(sum(sizes[i] for i in taken) - want_words), abs(len(taken) - want), mask))
-    mask = min(choices)[2]
-    for k, i in enumerate(free):
-        p[i] = float(mask >> k & 1)
+    if not free:
+        return
+    opened = free + [i for i in range(len(p) - 1, -1, -1) if i not in free][:reopened]
+    chance, size = np.array([p[i] for i in opened]), np.array([sizes[i] for i in opened])
+    choices = (np.arange(1 << len(opened))[:, None] >> np.arange(len(opened))) & 1
+    off = np.abs(choices @ size - chance @ size) + 0.05 * size.mean() * np.abs(choices.sum(axis=1) - chance.sum())
+    for i, x in zip(opened, choices[off.argmin()]):
+        p[i] = float(x)
 
 
 def _decider(keys: list[str], name: str, salt: str, size: str, probability: str, last: bool, turn: int):
