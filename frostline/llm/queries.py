@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from frostline.llm import best_fit, cube_mixing, jaccard_join, language_id
+from frostline.llm import best_fit, cube_mixing, jaccard_join, language_id, line_templates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,12 @@ def op3_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its recurring lines, and how many lines it had and lost."""
+    docs = _table(spark, sf_dir, "documents")
+    return line_templates.without_templates(docs, counts=True).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document, for four-word shingles at 85 per cent."""
     return jaccard_join.grouped(_table(spark, sf_dir, "documents"), words=4, percent=85).drop("text_hash")
@@ -39,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_language_id,
         op3_cube_mixing,
+        op5_line_templates,
         op6_jaccard_join,
         op9_best_fit_packing,
     )
