@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.llm import best_fit, chat_trees, cube_mixing, jaccard_join, language_id, line_templates
+from frostline.llm import best_fit, chat_trees, cube_mixing, jaccard_join, language_id, line_templates, personal_data
 from frostline.llm.common import stored
 
 
@@ -51,6 +51,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.grouped(_table(spark, sf_dir, "documents"), words=4, percent=85).drop("text_hash")
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return personal_data.personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document."""
     return best_fit.pack_documents(_table(spark, sf_dir, "documents"))
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_chat_trees,
         op5_line_templates,
         op6_jaccard_join,
+        op7_personal_data,
         op9_best_fit_packing,
     )
 }
