@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.llm import best_fit, chat_trees, cube_mixing, jaccard_join, language_id, line_templates, personal_data
+from frostline.llm import best_fit, block_topk, chat_trees, cube_mixing, jaccard_join, language_id, line_templates, permutation_index, personal_data
 from frostline.llm.common import stored
 
 
@@ -20,6 +20,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every twentieth vector."""
+    return permutation_index.search(_table(spark, sf_dir, "embeddings"), permutation_index.every(20))
+
+
 def op3_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
     taken = cube_mixing.decisions(_table(spark, sf_dir, "documents"))
@@ -56,6 +61,11 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op8_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows for every twentieth vector, in integers."""
+    return block_topk.search(_table(spark, sf_dir, "embeddings"), permutation_index.every(20))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document."""
     return best_fit.pack_documents(_table(spark, sf_dir, "documents"))
@@ -65,11 +75,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id,
+        op2_permutation_index,
         op3_cube_mixing,
         op4_chat_trees,
         op5_line_templates,
         op6_jaccard_join,
         op7_personal_data,
+        op8_block_topk,
         op9_best_fit_packing,
     )
 }

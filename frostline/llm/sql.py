@@ -22,6 +22,21 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id
 """
 
+BLOCK_TOPK = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
 ORACLE: dict[str, str] = {
     "op4_chat_trees": CHAT_TREES,
+    "op8_block_topk": BLOCK_TOPK,
 }
