@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.llm import best_fit, block_topk, chat_trees, cube_mixing, jaccard_join, language_id, line_templates, permutation_index, personal_data
+from frostline.llm import (
+    best_fit,
+    block_topk,
+    chat_trees,
+    cube_mixing,
+    jaccard_join,
+    language_id,
+    license_scan,
+    line_templates,
+    permutation_index,
+    personal_data,
+)
 from frostline.llm.common import stored
 
 
@@ -71,6 +82,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License passages in every document."""
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,5 +99,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_personal_data,
         op8_block_topk,
         op9_best_fit_packing,
+        op10_license_scan,
     )
 }

@@ -1,5 +1,14 @@
 """Checking SQL for the queries that SQL can express, for DuckDB on the same tables."""
 
+from frostline.llm.license_texts import TEMPLATES
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 CHAT_TREES = r"""
 WITH turns AS (
     SELECT conv_id, turn, role, text FROM conversations
@@ -36,7 +45,37 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY rank <= 20
 """
 
+# Every document against every template, without windows or signatures.
+LICENSE_SCAN = f"""
+WITH templates(license, text) AS (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in TEMPLATES.items())}
+), texts AS (
+    SELECT 'd' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, '')) AS name, doc_id, text, FALSE AS is_template
+    FROM (SELECT DISTINCT doc_id, text FROM documents)
+    UNION ALL SELECT license, NULL, text, TRUE FROM templates
+), words AS (
+    SELECT name, doc_id, is_template, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[a-z0-9]+') AS w FROM texts
+), shingles AS (
+    SELECT name, doc_id, is_template, place, array_to_string(list_slice(w, place + 1, place + 5), ' ') AS shingle
+    FROM (SELECT name, doc_id, is_template, w, unnest(range(0, len(w) - 4)) AS place FROM words)
+), wanted AS (
+    SELECT DISTINCT name AS license, shingle,
+        count(*) OVER (PARTITION BY name) AS length, count(DISTINCT shingle) OVER (PARTITION BY name) AS different
+    FROM shingles WHERE is_template
+), hits AS (
+    SELECT s.name, s.doc_id, s.place, s.shingle, w.license, w.length, w.different FROM shingles s JOIN wanted w USING (shingle) WHERE NOT s.is_template
+), marked AS (
+    SELECT *, CASE WHEN place - lag(place) OVER (PARTITION BY name, license ORDER BY place) <= length THEN 0 ELSE 1 END AS starts FROM hits
+), runs AS (
+    SELECT *, sum(starts) OVER (PARTITION BY name, license ORDER BY place) AS run FROM marked
+)
+SELECT doc_id, license, CAST(min(place) AS INTEGER) AS first_word, CAST(max(place) + 4 AS INTEGER) AS last_word,
+    CAST(count(DISTINCT shingle) AS DOUBLE) / any_value(different) AS share
+FROM runs GROUP BY name, doc_id, license, run
+HAVING 100 * count(DISTINCT shingle) >= 80 * any_value(different)
+"""
+
 ORACLE: dict[str, str] = {
     "op4_chat_trees": CHAT_TREES,
     "op8_block_topk": BLOCK_TOPK,
+    "op10_license_scan": LICENSE_SCAN,
 }
