@@ -1,11 +1,64 @@
-"""The corpus pipeline: language ID, line dedup, n-gram Jaccard join, mixing, packing."""
+"""The corpus pipeline: from raw documents to packed training sequences.
 
-STAGES = []
+Each stage is a function of (spark, docs, sf_dir) over all that its predecessor kept; its result is written as Parquet
+and read again. All but the last keep the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from frostline.llm import best_fit, cube_mixing, jaccard_join, language_id, line_templates
+from frostline.llm.common import stored
+
+
+def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised with enough certainty."""
+    return language_id.accepted(docs)
+
+
+def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that an earlier document has too; those left without a word go.
+
+    n_chars follows the text.
+    """
+    shorter = line_templates.without_templates(docs).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return shorter.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by a Jaccard similarity of 0.8 or more of five-word shingles."""
+    return jaccard_join.one_of_each(docs)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return cube_mixing.mixed(docs)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every document's pieces in sequences of 1024 tokens."""
+    return best_fit.pack_documents(docs)
+
+
+STAGES = [
+    ("language ID", known_languages),
+    ("line dedup", without_recurring_lines),
+    ("n-gram Jaccard join", without_near_copies),
+    ("mixing", mixed_sources),
+    ("packing", packed_sequences),
+]
+
+#: A trained classifier decides what the first stage keeps, which SQL cannot express; tests compare each stage with
+#: plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = stored(docs, f"stage{i}")
     return docs

@@ -45,6 +45,56 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY rank <= 20
 """
 
+LINE_TEMPLATES = r"""
+WITH split AS (
+    SELECT DISTINCT doc_id, md5(text) AS h, string_split(text, chr(10)) AS all_lines FROM documents WHERE text IS NOT NULL
+), numbered AS (
+    SELECT doc_id, h, place, all_lines[place + 1] AS line
+    FROM (SELECT doc_id, h, all_lines, unnest(range(0, len(all_lines))) AS place FROM split)
+), tokenized AS (
+    SELECT doc_id, h, place, line, list_transform(
+        list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda t: t <> ''),
+        lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens
+    FROM numbered
+), lines AS (
+    SELECT doc_id, h, place, tokens, len(tokens) AS n, array_to_string(tokens[:3], ' ') AS head, array_to_string(tokens, ' ') AS form
+    FROM tokenized WHERE len(tokens) >= 3
+), leaves AS (
+    SELECT n, head FROM lines GROUP BY n, head HAVING min(doc_id) < max(doc_id) AND min(form) < max(form)
+), forms AS (
+    SELECT n, head, form, any_value(tokens) AS tokens, min(doc_id) AS low, max(doc_id) AS high
+    FROM lines JOIN leaves USING (n, head) GROUP BY n, head, form
+), words AS (
+    SELECT n, head, form, low, high, place, tokens[place + 1] AS token
+    FROM (SELECT *, unnest(range(0, n)) AS place FROM forms)
+), constants AS (
+    SELECT n, head, place, token FROM words GROUP BY n, head, place, token HAVING min(low) < max(high)
+), general AS (
+    SELECT w.form, string_agg(CASE WHEN c.token IS NULL THEN '<*>' ELSE w.token END, ' ' ORDER BY w.place) AS template
+    FROM words w LEFT JOIN constants c USING (n, head, place, token)
+    GROUP BY w.form
+    HAVING count(*) FILTER (WHERE c.token IS NULL) > 0
+        AND count(*) FILTER (WHERE c.token IS NOT NULL AND w.token <> '<*>') >= 0.7 * count(*)
+), literal AS (
+    SELECT form, min(doc_id) AS low, max(doc_id) AS high, any_value(n) AS n, any_value(len(list_filter(tokens, lambda t: t <> '<*>'))) AS fixed
+    FROM lines GROUP BY form
+), shared AS (
+    SELECT template, min(low) AS first FROM literal JOIN general USING (form)
+    GROUP BY template HAVING count(*) >= 3 AND min(low) < max(high)
+), firsts AS (
+    SELECT form, coalesce(shared.first, CASE WHEN low < high AND fixed >= 0.5 * n THEN low END) AS first
+    FROM literal LEFT JOIN general USING (form) LEFT JOIN shared USING (template)
+), gone AS (
+    SELECT DISTINCT doc_id, h, place, TRUE AS gone FROM lines JOIN firsts USING (form) WHERE doc_id <> first
+), rest AS (
+    SELECT doc_id, h, count(*) AS n_lines, count(gone) AS n_dropped,
+        coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE gone IS NULL), '') AS text
+    FROM numbered LEFT JOIN gone USING (doc_id, h, place) GROUP BY doc_id, h
+)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(n_dropped, 0) AS INTEGER) AS n_dropped, rest.text
+FROM documents d LEFT JOIN rest ON d.doc_id = rest.doc_id AND md5(d.text) = rest.h
+"""
+
 # Every document against every template, without windows or signatures.
 LICENSE_SCAN = f"""
 WITH templates(license, text) AS (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in TEMPLATES.items())}
@@ -76,6 +126,7 @@ HAVING 100 * count(DISTINCT shingle) >= 80 * any_value(different)
 
 ORACLE: dict[str, str] = {
     "op4_chat_trees": CHAT_TREES,
+    "op5_line_templates": LINE_TEMPLATES,
     "op8_block_topk": BLOCK_TOPK,
     "op10_license_scan": LICENSE_SCAN,
 }
