@@ -130,6 +130,25 @@ part(
     FROM tele t JOIN (VALUES (0), (1), (2)) n(n)
       ON n.n < CASE WHEN event_id % 40 = 0 THEN 3 WHEN event_id % 10 = 0 THEN 2 ELSE 1 END""",
 )
+part(
+    "corrected",
+    """
+    SELECT * EXCLUDE (last_copy) FROM (
+      SELECT t.* REPLACE (ingestion_timestamp + to_minutes(n.n) AS ingestion_timestamp,
+          temperature_c + n.n * 0.5e0 AS temperature_c),
+        n.n = max(n.n) OVER (PARTITION BY event_id) AS last_copy
+      FROM tele t JOIN (VALUES (0), (1), (2)) n(n)
+        ON n.n < CASE WHEN event_id % 40 = 0 THEN 3 WHEN event_id % 10 = 0 THEN 2 ELSE 1 END)
+    WHERE last_copy""",
+)
+part(
+    "corrections",
+    """
+    SELECT t.* REPLACE (ingestion_timestamp + to_minutes(n.n) AS ingestion_timestamp,
+      temperature_c + n.n * 0.5e0 AS temperature_c)
+    FROM tele t JOIN (VALUES (0), (1), (2)) n(n)
+      ON n.n < CASE WHEN event_id % 40 = 0 THEN 3 WHEN event_id % 10 = 0 THEN 2 ELSE 1 END""",
+)
 part(
     "landed",
     f"""
@@ -354,8 +373,7 @@ part(
     SELECT m.market_id, m.market_name, coalesce(s.latitude, m.latitude) AS latitude,
       coalesce(s.longitude, m.longitude) AS longitude, m.state, m.tier, m.handling_fee_pct,
       CAST(m.cold_storage_capacity_tons AS BIGINT) AS cold_storage_capacity_tons
-    FROM ref_market m LEFT JOIN seen_markets s USING (market_name)
-    WHERE s.market_name IS NOT NULL OR m.market_name IN (SELECT origin FROM tele)""",
+    FROM ref_market m LEFT JOIN seen_markets s USING (market_name)""",
 )
 
 # Rolling model
@@ -496,8 +514,7 @@ part(
     "console_rows",
     """
     SELECT d.*, f.spoilage_risk_score, coalesce(f.risk_level, 'Low') AS risk_level
-    FROM dealings d LEFT JOIN (SELECT * FROM fleet WHERE spoilage_risk_score >= 40) f
-      USING (container_id)""",
+    FROM dealings d LEFT JOIN fleet f USING (container_id)""",
 )
 part(
     "fleet_kpis",

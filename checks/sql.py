@@ -278,7 +278,7 @@ BODIES = {
       SELECT * FROM ({SOURCE_ROUTES})
       UNION ALL SELECT route_id || '_R', destination, origin, distance_km, estimated_transit_hours,
         toll_cost_inr, road_condition_index FROM ({SOURCE_ROUTES})
-      UNION ALL SELECT * EXCLUDE (i) FROM ref_route r WHERE origin <> 'Delhi' AND NOT EXISTS (
+      UNION ALL SELECT * EXCLUDE (i) FROM ref_route r WHERE NOT EXISTS (
         SELECT 1 FROM tele t WHERE t.origin = r.origin AND t.destination = r.destination)""",
     "mart_materialize": "SELECT * FROM mart",
     "mart_materialize_readings": "SELECT * FROM readings",
@@ -325,8 +325,9 @@ BODIES = {
         cause = '' AS is_valid, cause FROM messages""",
     "dead_letters": """SELECT record_id, "key", raw_payload, cause FROM messages WHERE cause <> ''""",
     "dedup_telemetry": """
-      SELECT container_id, "timestamp", record_id, max(ingestion_timestamp) AS ingestion_timestamp,
-        temperature_c FROM resent GROUP BY ALL""",
+      SELECT record_id, ingestion_timestamp, "timestamp", container_id, shipment_id, commodity, temperature_c,
+        humidity_pct, vibration_g, latitude, longitude, origin, destination, quantity_kg, speed_kmh, door_open,
+        compressor_status, anomaly_mode FROM corrected""",
     "dq_not_null": NOT_NULL,
     "dq_unique": UNIQUE,
     "dq_accepted_values": ACCEPTED,
@@ -473,9 +474,17 @@ BODIES = {
       UNION ALL SELECT 'alerts', record_id, detail FROM message_alarms""",
     "stream_alerts": ALERT_JSON,
     "stream_dedup": """
-      SELECT container_id, "timestamp", commodity, temperature_c, humidity_pct FROM tele""",
+      SELECT record_id, ingestion_timestamp, "timestamp", container_id, shipment_id, commodity, temperature_c,
+        humidity_pct, vibration_g, latitude, longitude, origin, destination, quantity_kg, speed_kmh, door_open,
+        compressor_status, anomaly_mode FROM corrected""",
     "stream_dedup_table": """
-      SELECT container_id, "timestamp", commodity, temperature_c, humidity_pct FROM tele""",
+      SELECT record_id, ingestion_timestamp, "timestamp", container_id, shipment_id, commodity, temperature_c,
+        humidity_pct, vibration_g, latitude, longitude, origin, destination, quantity_kg, speed_kmh, door_open,
+        compressor_status, anomaly_mode FROM corrected WHERE event_id % 59 <> 0
+      UNION ALL SELECT * REPLACE (NULL AS "timestamp") FROM (
+        SELECT record_id, ingestion_timestamp, "timestamp", container_id, shipment_id, commodity, temperature_c,
+        humidity_pct, vibration_g, latitude, longitude, origin, destination, quantity_kg, speed_kmh, door_open,
+        compressor_status, anomaly_mode FROM corrections WHERE event_id % 59 = 0)""",
     "stream_rolling": "SELECT * FROM risk_rows",
     "stream_transitions": "SELECT * FROM turned",
     "stream_latest": f"""SELECT {STAGED} FROM (SELECT *, row_number() OVER (PARTITION BY container_id

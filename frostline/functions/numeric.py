@@ -14,20 +14,21 @@ SETTLED = 6
 
 
 def round_total(value: Column, places: int) -> Column:
-    """Round a sum or an average of any size, through a decimal."""
-    return F.round(value.cast(f"decimal(38,{SETTLED})"), places).cast("double")
+    """Round a value of any size and sign, through a decimal; what no decimal holds (NaN, infinity) gives NULL."""
+    return F.round(value.try_cast(f"decimal(38,{SETTLED})"), places).cast("double")
 
 
 def round_positive(value: Column, places: int) -> Column:
-    """Round a value from 0 to 9e12, through whole numbers; names the value once."""
+    """Round a value that is rarely negative: through whole numbers from 0 to 9e12, else through a decimal."""
     step = 10 ** (SETTLED - places)
-    settled = (value * float(10**SETTLED) + 0.5).cast("bigint")
+    settled = (value * float(10**SETTLED) + 0.5).try_cast("bigint")
     units = F.call_function("div", settled + step // 2, F.lit(step).cast("bigint"))
-    return units.cast("double") / float(10**places)
+    whole = F.when((value >= 0) & (value < 9e12), units.cast("double") / float(10**places))
+    return F.coalesce(whole, round_total(value, places))
 
 
 def round_half_up(value: Column, places: int) -> Column:
-    """Round a value of either sign below 9e12; adding zero avoids a negative zero."""
+    """Round a value of either sign, alike on both sides; adding zero avoids a negative zero."""
     return F.signum(value) * round_positive(F.abs(value), places) + 0.0
 
 

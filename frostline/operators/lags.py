@@ -1,9 +1,8 @@
 """The rows before each row, without sorting a hot key in one task.
 
-A plain window puts all rows of a key into one task. Here a key that holds too
-many rows is cut along its clock into chunks that are sorted apart. Each chunk
-also gets the last rows that came before it, so the result is the one the plain
-window gives, whatever the cut.
+A plain window puts all rows of a key into one task. Here rows are first dealt out in ranges of key and order, so that
+a range holds about as many rows as any other, whatever the keys, the clocks and their gaps are. Each key's rows in a
+range are sorted apart, and get the last rows of the key's ranges before. The result is the one the plain window gives.
 """
 
 from __future__ import annotations
@@ -11,74 +10,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with more rows than this is cut.
-ROWS_PER_CHUNK = 5_000_000
-# So many keys at most, the largest ones, are cut. Any other key then holds less than
-# one part in HOT_KEYS of the rows, and one task sorts it whole.
-HOT_KEYS = 10_000
-# So many chunks at most per key: one task carries the rows from chunk to chunk.
-CHUNKS_PER_KEY = 1_000_000
-
-_FIRST_CHUNK = -(2**63)
-
+from frostline.sinks.tables import work_folder, write_mart
 
-def _seconds(clock: Column) -> Column:
-    day = F.datediff(F.to_date(clock), F.lit("1970-01-01").cast("date")).cast("double")
-    second = F.date_part(F.lit("SECOND"), clock).cast("double")
-    return day * 86400.0 + F.hour(clock) * 3600.0 + F.minute(clock) * 60.0 + second
+# About so many rows make a range, however many ranges that takes.
+ROWS_PER_CHUNK = 5_000_000
 
 
-def hot_keys(df: DataFrame, key: str, clock: str, rows_per_chunk: int) -> DataFrame:
-    """Keys to cut and the width of their chunks in seconds: HOT_KEYS rows at most.
+def chunked(df: DataFrame, key: str, order: list[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """``df`` with ``_chunk``: ranges of key and order, numbered upwards.
 
-    Counting per key and hour reads two columns and combines before the shuffle.
+    The split is by position among all rows, found by Spark's sampling range partitioner, so a burst within one second
+    or rows without a clock are split like any others. Only rows that agree in key and whole order stay together.
+    The table is written, as a second run of the partitioner might draw other borders.
     """
-    hour = F.floor(_seconds(F.col(clock)) / 3600)
-    hours = df.filter(F.col(key).isNotNull()).groupBy(key, hour.alias("_hour")).count()
-    sizes = hours.groupBy(key).agg(
-        F.sum("count").alias("_rows"),
-        F.max("count").alias("_densest"),
-        (3600.0 * (F.max("_hour") - F.min("_hour") + 1)).alias("_span"),
-    )
-    largest = (
-        sizes.filter(F.col("_rows") > rows_per_chunk).orderBy(F.col("_rows").desc(), key)
-    ).limit(HOT_KEYS)
-    by_density = 3600.0 * rows_per_chunk / F.col("_densest")
-    width = F.greatest(by_density, F.col("_span") / CHUNKS_PER_KEY)
-    return largest.select(key, width.alias("_width"))
+    spark = df.sparkSession
+    chunks = max(-(-df.count() // rows_per_chunk), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cut = df.repartitionByRange(chunks, key, *order).withColumn("_chunk", F.spark_partition_id())
+    return write_mart(cut, work_folder(spark, "chunks"))
 
 
 def with_previous(
     df: DataFrame,
     key: str,
     order: list[str],
-    clock: str,
     columns: list[str],
     count: int,
     rows_per_chunk: int = ROWS_PER_CHUNK,
-    ahead: Column | None = None,
 ) -> DataFrame:
     """Add ``previous_1`` .. ``previous_<count>``: structs of the rows before, nearest first.
 
-    ``order`` must sort by ``clock`` within a key, except that rows marked by
-    ``ahead`` come before all others.
+    Rows of one key come by ``order``, nulls first.
     """
-    hot = F.broadcast(hot_keys(df, key, clock, rows_per_chunk))
-    late = F.floor(_seconds(F.col(clock)) / F.col("_width"))
-    before_all = F.col(clock).isNull() if ahead is None else F.col(clock).isNull() | ahead
-    chunk = (
-        F.when(F.col("_width").isNull(), F.lit(0).cast("bigint"))
-        .when(before_all, F.lit(_FIRST_CHUNK).cast("bigint"))
-        .otherwise(late.cast("bigint"))
-    )
     group = [key, "_chunk"]
     row = F.struct(*columns)
+    cut = chunked(df, key, order, rows_per_chunk)
 
     tail_order = Window.partitionBy(*group).orderBy(*[F.col(c).desc() for c in order])
     tails = (
-        df.join(hot, key)
-        .withColumn("_chunk", chunk)
-        .select(*group, *order, row.alias("_row"))
+        cut.select(*group, *order, row.alias("_row"))
         .withColumn("_place", F.row_number().over(tail_order))
         .filter(F.col("_place") <= count)
         .groupBy(*group)
@@ -87,27 +56,23 @@ def with_previous(
     # Each chunk has a row at least, so `count` chunks back reach far enough.
     back = Window.partitionBy(key).orderBy("_chunk").rowsBetween(-count, -1)
     halos = tails.select(
-        *group, F.flatten(F.reverse(F.collect_list("_tail").over(back))).alias("_halo")
+        F.col(key).alias("_halo_key"),
+        F.col("_chunk").alias("_halo_chunk"),
+        F.flatten(F.reverse(F.collect_list("_tail").over(back))).alias("_halo"),
     )
+    same = F.col(key).eqNullSafe(F.col("_halo_key")) & (F.col("_chunk") == F.col("_halo_chunk"))
 
     window = Window.partitionBy(*group).orderBy(*order)
-    lagged = (
-        df.join(hot, key, "left")
-        .withColumn("_chunk", chunk)
-        .drop("_width")
-        .withColumns(
-            {
-                "_place": F.row_number().over(window),
-                **{f"_lag_{i}": F.lag(row, i).over(window) for i in range(1, count + 1)},
-            }
-        )
-        .join(halos, group, "left")
-    )
-    previous = {
-        f"previous_{i}": F.when(F.col("_place") > i, F.col(f"_lag_{i}")).otherwise(
-            F.get("_halo", F.lit(i) - F.col("_place"))
-        )
-        for i in range(1, count + 1)
-    }
-    helpers = ["_chunk", "_place", "_halo", *[f"_lag_{i}" for i in range(1, count + 1)]]
-    return lagged.withColumns(previous).drop(*helpers)
+    lagged = cut.withColumns(
+        {
+            "_place": F.row_number().over(window),
+            **{f"_lag_{i}": F.lag(row, i).over(window) for i in range(1, count + 1)},
+        }
+    ).join(halos, same, "left")
+
+    def previous(i: int) -> Column:
+        before = F.get("_halo", F.lit(i) - F.col("_place"))
+        return F.when(F.col("_place") > i, F.col(f"_lag_{i}")).otherwise(before)
+
+    helpers = ["_chunk", "_place", "_halo", "_halo_key", "_halo_chunk", *[f"_lag_{i}" for i in range(1, count + 1)]]
+    return lagged.withColumns({f"previous_{i}": previous(i) for i in range(1, count + 1)}).drop(*helpers)

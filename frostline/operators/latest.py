@@ -30,6 +30,12 @@ def newest_per_container(df: DataFrame, rows: int = 1, rank: str | None = None)
 
 
 def without_retries(df: DataFrame) -> DataFrame:
-    """One row per container and timestamp: the one ingested last."""
+    """One row per container and timestamp: the one ingested last.
+
+    A reading without container or clock cannot be told from another, so all of them are kept. They are spread over
+    the tasks by their record id.
+    """
     order = [F.col("ingestion_timestamp").desc_nulls_last(), F.col("record_id").desc_nulls_last()]
-    return first_rows(df, ["container_id", "timestamp"], order)
+    unknown = F.col("container_id").isNull() | F.col("timestamp").isNull()
+    known = first_rows(df.filter(~unknown), ["container_id", "timestamp"], order)
+    return known.unionByName(df.filter(unknown))

@@ -17,7 +17,11 @@ LIMITS = {
     "temperature_c": (-30.0, 60.0),
     "humidity_pct": (0.0, 100.0),
     "vibration_g": (0.0, 5.0),
+    "latitude": (-90.0, 90.0),
+    "longitude": (-180.0, 180.0),
 }
+#: Fields that must be texts with something in them.
+TEXTS = ["container_id", "shipment_id", "commodity", "origin", "destination"]
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
@@ -50,6 +54,11 @@ def event_errors() -> Column:
         for c, (low, high) in LIMITS.items()
     ]
     ranges.append(F.when(~(F.col("quantity_kg") > 0), "quantity_kg out of range"))
+    # Decoding turns numbers into text, so the message itself tells what was sent.
+    sent = F.try_parse_json("value")
+    for c in TEXTS:
+        kind = F.schema_of_variant(F.try_variant_get(sent, f"$.{c}", "variant"))
+        ranges.append(F.when(F.col(c).isNotNull() & ((kind != "STRING") | (F.trim(c) == "")), f"invalid {c}"))
     details = F.array_compact(F.array(*[absent(c) for c in REQUIRED_FIELDS], *ranges))
     return F.when(broken & nothing, F.array(F.lit("malformed"))).otherwise(details)
 

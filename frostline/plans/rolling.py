@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from frostline.functions.numeric import all_present, clamp, round_half_up, round_positive
+from frostline.functions.numeric import all_present, clamp, least_strict, round_half_up, round_positive
 from frostline.operators.lags import ROWS_PER_CHUNK, with_previous
 from frostline.operators.latest import newest_first, newest_per_container
 from frostline.plans.staging import STAGED_COLUMNS
@@ -108,7 +108,6 @@ def rolling_features(
         readings.select(*STAGED_COLUMNS),
         "container_id",
         ["telemetry_timestamp", "record_id"],
-        "telemetry_timestamp",
         [*SENSORS, "commodity"],
         ANOMALY_ROWS - 1 + extra,
         rows_per_chunk,
@@ -218,8 +217,10 @@ def decide(state: DataFrame, desk: ref.Desk, overrides: DataFrame | None = None)
     routes = ref.scheduled_routes(spark).withColumnRenamed("destination", "current_destination")
     score, left = F.col("spoilage_risk_score"), F.col("time_to_spoilage_hours")
     hours, kg = F.col("current_transit_hours"), F.col("quantity_kg")
-    loss_rate = F.when(hours > left, 0.80).otherwise(
-        F.least(F.lit(0.70), (score / 100.0) * 0.40)
+    # An unknown score leaves the loss unknown, and the container on its route.
+    loss_rate = F.when(
+        score.isNotNull(),
+        F.when(hours > left, 0.80).otherwise(least_strict(F.lit(0.70), (score / 100.0) * 0.40)),
     )
     if "current_transit_hours" not in state.columns:
         planned = planned.join(routes, ["origin", "current_destination"], "left").withColumn(
@@ -243,8 +244,8 @@ def decide(state: DataFrame, desk: ref.Desk, overrides: DataFrame | None = None)
     )
     options = ref.candidates(spark, desk).withColumnRenamed("commodity", "spec_key")
     reach, price = F.col("candidate_hours"), F.col("candidate_price")
-    candidate_rate = (
-        F.when(reach > left, 0.85).when(reach <= left * 0.5, 0.10).otherwise(0.25)
+    candidate_rate = F.when(
+        left.isNotNull(), F.when(reach > left, 0.85).when(reach <= left * 0.5, 0.10).otherwise(0.25)
     )
     evaluated = (
         planned.join(options, "spec_key")

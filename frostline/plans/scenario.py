@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frostline.functions.numeric import clamp, round_half_up, round_positive
+from frostline.functions.numeric import all_present, clamp, least_strict, round_half_up, round_positive
 from frostline.plans.rolling import hours_left, risk_level, with_specs
 
 # Hours of the planned route, speed and costs of a diversion, price premium
@@ -25,21 +25,26 @@ def what_if(cases: DataFrame) -> DataFrame:
     optimum, critical = F.col("temp_opt"), F.col("temp_critical")
     score, left = F.col("score"), F.col("shelf_hours_left")
     reach, kg, price = F.col("diversion_hours"), F.col("quantity_kg"), F.col("typical_price")
-    total = (
+    measures = all_present(*[F.col(c) for c in ("temperature_c", "humidity_pct", "vibration_g", "alerts")])
+    # An unknown measure makes the score unknown, and with it all that follows.
+    total = F.when(
+        measures,
         clamp((F.col("temperature_c") - optimum) / (critical - optimum) * 45.0, 0.0, 45.0)
         + clamp(F.abs(F.col("humidity_pct") - 90.0) / 20.0 * 20.0, 0.0, 20.0)
         + clamp((F.col("vibration_g") - 0.10) / 0.35 * 15.0, 0.0, 15.0)
-        + F.least(F.lit(20.0), F.col("alerts") * 4.0)
+        + F.least(F.lit(20.0), F.col("alerts") * 4.0),
     )
 
     def late(on_time: Column) -> Column:
         return F.when(PLANNED_HOURS > left, 0.80).otherwise(on_time)
 
-    stay_rate = late(F.least(F.lit(0.70), (score / 100.0) * 0.40))
-    divert_rate = F.when(reach > left, 0.85).when(reach <= left * 0.5, 0.10).otherwise(0.25)
+    stay_rate = F.when(score.isNotNull(), late(least_strict(F.lit(0.70), (score / 100.0) * 0.40)))
+    divert_rate = F.when(
+        left.isNotNull(), F.when(reach > left, 0.85).when(reach <= left * 0.5, 0.10).otherwise(0.25)
+    )
     return (
         with_specs(cases)
-        .withColumn("score", round_positive(clamp(total, 0.0, 100.0), 1))
+        .withColumn("score", F.when(total.isNotNull(), round_positive(clamp(total, 0.0, 100.0), 1)))
         .withColumns(
             {
                 "level": risk_level(score),
@@ -56,7 +61,7 @@ def what_if(cases: DataFrame) -> DataFrame:
                 "divert_value": round_positive(
                     kg * round_positive(price * PREMIUM, 0) * (1.0 - divert_rate), 0
                 ),
-                "viable": reach <= left,
+                "viable": F.coalesce(reach <= left, F.lit(False)),
             }
         )
         .withColumn(

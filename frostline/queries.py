@@ -197,9 +197,7 @@ def sink_json(spark, sf_dir):
 
 def upsert_markets(spark, sf_dir):
     readings, markets = feed.readings(spark, sf_dir), staging.stage_markets(ref.raw_markets(spark))
-    return upsert.upsert_markets(
-        feed.visited_markets(readings, markets), feed.observed_markets(readings, markets)
-    )
+    return upsert.upsert_markets(markets, feed.observed_markets(readings, markets))
 
 
 def upsert_prices(spark, sf_dir):
@@ -218,7 +216,7 @@ def upsert_prices(spark, sf_dir):
 def upsert_routes(spark, sf_dir):
     routes = staging.stage_routes(ref.raw_routes(spark))
     source = feed.observed_routes(feed.readings(spark, sf_dir), routes)
-    return upsert.upsert_routes(routes.filter(F.col("origin") != "Delhi"), source)
+    return upsert.upsert_routes(routes, source)
 
 
 def seed_readings(spark, sf_dir):
@@ -290,10 +288,8 @@ def dead_letters(spark, sf_dir):
 
 
 def dedup_telemetry(spark, sf_dir):
-    retries = feed.resent(feed.readings(spark, sf_dir))
-    return without_retries(retries).select(
-        "container_id", "timestamp", "record_id", "ingestion_timestamp", "temperature_c"
-    )
+    retries = feed.resent(feed.readings(spark, sf_dir), corrected=True)
+    return without_retries(retries).select(feed.READING_COLUMNS)
 
 
 def _landed_check(check):
@@ -358,10 +354,8 @@ def _console_arbitrage(spark, sf_dir):
 
 
 def _console_table(spark, sf_dir):
-    """Only fleet members above a moderate score are listed, the others count as low."""
     state = _stored_state(spark, sf_dir)
-    fleet = console.fleet_records(state).filter(F.col("spoilage_risk_score") >= 40.0)
-    return console.console_table(console.arbitrage_records(state), fleet)
+    return console.console_table(console.arbitrage_records(state), console.fleet_records(state))
 
 
 def console_document(spark, sf_dir):
@@ -435,15 +429,20 @@ def stream_alerts(spark, sf_dir):
 
 
 def stream_dedup(spark, sf_dir):
+    """The deduplication job, started again after it had seen everything."""
     folder = tables.work_folder(spark, "dedup")
-    jobs.run_to_end(jobs.dedup_stream(feed.resent(_stream(spark, sf_dir)), folder))
-    return spark.read.parquet(f"{folder}/fresh")
+    raw = feed.resent(_stream(spark, sf_dir), corrected=True).select(feed.READING_COLUMNS)
+    for _ in range(2):
+        jobs.run_to_end(jobs.dedup_stream(raw, folder))
+    return jobs.fresh_readings(spark, folder, raw.schema)
 
 
 def stream_dedup_table(spark, sf_dir):
+    """The deduplication job over the feed as it lands: some clocks are missing."""
     folder = tables.work_folder(spark, "dedup-table")
-    jobs.run_to_end(jobs.dedup_table_stream(feed.resent(_stream(spark, sf_dir)), folder))
-    return jobs.fresh_readings(spark, folder)
+    raw = feed.unclocked(feed.resent(_stream(spark, sf_dir), corrected=True)).select(feed.READING_COLUMNS)
+    jobs.run_to_end(jobs.dedup_stream(raw, folder))
+    return jobs.fresh_readings(spark, folder, raw.schema)
 
 
 def _scored_stream(spark, sf_dir):
@@ -470,8 +469,9 @@ def stream_latest(spark, sf_dir):
 def stream_marts(spark, sf_dir):
     folder = tables.work_folder(spark, "marts")
     fixed = Marts(feed.readings(spark, sf_dir))
-    query = jobs.mart_stream(_stream(spark, sf_dir), fixed.markets, fixed.prices, folder)
-    return jobs.current_mart(spark, folder, jobs.run_to_end(query))
+    for _ in range(2):  # the second start finds nothing new
+        jobs.run_to_end(jobs.mart_stream(_stream(spark, sf_dir), fixed.markets, fixed.prices, folder))
+    return jobs.current_mart(spark, folder)
 
 
 QUERIES = {

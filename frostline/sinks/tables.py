@@ -14,11 +14,11 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for a job's tables and stream checkpoints.
 
     On a cluster this lies in the shared folder named by ``spark.checkpoint.dir``.
-    Only a local session may fall back to the machine's temporary folder.
+    Only a session of one process may fall back to the machine's temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/frostline-{purpose}-{uuid.uuid4().hex}"

@@ -131,15 +131,24 @@ def raw_feed(df: DataFrame) -> DataFrame:
     )
 
 
-def resent(df: DataFrame) -> DataFrame:
-    """Readings with retries: some arrive again, up to three times, at later times."""
+def resent(df: DataFrame, corrected: bool = False) -> DataFrame:
+    """Readings with retries: some arrive again, up to three times, at later times.
+
+    With ``corrected`` each retry also corrects the temperature, so that it matters which one is kept.
+    """
     copies = F.when(_every(40), 3).when(_every(10), 2).otherwise(1)
     later = F.col("ingestion_timestamp") + F.make_dt_interval(mins="copy")
-    return (
-        df.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
-        .withColumn("ingestion_timestamp", later)
-        .drop("copy")
+    sent = df.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1))).withColumn(
+        "ingestion_timestamp", later
     )
+    if corrected:
+        sent = sent.withColumn("temperature_c", F.col("temperature_c") + F.col("copy") * 0.5)
+    return sent.drop("copy")
+
+
+def unclocked(df: DataFrame) -> DataFrame:
+    """Readings some of which come without a clock."""
+    return df.withColumn("timestamp", F.when(~_every(59), F.col("timestamp")))
 
 
 def messages(df: DataFrame) -> DataFrame:
@@ -232,12 +241,6 @@ def observed_markets(df: DataFrame, markets: DataFrame) -> DataFrame:
     return markets.drop("latitude", "longitude").join(seen, "market_name").select(markets.columns)
 
 
-def visited_markets(df: DataFrame, markets: DataFrame) -> DataFrame:
-    """Markets that some container started from."""
-    starts = df.select(F.col("origin").alias("market_name")).distinct()
-    return markets.join(starts, "market_name", "left_semi").select(markets.columns)
-
-
 def observed_routes(df: DataFrame, routes: DataFrame) -> DataFrame:
     """Corridor rows as driven, with the way back as a corridor of its own."""
     speed = df.groupBy("origin", "destination").agg(F.avg("speed_kmh").alias("speed"))

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from frostline.operators.lags import ROWS_PER_CHUNK, with_previous
 from frostline.operators.latest import first_rows, newest_per_container, without_retries
@@ -20,13 +21,17 @@ from frostline.plans.kinetics import container_health, spoilage_risk
 from frostline.plans.markets import market_options
 from frostline.plans.marts import spoilage_arbitrage
 from frostline.plans.quality import dead_letters, valid_events, validate_events
-from frostline.plans.staging import FLAG_COLUMNS, STAGED_COLUMNS, stage_telemetry
+from frostline.plans.staging import (
+    FLAG_COLUMNS,
+    STAGED_COLUMNS,
+    stage_markets,
+    stage_prices,
+    stage_telemetry,
+)
+from frostline.sources import reference as ref
 from frostline.sources.schemas import EVENT_FIELDS
 from frostline.streaming.topics import trigger
 
-RETRY_DELAY = "1 hour"
-_FRESH_COLUMNS = ["container_id", "timestamp", "commodity", "temperature_c", "humidity_pct"]
-
 
 def _finish(query) -> None:
     query.awaitTermination()
@@ -52,31 +57,53 @@ def _put(df: DataFrame, folder: str, name: str, batch: int) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch}")
 
 
-def read_output(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Everything a job has put out, with the batch it came from."""
-    return spark.read.option("mergeSchema", False).parquet(f"{folder}/{name}")
+def read_output(spark: SparkSession, folder: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """Everything a job has put out, with the batch it came from.
+
+    With a schema the job may also have put out nothing yet, or only empty batches.
+    """
+    if schema is None:
+        return spark.read.option("mergeSchema", False).parquet(f"{folder}/{name}")
+    columns = [f for f in schema.fields if f.name != "batch"]
+    whole = StructType([*columns, StructField("batch", IntegerType())])
+    if not _exists(spark, f"{folder}/{name}"):
+        return spark.createDataFrame([], whole)
+    return spark.read.schema(whole).parquet(f"{folder}/{name}")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 class _State:
     """A table that each batch replaces, in two slots taken in turn.
 
     A batch reads the slot of the batch before and writes the other one. A repeated
-    batch therefore finds the state it started from.
+    batch therefore finds the state it started from. Each row carries the batch that
+    wrote it, so a reader needs no other record of how far the job has come.
     """
 
     def __init__(self, folder: str, columns: str):
         self.folder, self.columns = f"{folder}/state", columns
 
     def before(self, spark: SparkSession, batch: int) -> DataFrame:
-        if batch == 0:
+        path = f"{self.folder}/slot={(batch - 1) % 2}"
+        if batch == 0 or not _exists(spark, path):
             return spark.createDataFrame([], self.columns)
-        return spark.read.schema(self.columns).parquet(f"{self.folder}/slot={(batch - 1) % 2}")
+        return spark.read.schema(self.columns).parquet(path)
 
     def put(self, df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.folder}/slot={batch % 2}")
+        written = df.withColumn("state_batch", F.lit(batch).cast("long"))
+        written.write.mode("overwrite").parquet(f"{self.folder}/slot={batch % 2}")
 
-    def last(self, spark: SparkSession, batch: int) -> DataFrame:
-        return self.before(spark, batch + 1)
+    def current(self, spark: SparkSession) -> DataFrame:
+        """What the last batch with any state has left; empty if there was none."""
+        if not _exists(spark, self.folder):
+            return spark.createDataFrame([], self.columns)
+        rows = spark.read.schema(f"{self.columns}, state_batch long").parquet(self.folder)
+        last = rows.agg(F.max("state_batch").alias("state_batch"))
+        return rows.join(last, "state_batch").drop("state_batch", "slot")
 
 
 # Ingestion
@@ -94,11 +121,13 @@ def ingest(messages: DataFrame, folder: str, seconds: float | None = None):
                 for c in EVENT_FIELDS
             ],
         )
-        _put(valid, folder, "valid", number)
-        alerts = alert_documents(with_reasons(valid, "timestamp"), "timestamp")
-        _put(alerts, folder, "alerts", number)
-        _put(dead_letters(checked), folder, "dead", number)
-        checked.unpersist()
+        try:
+            _put(valid, folder, "valid", number)
+            alerts = alert_documents(with_reasons(valid, "timestamp"), "timestamp")
+            _put(alerts, folder, "alerts", number)
+            _put(dead_letters(checked), folder, "dead", number)
+        finally:
+            checked.unpersist()
 
     return _each_batch(messages, folder, action, seconds=seconds)
 
@@ -116,46 +145,31 @@ def alert_stream(readings: DataFrame, folder: str, seconds: float | None = None)
 
 
 def dedup_stream(raw: DataFrame, folder: str, seconds: float | None = None):
-    """Drop retries of a reading that arrive within the delay, with bounded state.
+    """Drop retries however late they come; the one ingested last stays, late readings are kept.
 
-    Readings later than the delay are lost here, as with any watermark. Where the
-    source may be later than that, use ``dedup_table_stream``.
-    """
-    fresh = (
-        raw.withColumn("event_time", F.col("timestamp").cast("timestamp"))
-        .withWatermark("event_time", RETRY_DELAY)
-        .dropDuplicatesWithinWatermark(["container_id", "timestamp"])
-        .select(_FRESH_COLUMNS)
-    )
-    return (
-        fresh.writeStream.format("parquet")
-        .option("path", f"{folder}/fresh")
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(**trigger(seconds))
-        .start()
-    )
-
-
-def dedup_table_stream(raw: DataFrame, folder: str, seconds: float | None = None):
-    """Drop retries however late they come; late readings are kept.
-
-    The table written so far is the state. Each batch is compared with the days it
-    touches, which the table is partitioned by.
+    The table written so far is the state. A batch is compared with the days it touches, which the table is partitioned
+    by, and adds what is new or newer; ``fresh_readings`` takes the newest row of each reading. Readings without
+    container or clock are all kept.
     """
+    schema = raw.schema
 
     def action(batch: DataFrame, number: int) -> None:
-        fresh = without_retries(batch).select(
-            *_FRESH_COLUMNS, F.to_date("timestamp").alias("event_date")
-        )
+        fresh = without_retries(batch).withColumn("event_date", F.to_date("timestamp"))
         if number > 0:
-            days = batch.agg(
-                F.to_date(F.min("timestamp")).alias("first"),
-                F.to_date(F.max("timestamp")).alias("last"),
-            ).first()
-            written = read_output(batch.sparkSession, folder, "fresh").filter(
-                (F.col("batch") < number) & F.col("event_date").between(days["first"], days["last"])
+            days = fresh.select("event_date").distinct()
+            written = _written(batch.sparkSession, folder, schema).filter(F.col("batch") < number)
+            known = (
+                written.join(days, "event_date", "left_semi")
+                .groupBy("event_date", "container_id", "timestamp")
+                .agg(F.max(F.struct("ingestion_timestamp", "record_id")).alias("known"))
+            )
+            own = F.struct("ingestion_timestamp", "record_id")
+            fresh = (
+                fresh.join(known, ["event_date", "container_id", "timestamp"], "left")
+                .filter(F.col("known").isNull() | (own > F.col("known")))
+                .drop("known")
+                .select(*schema.names, "event_date")
             )
-            fresh = fresh.join(written, ["event_date", "container_id", "timestamp"], "left_anti")
         fresh.hint("rebalance", "event_date").write.mode("overwrite").partitionBy(
             "event_date"
         ).parquet(f"{folder}/fresh/batch={number}")
@@ -163,8 +177,14 @@ def dedup_table_stream(raw: DataFrame, folder: str, seconds: float | None = None
     return _each_batch(raw, folder, action, seconds=seconds)
 
 
-def fresh_readings(spark: SparkSession, folder: str) -> DataFrame:
-    return read_output(spark, folder, "fresh").select(_FRESH_COLUMNS)
+def _written(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    dated = StructType([*schema.fields, StructField("event_date", DateType())])
+    return read_output(spark, folder, "fresh", dated)
+
+
+def fresh_readings(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """The newest row of each reading that the job has written, with all its columns."""
+    return without_retries(_written(spark, folder, schema)).select(schema.names)
 
 
 # Rolling risk
@@ -208,11 +228,9 @@ def rolling_stream(
                         rows,
                         "container_id",
                         order,
-                        "telemetry_timestamp",
                         [*rolling.SENSORS, "commodity"],
                         _TAIL_ROWS,
                         rows_per_chunk,
-                        ahead=F.col("arrival") == 0,
                     ).filter(F.col("arrival") == 1)
                 )
             )
@@ -298,16 +316,20 @@ def mart_stream(
             stage_telemetry(batch).select(*STAGED_COLUMNS, *FLAG_COLUMNS)
         ).withColumn("changed", F.lit(number))
         state.put(newest_per_container(known.unionByName(fresh)), number)
-        changed = state.last(batch.sparkSession, number).filter(F.col("changed") == number)
+        changed = state.before(batch.sparkSession, number + 1).filter(F.col("changed") == number)
         risk = spoilage_risk(container_health(changed))
         _put(spoilage_arbitrage(market_options(risk, markets, prices)), folder, "mart", number)
 
     return _each_batch(raw, folder, action, seconds=seconds)
 
 
-def current_mart(spark: SparkSession, folder: str, last_batch: int) -> DataFrame:
-    """Mart rows of each container's latest change."""
-    state = _State(folder, _LATEST_COLUMNS).last(spark, last_batch)
+def current_mart(spark: SparkSession, folder: str) -> DataFrame:
+    """Mart rows of each container's latest change, however often the job was started."""
+    state = _State(folder, _LATEST_COLUMNS).current(spark)
+    if not _exists(spark, f"{folder}/mart"):
+        risk = spoilage_risk(container_health(state.limit(0)))
+        markets, prices = stage_markets(ref.raw_markets(spark)), stage_prices(ref.raw_prices(spark), F.current_timestamp())
+        return spoilage_arbitrage(market_options(risk, markets, prices))
     current = state.select("container_id", F.col("changed").alias("batch"))
     return read_output(spark, folder, "mart").join(current, ["container_id", "batch"]).drop("batch")
 

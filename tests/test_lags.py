@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from frostline.operators.lags import hot_keys, with_previous
+from frostline.operators.lags import chunked, with_previous
 
 COLUMNS = "c string, t timestamp_ntz, id string, v double"
 
@@ -42,7 +42,7 @@ def brute_force(rows, count):
 def test_lags_equal_brute_force(spark, seed, rows_per_chunk):
     rows = make_rows(seed)
     df = spark.createDataFrame(rows, COLUMNS)
-    lagged = with_previous(df, "c", ["t", "id"], "t", ["v"], 4, rows_per_chunk)
+    lagged = with_previous(df, "c", ["t", "id"], ["v"], 4, rows_per_chunk)
     found = {}
     for r in lagged.collect():
         before = [r[f"previous_{i}"] for i in range(1, 5)]
@@ -50,16 +50,23 @@ def test_lags_equal_brute_force(spark, seed, rows_per_chunk):
     assert found == brute_force(rows, 4)
 
 
-def test_only_large_keys_are_cut(spark):
-    df = spark.createDataFrame(make_rows(3), COLUMNS)
-    assert [r["c"] for r in hot_keys(df, "c", "t", 100).collect()] == ["hot"]
-    assert hot_keys(df, "c", "t", 10_000).count() == 0
+BOUND = 1000
 
 
-def test_dense_hour_gets_narrow_chunks(spark):
-    df = spark.createDataFrame(make_rows(4), COLUMNS)
-    width = hot_keys(df, "c", "t", 20).filter("c = 'hot'").first()["_width"]
-    hot = df.filter("c = 'hot' AND t IS NOT NULL")
-    seconds = F.unix_timestamp(F.col("t").cast("timestamp"))
-    largest = hot.groupBy(F.floor(seconds / width)).count().agg(F.max("count")).first()[0]
-    assert largest <= 60
+@pytest.mark.parametrize(
+    "burst",
+    [
+        lambda i: datetime(2024, 1, 1),  # one container, one second
+        lambda i: None if i % 10 else datetime(2024, 1, 1) + timedelta(seconds=i),  # hardly any clocks
+    ],
+)
+def test_bursts_and_missing_clocks_are_cut(spark, burst):
+    rows = [("hot", burst(i), f"{i:06d}", float(i)) for i in range(20_000)]
+    chunks = chunked(spark.createDataFrame(rows, COLUMNS), "c", ["t", "id"], BOUND).groupBy("c", "_chunk").count()
+    assert chunks.agg(F.max("count")).first()[0] <= 2 * BOUND
+
+
+def test_rows_without_a_key_are_cut_too(spark):
+    rows = [(None, None, f"{i:04d}", float(i)) for i in range(300)]
+    lagged = with_previous(spark.createDataFrame(rows, COLUMNS), "c", ["t", "id"], ["v"], 1, 20)
+    assert all((r["previous_1"] or {"v": -1.0})["v"] == r["v"] - 1 for r in lagged.collect())

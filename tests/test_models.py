@@ -1,6 +1,7 @@
 """Edge cases and properties of the models."""
 
 import itertools
+import json
 from datetime import datetime
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from frostline.functions import numeric
 from frostline.operators.latest import without_retries
-from frostline.plans import dashboard, filters, rolling, staging
+from frostline.plans import dashboard, filters, quality, rolling, scenario, staging
 from frostline.plans.marts import Marts
 from frostline.sources import reference as ref
 from frostline.sources import telemetry as feed
@@ -293,3 +294,59 @@ def test_rounding_forms_agree(spark):
         numeric.round_half_up(F.col("v"), 1), numeric.round_half_up(F.col("low"), 0).cast("string")
     ).first()
     assert tuple(row) == (None, "0.0")
+
+
+def test_rounding_holds_for_any_value(spark):
+    values = [0.125, -0.125, 214280.005, -214280.005, 1e12 + 0.25, float("nan"), float("inf"), None, -0.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    for rounded in (numeric.round_positive, numeric.round_half_up, numeric.round_total):
+        got = [r[0] for r in df.orderBy("i").select(rounded(F.col("v"), 2)).collect()]
+        assert got == [0.13, -0.13, 214280.01, -214280.01, 1e12 + 0.25, None, None, None, 0.0]
+
+
+def test_a_bad_row_leaves_the_others_as_they_are(spark, small):
+    readings = feed.readings(spark, small)
+    before = Marts(readings).arbitrage.toPandas().set_index("container_id").sort_index()
+    names = [r[0] for r in readings.select("container_id").distinct().orderBy("container_id").limit(3).collect()]
+    bad = readings.withColumns(
+        {
+            "latitude": F.when(F.col("container_id") == names[0], float("nan")).otherwise(F.col("latitude")),
+            "quantity_kg": F.when(F.col("container_id") == names[1], 10**12)
+            .when(F.col("container_id") == names[2], -1000)
+            .otherwise(F.col("quantity_kg")),
+        }
+    )
+    after = Marts(bad).arbitrage.toPandas().set_index("container_id").sort_index()
+    others = before.index.difference(names)
+    assert set(before.index) == set(after.index) and before.loc[others].equals(after.loc[others])
+
+
+def test_events_of_wrong_kind_are_rejected(spark):
+    event = {
+        "timestamp": "2024-01-01T00:00:00Z", "container_id": "C", "shipment_id": "S", "commodity": "Mango",
+        "temperature_c": 5.0, "humidity_pct": 80.0, "vibration_g": 0.1, "latitude": 10.0, "longitude": 20.0,
+        "origin": "Pune", "destination": "Delhi", "quantity_kg": 10,
+    }
+    cases = [{}, {"commodity": 5}, {"container_id": " "}, {"latitude": 999.0}, {"longitude": -181}, {"origin": ""}]
+    texts = [(str(i), "k", json.dumps(event | c)) for i, c in enumerate(cases)]
+    texts.append((str(len(cases)), "k", json.dumps(event).replace("10.0", "NaN")))
+    out = quality.validate_events(spark.createDataFrame(texts, "record_id string, key string, value string"))
+    errors = {int(r["record_id"]): r["errors"] for r in out.collect()}
+    assert errors[0] == []
+    assert [errors[i] for i in range(1, 6)] == [
+        ["invalid commodity"], ["invalid container_id"], ["latitude out of range"], ["longitude out of range"], ["invalid origin"],
+    ]
+    assert errors[6]
+
+
+def test_an_unknown_measure_makes_no_money(spark, small):
+    state = rolling.latest_features(staging.type_readings(feed.readings(spark, small)))
+    blind = state.withColumn("temperature_c", F.lit(None).cast("double"))
+    for r in scenario.scenario_sweep(blind).limit(50).collect():
+        assert r["score"] is r["level"] is r["stay_value"] is r["divert_value"] is r["net_gain"] is None
+        assert r["directive"] == "MAINTAIN_ROUTE"
+    readings = staging.type_readings(feed.readings(spark, small))
+    hidden = readings.withColumn("temperature_c", F.lit(None).cast("double")).withColumn("commodity", F.lit("Durian"))
+    for r in rolling.decision_columns(rolling.rolling_decision(hidden, ref.DESK)).collect():
+        assert r["spoilage_risk_score"] is None and r["potential_loss"] is None
+        assert r["action"] == ref.DESK.stay_label

@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from checks.compare import difference
+from frostline.operators.latest import without_retries
 from frostline.plans import rolling, staging
 from frostline.plans.marts import Marts
 from frostline.sources import telemetry as feed
@@ -104,14 +105,66 @@ def test_marts_over_batches(spark, small, landing, tmp_path):
     out = str(tmp_path / "out")
     marts = Marts(feed.readings(spark, small))
     job = jobs.mart_stream(stream(spark, landing), marts.markets, marts.prices, out)
-    same(jobs.current_mart(spark, out, jobs.run_to_end(job)), marts.arbitrage)
+    jobs.run_to_end(job)
+    same(jobs.current_mart(spark, out), marts.arbitrage)
+    # A start that finds nothing new leaves the mart as it is.
+    jobs.run_to_end(jobs.mart_stream(stream(spark, landing), marts.markets, marts.prices, out))
+    same(jobs.current_mart(spark, out), marts.arbitrage)
 
 
-def test_dedup_over_batches(spark, small, landing, tmp_path):
+def test_mart_of_a_job_without_input_is_empty(spark, small, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    assert jobs.current_mart(spark, out).count() == 0
+
+
+def raw_stream(spark, folder):
+    return feed.resent(stream(spark, folder), corrected=True).select(feed.READING_COLUMNS)
+
+
+def test_newest_retry_wins_over_files_and_restarts(spark, small, tmp_path, slices):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    batch = without_retries(feed.resent(feed.readings(spark, small), corrected=True)).select(feed.READING_COLUMNS)
+    for number, part in enumerate([3, 0, 2, 1, 0, 3]):
+        put_file(folder, slices[part], number)
+        if number in (2, 5):  # two starts, and one more that finds nothing
+            raw = raw_stream(spark, folder)
+            jobs.run_to_end(jobs.dedup_stream(raw, out))
+    jobs.run_to_end(jobs.dedup_stream(raw, out))
+    same(jobs.fresh_readings(spark, out, raw.schema), batch)
+
+
+def test_late_correction_and_missing_clocks(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    schema = "record_id string, ingestion_timestamp timestamp_ntz, timestamp timestamp_ntz, container_id string, temperature_c double"
+    early, later = datetime(2024, 1, 1), datetime(2024, 1, 9)
+    files = [
+        [],
+        [("r1", early, early, "c1", 1.0), ("r2", early, None, "c1", 5.0), ("r3", early, None, "c1", 6.0)],
+        [("r1", later, early, "c1", 2.0), ("r4", later, later, "c2", 7.0)],
+        [("r1", datetime(2024, 1, 2), early, "c1", 3.0)],
+    ]
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+        raw = spark.readStream.schema(schema).parquet(str(folder))
+        jobs.run_to_end(jobs.dedup_stream(raw, out))
+        jobs.fresh_readings(spark, out, raw.schema).count()
+    kept = {r["record_id"]: r["temperature_c"] for r in jobs.fresh_readings(spark, out, raw.schema).collect()}
+    assert kept == {"r1": 2.0, "r2": 5.0, "r3": 6.0, "r4": 7.0}
+
+
+def test_timed_trigger_over_files(spark, small, landing, tmp_path):
     out = str(tmp_path / "out")
-    jobs.run_to_end(jobs.dedup_stream(feed.resent(stream(spark, landing)), out))
-    fresh = spark.read.parquet(f"{out}/fresh")
-    assert fresh.count() == fresh.select("container_id", "timestamp").distinct().count() == 1000
+    raw = raw_stream(spark, landing)
+    job = jobs.dedup_stream(raw, out, seconds=0.5)
+    try:
+        job.processAllAvailable()
+    finally:
+        job.stop()
+    batch = without_retries(feed.resent(feed.readings(spark, small), corrected=True)).select(feed.READING_COLUMNS)
+    same(jobs.fresh_readings(spark, out, raw.schema), batch)
 
 
 def test_ingest_over_batches(spark, small, landing, tmp_path):
@@ -121,14 +174,3 @@ def test_ingest_over_batches(spark, small, landing, tmp_path):
     valid, dead = (jobs.read_output(spark, out, n).count() for n in ("valid", "dead"))
     assert valid + dead == 1000 and dead > 0
     assert jobs.read_output(spark, out, "alerts").count() > 0
-
-
-def test_dedup_table_keeps_late_readings_and_drops_late_retries(spark, small, tmp_path, slices):
-    folder, out = tmp_path / "in", str(tmp_path / "out")
-    folder.mkdir()
-    for number, part in enumerate([3, 0, 2, 1, 0, 3]):
-        put_file(folder, slices[part], number)
-    raw = feed.resent(stream(spark, folder))
-    assert jobs.run_to_end(jobs.dedup_table_stream(raw, out)) == 5
-    columns = ["container_id", "timestamp", "commodity", "temperature_c", "humidity_pct"]
-    same(jobs.fresh_readings(spark, out), feed.readings(spark, small).select(columns))
