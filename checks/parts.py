@@ -87,12 +87,26 @@ PARTS["ref_schedule"] = values(
     "ref_schedule", "origin, destination, km, hours, toll", ref.SCHEDULED_ROUTES
 )
 PARTS["ref_place"] = values("ref_place", "market_name, latitude, longitude, state", ref.CONSOLE_MARKETS)
+PARTS["near_market"] = values(
+    "near_market", "market, km, hours, toll", [(m, *d) for m, d in ref.DIVERSION_NEAR.items()]
+)
 for _name, _desk in (("desk", ref.DESK), ("catalogue", ref.CATALOGUE_DESK), ("console", ref.CONSOLE_DESK)):
     PARTS[f"{_name}_price"] = values(
         f"{_name}_price", "market, commodity, price", ref.price_rows(_desk.prices)
     )
-    PARTS[f"{_name}_offer"] = values(
-        f"{_name}_offer", "pos, market, commodity, price, km, hours, toll", ref.candidate_rows(_desk)
+    # Unlisted markets value a cargo at its typical price, an unknown cargo like the fallback one.
+    PARTS[f"{_name}_candidate"] = values(f"{_name}_candidate", "pos, market", list(enumerate(_desk.candidates)))
+    part(
+        f"{_name}_offer",
+        f"""
+        SELECT c.pos, c.market, k.commodity, coalesce(p.price, k.typical) AS price,
+          coalesce(n.km, {ref.DIVERSION_OTHER[0]!r}e0) AS km, coalesce(n.hours, {ref.DIVERSION_OTHER[1]!r}e0) AS hours,
+          coalesce(n.toll, {ref.DIVERSION_OTHER[2]!r}e0) AS toll
+        FROM {_name}_candidate c
+        CROSS JOIN (SELECT commodity, typical FROM ref_spec
+          UNION ALL SELECT '{ref.UNKNOWN}', typical FROM ref_spec WHERE commodity = '{ref.FALLBACK_COMMODITY}') k
+        LEFT JOIN {_name}_price p ON p.market = c.market AND p.commodity = k.commodity
+        LEFT JOIN near_market n ON n.market = c.market""",
     )
 
 # Readings

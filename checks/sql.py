@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from checks.parts import FLAGS, STAGED, dec, float_text, iso, query, rnd
-from frostline.plans.scenario import DISTANCES, TEMPERATURE_STEPS
 from frostline.queries import AS_OF
 from frostline.sources import reference as ref
 
@@ -181,8 +180,8 @@ FROM (SELECT *, {rnd("divert_value - diversion_cost - stay_value", 0)} AS net_ga
           " + least(20e0, alerts * 4e0)))", 1)} AS score
         FROM (SELECT container_id, commodity, quantity_kg, temperature_c + step AS warm, humidity_pct,
             vibration_g, anomaly_count AS alerts, km, t_opt, t_crit, shelf, typical
-          FROM features, unnest([{", ".join(f"{s!r}e0" for s in TEMPERATURE_STEPS)}]) x(step),
-            unnest([{", ".join(f"{d!r}e0" for d in DISTANCES)}]) y(km)
+          FROM features, unnest([-4e0, -2e0, 0e0, 2e0, 4e0]) x(step),
+            (SELECT CAST(km AS DOUBLE) AS km FROM generate_series(50, 600, 50) g(km)) y
           WHERE back = 1)))))"""
 
 SOURCE_ROUTES = f"""
@@ -281,6 +280,9 @@ BODIES = {
       UNION ALL SELECT * EXCLUDE (i) FROM ref_route r WHERE NOT EXISTS (
         SELECT 1 FROM tele t WHERE t.origin = r.origin AND t.destination = r.destination)""",
     "mart_materialize": "SELECT * FROM mart",
+    "mart_materialize_containers": "SELECT * FROM containers",
+    "mart_materialize_markets": """SELECT market_id, market_name, latitude, longitude, state, tier, handling_fee_pct,
+      CAST(cold_storage_capacity_tons AS BIGINT) AS cold_storage_capacity_tons FROM ref_market""",
     "mart_materialize_readings": "SELECT * FROM readings",
     "export_telemetry": """
       SELECT "timestamp" AS recorded_at, container_id, shipment_id, commodity, temperature_c,

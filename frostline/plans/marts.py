@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ from frostline.plans.staging import (
     stage_telemetry,
     type_readings,
 )
-from frostline.sinks.tables import write_mart
+from frostline.sinks.tables import read_readings, write_mart, write_readings
 from frostline.sources import reference as ref
 
 REROUTE_THRESHOLD_INR = 1000.0
@@ -242,3 +244,47 @@ class Marts:
     @property
     def container_dim(self) -> DataFrame:
         return dim_container(self.health)
+
+
+class StoredMarts:
+    """The four marts as tables: each is written when it is first asked for, and read from then on.
+
+    What lies below them (routes, options, risk) stays a plan.
+    """
+
+    def __init__(self, marts: Marts, folder: str):
+        self.below, self.folder = marts, folder
+
+    def _table(self, name: str, rows: DataFrame) -> DataFrame:
+        return write_mart(rows, f"{self.folder}/{name}")
+
+    @cached_property
+    def arbitrage(self) -> DataFrame:
+        return self._table("fct_spoilage_arbitrage", self.below.arbitrage)
+
+    @cached_property
+    def container_dim(self) -> DataFrame:
+        return self._table("dim_container", self.below.container_dim)
+
+    @cached_property
+    def market_dim(self) -> DataFrame:
+        return self._table("dim_market", self.below.market_dim)
+
+    @cached_property
+    def readings(self) -> DataFrame:
+        """Partitioned by day."""
+        rows, path = self.below.readings, f"{self.folder}/fct_container_health"
+        write_readings(rows, path, "telemetry_timestamp", "overwrite")
+        return read_readings(rows, path).select(rows.columns)
+
+    @property
+    def routes(self) -> DataFrame:
+        return self.below.routes
+
+    @property
+    def options(self) -> DataFrame:
+        return self.below.options
+
+    @property
+    def risk(self) -> DataFrame:
+        return self.below.risk

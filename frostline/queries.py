@@ -21,7 +21,7 @@ from frostline.plans import (
     scenario,
     staging,
 )
-from frostline.plans.marts import Marts, dim_market
+from frostline.plans.marts import Marts, StoredMarts, dim_market
 from frostline.sinks import exports, tables
 from frostline.sources import files, schemas
 from frostline.sources import reference as ref
@@ -45,6 +45,22 @@ def _mart_query(build):
     return lambda spark, sf_dir: build(_marts(spark, sf_dir))
 
 
+#: The dashboards' marts of a session and folder.
+_STORED: dict[tuple[str, str], StoredMarts] = {}
+
+
+def _dashboard(spark: SparkSession, sf_dir: str) -> StoredMarts:
+    """The marts that all dashboard queries of a session read; they are written once."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        _STORED[key] = StoredMarts(_marts(spark, sf_dir), tables.work_folder(spark, "marts"))
+    return _STORED[key]
+
+
+def _dashboard_query(build):
+    return lambda spark, sf_dir: build(_dashboard(spark, sf_dir))
+
+
 def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.type_readings(feed.readings(spark, sf_dir))
 
@@ -252,16 +268,13 @@ def export_results(spark, sf_dir):
     return spark.read.schema(decisions.schema).json(path)
 
 
-def mart_materialize(spark, sf_dir):
-    path = tables.work_folder(spark, "mart")
-    return tables.write_mart(_marts(spark, sf_dir).arbitrage, path)
+def _stored_mart(name: str):
+    """A mart written anew and read back."""
 
+    def run(spark, sf_dir):
+        return getattr(StoredMarts(_marts(spark, sf_dir), tables.work_folder(spark, "mart")), name)
 
-def mart_materialize_readings(spark, sf_dir):
-    readings = _marts(spark, sf_dir).readings
-    path = tables.work_folder(spark, "readings")
-    tables.write_readings(readings, path, "telemetry_timestamp", "overwrite")
-    return tables.read_readings(readings, path).drop("event_date")
+    return run
 
 
 # Validation
@@ -500,8 +513,10 @@ QUERIES = {
     "upsert_markets": upsert_markets,
     "upsert_prices": upsert_prices,
     "upsert_routes": upsert_routes,
-    "mart_materialize": mart_materialize,
-    "mart_materialize_readings": mart_materialize_readings,
+    "mart_materialize": _stored_mart("arbitrage"),
+    "mart_materialize_containers": _stored_mart("container_dim"),
+    "mart_materialize_markets": _stored_mart("market_dim"),
+    "mart_materialize_readings": _stored_mart("readings"),
     "export_telemetry": lambda s, d: exports.export_telemetry(feed.readings(s, d)),
     "export_health": lambda s, d: exports.export_health(_decisions(s, d)),
     "export_arbitrage": lambda s, d: exports.export_arbitrage(_decisions(s, d)),
@@ -515,33 +530,33 @@ QUERIES = {
     "dq_unique": _landed_check(quality.unique_checks),
     "dq_accepted_values": _landed_check(quality.accepted_value_checks),
     "dq_reroute_gain": _landed_check(quality.reroute_gain_check),
-    "kpi_active": _mart_query(lambda m: dashboard.active_containers(m.arbitrage)),
-    "kpi_at_risk": _mart_query(lambda m: dashboard.containers_at_risk(m.arbitrage)),
-    "kpi_critical": _mart_query(lambda m: dashboard.critical_containers(m.arbitrage)),
-    "kpi_avg_temp": _mart_query(lambda m: dashboard.average_temperature(m.readings)),
-    "kpi_avg_humidity": _mart_query(lambda m: dashboard.average_humidity(m.readings)),
-    "kpi_arbitrage": _mart_query(lambda m: dashboard.total_arbitrage(m.arbitrage)),
-    "kpi_loss_avoided": _mart_query(lambda m: dashboard.total_loss_avoided(m.arbitrage)),
-    "kpi_executive": _mart_query(lambda m: dashboard.executive_overview(m.arbitrage, m.readings)),
-    "kpi_executive_fixed": _mart_query(
+    "kpi_active": _dashboard_query(lambda m: dashboard.active_containers(m.arbitrage)),
+    "kpi_at_risk": _dashboard_query(lambda m: dashboard.containers_at_risk(m.arbitrage)),
+    "kpi_critical": _dashboard_query(lambda m: dashboard.critical_containers(m.arbitrage)),
+    "kpi_avg_temp": _dashboard_query(lambda m: dashboard.average_temperature(m.readings)),
+    "kpi_avg_humidity": _dashboard_query(lambda m: dashboard.average_humidity(m.readings)),
+    "kpi_arbitrage": _dashboard_query(lambda m: dashboard.total_arbitrage(m.arbitrage)),
+    "kpi_loss_avoided": _dashboard_query(lambda m: dashboard.total_loss_avoided(m.arbitrage)),
+    "kpi_executive": _dashboard_query(lambda m: dashboard.executive_overview(m.arbitrage, m.readings)),
+    "kpi_executive_fixed": _dashboard_query(
         lambda m: dashboard.executive_overview_once(m.arbitrage, m.readings)
     ),
-    "chart_map": _mart_query(lambda m: dashboard.fleet_map(m.arbitrage)),
-    "chart_temp": _mart_query(lambda m: dashboard.temperature_trend(m.readings)),
-    "chart_humidity": _mart_query(lambda m: dashboard.humidity_trend(m.readings)),
-    "chart_leaderboard": _mart_query(lambda m: dashboard.risk_leaderboard(m.arbitrage)),
-    "chart_matrix": _mart_query(lambda m: dashboard.opportunity_matrix(m.arbitrage)),
-    "chart_revenue": _mart_query(lambda m: dashboard.revenue_comparison(m.arbitrage)),
-    "chart_corridor_bubble": _mart_query(lambda m: dashboard.corridor_bubbles(m.options)),
-    "vd_fleet": _mart_query(lambda m: dashboard.fleet_dataset(m.arbitrage, m.market_dim)),
-    "vd_commodity_var": _mart_query(lambda m: dashboard.commodity_value_at_risk(m.arbitrage)),
-    "vd_corridor": _mart_query(lambda m: dashboard.corridor_vulnerability(m.routes, m.readings)),
-    "alert_feed": _mart_query(lambda m: dashboard.alert_feed(m.readings)),
-    "dispatch_manifest": _mart_query(
+    "chart_map": _dashboard_query(lambda m: dashboard.fleet_map(m.arbitrage)),
+    "chart_temp": _dashboard_query(lambda m: dashboard.temperature_trend(m.readings)),
+    "chart_humidity": _dashboard_query(lambda m: dashboard.humidity_trend(m.readings)),
+    "chart_leaderboard": _dashboard_query(lambda m: dashboard.risk_leaderboard(m.arbitrage)),
+    "chart_matrix": _dashboard_query(lambda m: dashboard.opportunity_matrix(m.arbitrage)),
+    "chart_revenue": _dashboard_query(lambda m: dashboard.revenue_comparison(m.arbitrage)),
+    "chart_corridor_bubble": _dashboard_query(lambda m: dashboard.corridor_bubbles(m.options)),
+    "vd_fleet": _dashboard_query(lambda m: dashboard.fleet_dataset(m.arbitrage, m.market_dim)),
+    "vd_commodity_var": _dashboard_query(lambda m: dashboard.commodity_value_at_risk(m.arbitrage)),
+    "vd_corridor": _dashboard_query(lambda m: dashboard.corridor_vulnerability(m.routes, m.readings)),
+    "alert_feed": _dashboard_query(lambda m: dashboard.alert_feed(m.readings)),
+    "dispatch_manifest": _dashboard_query(
         lambda m: dashboard.dispatch_manifest(m.arbitrage, m.market_dim)
     ),
-    "audit_trail": _mart_query(lambda m: dashboard.audit_trail(m.readings)),
-    "filter_fleet": _mart_query(
+    "audit_trail": _dashboard_query(lambda m: dashboard.audit_trail(m.readings)),
+    "filter_fleet": _dashboard_query(
         lambda m: filters.filter_fleet(
             m.risk,
             container_id=[],
@@ -550,13 +565,13 @@ QUERIES = {
             risk_category=["High Risk", "Critical Risk"],
         )
     ),
-    "filter_recent": _mart_query(lambda m: filters.filter_recent(m.readings, 24)),
+    "filter_recent": _dashboard_query(lambda m: filters.filter_recent(m.readings, 24)),
     "filter_text": lambda s, d: filters.filter_text(
         _console_arbitrage(s, d), "Pun", ["container_id", "commodity", "recommended_market"]
     ),
     "filter_bucket": filter_bucket,
-    "filter_values": _mart_query(lambda m: filters.filter_values(m.arbitrage, m.readings)),
-    "filter_values_risk": _mart_query(lambda m: filters.filter_values_risk(m.arbitrage)),
+    "filter_values": _dashboard_query(lambda m: filters.filter_values(m.arbitrage, m.readings)),
+    "filter_values_risk": _dashboard_query(lambda m: filters.filter_values_risk(m.arbitrage)),
     "critical_alerts": critical_alerts,
     "risk_transitions": _typed_query(rolling.risk_transitions),
     "rolling_features": rolling_features,
