@@ -23,8 +23,9 @@ from frostline.llm.common import col
 PER_LANGUAGE, LANGUAGES = 600, 200
 #: Hash buckets (as a power of two) and numbers of an embedding.
 BITS, DIMENSIONS = 14, 16
-#: Accepted answers that may be wrong on the calibration documents; an answer must be likelier than not in any case.
-WRONG, EVEN = 0.01, 0.5
+#: Accepted answers that may be wrong on the calibration documents, and right ones that may be lost to that end; an
+#: answer must be likelier than not in any case.
+WRONG, LOST, EVEN = 0.01, 0.002, 0.5
 UNKNOWN = "und"
 _ORDERS = (2, 3, 4)
 #: Words of the short passages that are trained on beside whole documents.
@@ -138,7 +139,7 @@ def train(
     per_language: int = PER_LANGUAGE,
     bits: int = BITS,
     dimensions: int = DIMENSIONS,
-    epochs: int = 12,
+    steps: int = 3600,
     rate: float = 8.0,
     seed: int = 7,
 ) -> LanguageModel:
@@ -178,17 +179,17 @@ def train(
                     learned.append(x)
     if not learned:
         return LanguageModel((), np.zeros((1 << bits, 0), np.float32), np.zeros(0), 1.0, 0.0, bits)
-    logits, offsets = _descend(learned, len(languages), bits, dimensions, epochs, rate, seed)
+    logits, offsets = _descend(learned, len(languages), bits, dimensions, steps, rate, seed)
     return _calibrated(languages, logits, offsets, kept, bits)
 
 
-def _descend(examples, n_languages: int, bits: int, dimensions: int, epochs: int, rate: float, seed: int, batch: int = 32):
+def _descend(examples, n_languages: int, bits: int, dimensions: int, steps: int, rate: float, seed: int, batch: int = 32):
+    """Logits per bucket, and their offsets, after so many steps, however few examples there are."""
     draw = np.random.default_rng(seed)
     vectors = draw.uniform(-1, 1, (1 << bits, dimensions)).astype(np.float32) / dimensions
     weights, offsets = np.zeros((dimensions, n_languages), np.float32), np.zeros(n_languages, np.float32)
-    steps = epochs * -(-len(examples) // batch)
     step = 0
-    for _ in range(epochs):
+    while step < steps:
         order = draw.permutation(len(examples))
         for start in range(0, len(order), batch):
             group = [examples[i] for i in order[start : start + batch]]
@@ -200,7 +201,7 @@ def _descend(examples, n_languages: int, bits: int, dimensions: int, epochs: int
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(group)), [x[2] for x in group]] -= 1
-            now = rate * (1 - step / steps) / len(group)
+            now = rate * max(0.0, 1 - step / steps) / len(group)
             back = p @ weights.T
             weights -= now * hidden.T @ p
             offsets -= 0.1 * now * p.sum(axis=0)
@@ -210,7 +211,8 @@ def _descend(examples, n_languages: int, bits: int, dimensions: int, epochs: int
 
 
 def _calibrated(languages, logits, offsets, kept, bits: int) -> LanguageModel:
-    """Choose the temperature by likelihood, and the lowest threshold that leaves at most WRONG of accepted answers wrong."""
+    """Choose the temperature by likelihood, and the lowest threshold that leaves at most WRONG of accepted answers
+    wrong, or a lower one if that lost more than LOST of the right ones."""
     if not kept:
         return LanguageModel(languages, logits, offsets, 1.0, EVEN, bits)
     z = np.array([(c @ logits[b]) / c.sum() + offsets for _, (b, c, _) in kept], float)
@@ -230,8 +232,9 @@ def _calibrated(languages, logits, offsets, kept, bits: int) -> LanguageModel:
     order = np.argsort(-best, kind="stable")
     share = np.cumsum(wrong[order]) / np.arange(1, len(order) + 1)
     fine = np.flatnonzero(share <= WRONG)
-    lowest = 0.0 if len(fine) == len(order) or not len(fine) else float(best[order][fine[-1]])
-    return LanguageModel(languages, logits, offsets, temperature, max(EVEN, lowest), bits)
+    strict = 0.0 if not wrong.any() else float(best[order][fine[-1]]) if len(fine) else 1.0
+    lenient = float(np.quantile(best[~wrong], LOST, method="lower")) if not wrong.all() else 1.0
+    return LanguageModel(languages, logits, offsets, temperature, max(EVEN, min(strict, lenient)), bits)
 
 
 def predicted(model: LanguageModel, text: Column) -> Column:

@@ -24,7 +24,7 @@ def test_training_learns_by_descent():
         y = int(draw.integers(3))
         at = draw.choice(100, 20, replace=False) + 100 * y
         examples.append((at.astype(np.int64), np.ones(20, np.float32), y))
-    logits, offsets = lang._descend(examples, 3, 9, 8, 6, 8.0, 1)
+    logits, offsets = lang._descend(examples, 3, 9, 8, 120, 8.0, 1)
     right = [int(np.argmax(c @ logits[at] / c.sum() + offsets)) == y for at, c, y in examples]
     assert np.mean(right) > 0.99
 
