@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from frostline.operators.latest import first_rows
+
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
     """Insert new keys; on a known key take only the ``update`` columns from the source.
 
-    Keys must be unique on both sides, so no key is larger than one row.
+    Keys must be unique in the target. Of source rows that share a key the one that sorts last, by its other columns
+    in order, is taken.
     """
-    incoming = source.select(
+    rest = [F.col(c).desc_nulls_last() for c in target.columns if c not in keys]
+    incoming = first_rows(source.select(target.columns), keys, rest).select(
         *keys, *[F.col(c).alias(f"_new_{c}") for c in target.columns if c not in keys]
     ).withColumn("_incoming", F.lit(True))
     existing = target.withColumn("_existing", F.lit(True))

@@ -22,6 +22,7 @@ def with_reasons(df: DataFrame, clock: str = "telemetry_timestamp") -> DataFrame
     """
     t, h, v = F.col("temperature_c"), F.col("humidity_pct"), F.col("vibration_g")
     heat, damp, shock = F.col("temp_critical"), F.col("humidity_max"), F.col("vibration_max")
+    # The wording of the reasons
     reasons = F.array(
         _reason(t >= heat, "Temperature ", float_text(t), "°C exceeds critical threshold (", float_text(heat), "°C)"),
         _reason(h > damp, "Humidity ", float_text(h), "% exceeds safe ceiling (", float_text(damp), "%)"),

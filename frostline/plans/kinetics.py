@@ -41,13 +41,19 @@ def shelf_life_left(shelf: Column, score: Column) -> Column:
     return F.when(score.isNotNull(), round_positive(hours, 1))
 
 
-def container_health(staged: DataFrame, envelopes: DataFrame | None = None) -> DataFrame:
-    """Latest reading of each container with its commodity's envelope and excursion."""
+def container_health(
+    staged: DataFrame, envelopes: DataFrame | None = None, one_each: bool = False
+) -> DataFrame:
+    """Latest reading of each container with its commodity's envelope and excursion.
+
+    ``one_each`` says that ``staged`` holds the latest readings only.
+    """
     low, high, centre, shelf = ref.DEFAULT_ENVELOPE
     defaults = dict(zip(ENVELOPE_COLUMNS, (centre, high, low, shelf)))
     temperature = F.col("temperature_c")
+    rows = staged.select(*STAGED_COLUMNS, *FLAG_COLUMNS)
     return (
-        newest_per_container(staged.select(*STAGED_COLUMNS, *FLAG_COLUMNS))
+        (rows if one_each else newest_per_container(rows))
         .join(envelopes or ref.envelopes(staged.sparkSession), "commodity", "left")
         .withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
         .withColumn(

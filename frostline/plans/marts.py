@@ -14,6 +14,7 @@ from frostline.functions.numeric import (
     short_text,
     whole_text,
 )
+from frostline.operators.latest import newest_per_container
 from frostline.plans.kinetics import (
     AT_RISK,
     compressor_penalty,
@@ -25,6 +26,7 @@ from frostline.plans.markets import market_options
 from frostline.plans.staging import (
     FLAG_COLUMNS,
     STAGED_COLUMNS,
+    alert_flags,
     stage_markets,
     stage_prices,
     stage_routes,
@@ -94,6 +96,7 @@ def spoilage_arbitrage(options: DataFrame) -> DataFrame:
     reroute = F.coalesce(
         (uplift > REROUTE_THRESHOLD_INR) & at_risk & (F.col("alt.feasible") == 1), F.lit(False)
     )
+    # The wording of the reasons
     reason = (
         F.when(
             reroute,
@@ -201,7 +204,7 @@ class Marts:
         self.spark = spark
         self.typed = type_readings(raw_telemetry)
         self.staged = stage_telemetry(raw_telemetry, bands)
-        self.envelopes = envelopes
+        self.bands, self.envelopes = bands, envelopes
         self.markets = stage_markets(raw_markets or ref.raw_markets(spark))
         self.prices = stage_prices(
             raw_prices or ref.raw_prices(spark), F.lit("2026-09-21 06:00:00")
@@ -219,7 +222,9 @@ class Marts:
     def health(self) -> DataFrame:
         if self.stored_health is not None:
             return self.stored_health
-        return container_health(self.staged, self.envelopes)
+        # Flags and bands only for the one reading of each container that counts.
+        newest = newest_per_container(self.typed.select(*STAGED_COLUMNS))
+        return container_health(alert_flags(newest, self.bands), self.envelopes, one_each=True)
 
     @property
     def risk(self) -> DataFrame:

@@ -16,6 +16,7 @@ from frostline.sources import reference as ref
 from frostline.sources import telemetry as feed
 from frostline.streaming import topics
 
+# A valid event and the ways to break it
 EVENT = {
     "timestamp": "2026-09-21T12:00:00Z",
     "container_id": "CONT_001",
