@@ -26,8 +26,16 @@ def work_root(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/frostline-llm-{spark.sparkContext.applicationId}"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Python tasks get their rows in batches that stay small even where texts are long."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1000), ("spark.sql.execution.arrow.maxBytesPerBatch", 1 << 24)):
+        if not 0 < int(spark.conf.get(key).rstrip("b")) <= most:
+            spark.conf.set(key, most)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a working table and return it as read back: lineage ends here, and a lost executor costs nothing."""
+    bounded_batches(df.sparkSession)
     path = f"{work_root(df.sparkSession)}/{purpose}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

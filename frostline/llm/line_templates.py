@@ -27,17 +27,19 @@ FIELD = "<*>"
 _VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
-def _tokens(line: Column) -> Column:
+def _normal(line: Column) -> Column:
+    """The line's tokens with one space between, those that hold a digit as variable fields."""
     spaced = F.translate(line, "\t\x0b\x0c\r", "    ")
-    return F.split(F.trim(F.regexp_replace(spaced, _VARIABLE, FIELD)), " +")
+    masked = F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, _VARIABLE, FIELD)).otherwise(spaced)
+    return F.trim(F.when(F.contains(masked, F.lit("  ")), F.regexp_replace(masked, " +", " ")).otherwise(masked))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc, text_hash, pos, tokens, n, leaf and form (a hash of the line's tokens) of lines that can be templates."""
+    """doc, text_hash, pos, line (normal), n (tokens), leaf and form (a hash of the line) of all lines."""
     lines = docs.select("doc", "text_hash", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.select("doc", "text_hash", "pos", _tokens(F.col("line")).alias("tokens"))
-    lines = lines.withColumn("n", F.size("tokens")).filter(F.col("n") >= SHORTEST)
-    return lines.withColumn("leaf", F.xxhash64("n", F.slice("tokens", 1, LEADING))).withColumn("form", F.xxhash64("n", "tokens"))
+    lines = lines.select("doc", "text_hash", "pos", _normal(F.col("line")).alias("line"))
+    n = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "))) + 1
+    return lines.withColumns({"n": n, "leaf": F.xxhash64(n, F.substring_index("line", " ", LEADING)), "form": F.xxhash64("line")})
 
 
 def _recurs(low: str = "low", high: str = "high") -> Column:
@@ -49,7 +51,8 @@ def templates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     ``docs`` has doc, text_hash and text. The template is text for generalised forms and null for others.
     """
-    places = stored(_lines(docs).withColumn("fixed", _fixed(F.col("tokens"))).drop("tokens"), "lines")
+    places = stored(_lines(docs).withColumn("fixed", _fixed(F.col("line"), F.col("n"))).drop("line"), "lines")
+    places = places.filter(F.col("n") >= SHORTEST)
     spread = (F.min("doc").alias("low"), F.max("doc").alias("high"))
     mixed = (
         places.groupBy("leaf")
@@ -58,9 +61,9 @@ def templates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select(F.col("leaf").alias("mixed_leaf"))
     )
     open_lines = _lines(docs).join(mixed.hint("shuffle_hash"), F.col("leaf") == F.col("mixed_leaf"), "left_semi")
-    forms = stored(open_lines.groupBy("leaf", "form").agg(F.first("tokens").alias("tokens"), *spread), "forms")
+    forms = stored(open_lines.groupBy("leaf", "form").agg(F.first("line").alias("line"), *spread), "forms")
 
-    words = forms.select("leaf", "form", "low", "high", F.posexplode("tokens").alias("pos", "token"))
+    words = forms.select("leaf", "form", "low", "high", F.posexplode(F.split("line", " ")).alias("pos", "token"))
     spread_of = (F.min("low").alias("low"), F.max("high").alias("high"))
     constant = words.groupBy("leaf", "pos", "token").agg(*spread_of).filter(_recurs()).select("leaf", "pos", "token", F.lit(True).alias("constant"))
     # A line's own tokens come together: as many as the line is long.
@@ -90,8 +93,9 @@ def templates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return places, recurring
 
 
-def _fixed(tokens: Column) -> Column:
-    return F.size(F.filter(tokens, lambda t: t != FIELD))
+def _fixed(line: Column, n: Column) -> Column:
+    """Number of tokens that are no variable field."""
+    return F.when(F.contains(line, F.lit(FIELD)), F.size(F.filter(F.split(line, " "), lambda t: t != FIELD))).otherwise(n)
 
 
 def without_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: bool = False) -> DataFrame:
