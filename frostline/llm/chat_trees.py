@@ -44,8 +44,9 @@ def _nodes(messages: DataFrame, tree: str, node: str, parent: str, score: str |
 def _jumps(nodes: DataFrame) -> list[DataFrame]:
     """Pointers over 1, 2, 4, ... replies; in the last, those of all messages below a root have reached the top.
 
-    score and depth cover the messages from the own one up to, without, the one pointed to. Messages on a cycle never
-    reach a top; there are at most as many rounds as the longest path could need.
+    score and depth cover the messages from the own one up to, without, the one pointed to. Those that have reached the
+    top are joined no more. Messages on a cycle never reach one; there are at most as many rounds as the longest path
+    could need.
     """
     levels = [stored(nodes, "jumps")]
     limit = max(1, levels[0].count()).bit_length()
@@ -54,11 +55,10 @@ def _jumps(nodes: DataFrame) -> list[DataFrame]:
             F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("far"), F.col("score").alias("more"), F.col("depth").alias("further")
         )
         same = F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n"))
-        doubled = levels[-1].join(above, same, "left").select(
-            "tree", "node", F.col("far").alias("up"),
-            (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"), (F.col("depth") + F.coalesce("further", F.lit(0))).alias("depth"),
-        )
-        levels.append(stored(doubled, "jumps"))
+        doubled = levels[-1].filter("up is not null").join(above, same).select(
+            "tree", "node", F.col("far").alias("up"), (F.col("score") + F.col("more")).alias("score"), (F.col("depth") + F.col("further")).alias("depth")
+        )
+        levels.append(stored(doubled.unionByName(levels[-1].filter("up is null")), "jumps"))
     return levels
 
 
