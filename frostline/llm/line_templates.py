@@ -87,7 +87,9 @@ def templates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         known.filter("template is not null").groupBy("template").agg(F.min("low").alias("first"), F.max("high").alias("last"), F.count(F.lit(1)).alias("forms"))
     )
     shared = shared.filter((F.col("forms") >= FORMS) & _recurs("first", "last")).select(F.col("template").alias("shared"), F.col("first").alias("shared_first"))
-    joined = known.join(shared, F.col("template") == F.col("shared"), "left")
+    # Most forms have no general template; they stay out of the join, where they would all meet as nulls.
+    joined = known.filter("template is not null").join(shared, F.col("template") == F.col("shared"), "left")
+    joined = joined.unionByName(known.filter("template is null"), allowMissingColumns=True)
     first = F.coalesce("shared_first", F.when(_recurs() & F.col("whole"), F.col("low")))
     recurring = joined.withColumn("first", first).filter("first is not null").select("form", F.col("shared").alias("template"), "first")
     return places, recurring
