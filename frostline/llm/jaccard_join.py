@@ -4,8 +4,8 @@ Every text is its set of shingles; texts with equal sets are one class. A class
 only, as many as any similar class must share one of. Classes that meet pass a length, a positional and a suffix
 filter before their whole sets are compared, once. Rarity comes from counts over all documents.
 
-A great group of near copies would meet in all pairs. So each class is first compared with the one class it meets most
-often; what is linked by then needs no further comparing, and the second round joins classes of different components
+A great group of near copies would meet in all pairs. So each class is first compared with the few classes that it
+meets most often; what is linked by then needs no further comparing, and the second round joins classes of different components
 only. The components, and which classes are linked, do not depend on that.
 """
 
@@ -26,8 +26,11 @@ from frostline.llm.shingles import shingle_set
 
 #: Words of a shingle and the least similarity in per cent.
 WORDS, PERCENT = 5, 80
-#: Counters of shingles, as a power of two: one megabyte a task, whatever the corpus. Clashes only blur the order.
-_COUNTERS, _SLICE = 18, 1 << 14
+#: Counters of shingles, as a power of two: four megabytes a task, whatever the corpus. Clashes only blur the order.
+_COUNTERS, _SLICE = 22, 1 << 16
+#: First rounds, neighbours looked at in a posting list, and classes that each class is compared with in a round. Most links of a large group of near copies soon
+#: form one component, even if only a third of its pairs are similar enough.
+ROUNDS, BESIDE, PARTNERS = 3, 5, 5
 #: Ranges of the hash for the suffix filter.
 _RANGES = 6
 #: A class is known by 64 bits of its set's digest: n classes have about n * n / 2**65 false matches.
@@ -40,10 +43,10 @@ def _node(found: np.ndarray) -> int:
 
 def _digests(docs: DataFrame, words: int) -> DataFrame:
     """A row per document with its class, set size and counts by hash range, and after each task's documents its
-    counts of shingles."""
-    schema = "doc_id long, text_hash long, node long, n long, ranges binary, slice int, counts binary"
+    counts of shingles (255 at most of each counter: what is that frequent comes last anyway)."""
+    schema = "doc_id long, text_hash long, node long, n long, ranges array<tinyint>, slice int, counts binary"
     fields = ("doc_id", "text_hash", "node", "n", "ranges", "slice", "counts")
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary())
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int8()), pa.int32(), pa.binary())
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, waiting, held = np.zeros(1 << _COUNTERS, np.uint32), [], 0
@@ -61,7 +64,7 @@ def _digests(docs: DataFrame, words: int) -> DataFrame:
                 n.append(len(found))
                 node.append(_node(found) if len(found) else None)
                 by_range = np.bincount((found >> np.uint64(64 - _RANGES)).astype(np.intp), minlength=1 << _RANGES)
-                ranges.append(np.minimum(by_range, 255).astype(np.uint8).tobytes())
+                ranges.append(np.minimum(by_range, 127).astype(np.int8))
                 waiting.append((found >> drop).astype(np.intp))
                 held += len(found)
                 if held > 1 << 20:
@@ -76,7 +79,7 @@ def _digests(docs: DataFrame, words: int) -> DataFrame:
         for i in range(len(counts) // _SLICE):
             part = counts[i * _SLICE : (i + 1) * _SLICE]
             if part.any():
-                row = [None, None, None, None, None, i, part.astype("<u4").tobytes()]
+                row = [None, None, None, None, None, i, np.minimum(part, 255).astype(np.uint8).tobytes()]
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=fields)
 
     return docs.mapInArrow(digest, schema)
@@ -89,18 +92,18 @@ def _counters(digests: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = np.frombuffer(data.as_buffer(), "<u4")
-                total[i] = total[i] + part if i in total else part.astype(np.uint64)
+                part = np.frombuffer(data.as_buffer(), np.uint8)
+                total[i] = total[i] + part if i in total else part.astype(np.uint32)
         keys = list(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int32()), pa.array([total[k].astype("<u8").tobytes() for k in keys], pa.binary())], names=["slice", "counts"]
+            [pa.array(keys, pa.int32()), pa.array([total[k].astype("<u4").tobytes() for k in keys], pa.binary())], names=["slice", "counts"]
         )
 
     slices = (1 << _COUNTERS) // _SLICE
-    out = np.zeros(1 << _COUNTERS, np.uint64)
+    out = np.zeros(1 << _COUNTERS, np.uint32)
     rows = digests.filter("slice is not null").select("slice", "counts").repartition(slices, "slice").mapInArrow(added, "slice int, counts binary")
     for r in rows.collect():
-        out[r["slice"] * _SLICE : (r["slice"] + 1) * _SLICE] = np.frombuffer(r["counts"], "<u8")
+        out[r["slice"] * _SLICE : (r["slice"] + 1) * _SLICE] = np.frombuffer(r["counts"], "<u4")
     return out
 
 
@@ -135,22 +138,15 @@ def _may_link(n_a: Column, pos_a: Column, n_b: Column, pos_b: Column, percent: i
     return least & ((100 + percent) * left >= percent * (n_a + n_b))
 
 
-def _similar_ranges(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _near(percent: int) -> Column:
     """Suffix filter: the counts by hash range differ at least by so much that a pair can't be similar enough."""
+    apart = F.aggregate(F.zip_with("ranges_a", "ranges_b", lambda x, y: F.abs(x.cast("int") - y)), F.lit(0), lambda s, x: s + x)
+    return (100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, 1 << _RANGES).astype(np.int64) for i in (2, 3))
-            n = batch.column(4).to_numpy() + batch.column(5).to_numpy()
-            apart = np.abs(a - b).sum(axis=1)
-            fine = pa.array((100 + percent) * apart <= (100 - percent) * n)
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(fine) for i in (0, 1)], names=["a", "b"])
 
+def _similar_ranges(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     left, right = (classes.select(F.col("node").alias(x), F.col("ranges").alias(f"ranges_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
-    rows = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ranges_a", "ranges_b", "n_a", "n_b")
-    return rows.mapInArrow(near, "a long, b long")
+    return pairs.select("a", "b").join(left, "a").join(right, "b").filter(_near(percent)).select("a", "b")
 
 
 def _sets(docs: DataFrame, digests: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -193,49 +189,54 @@ def linked(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFr
     classes = stored(members.filter("n > 0").select("node", "n", "ranges").dropDuplicates(["node"]), "classes")
 
     posts = _posted(docs, counters, words, percent).select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    group = Window.partitionBy("shingle").orderBy("n", "node")
-    met = posts.select(
-        "*",
-        F.lag(F.struct("node", "n", "pos")).over(group).alias("before"),
-        F.first(F.struct("node", "n", "pos")).over(group).alias("hub"),
-        F.lead("node").over(group).alias("after"),
-    ).filter("before is not null or after is not null")
-    met = stored(met.drop("after"), "met")
-
-    partners = None
-    for x in ("before", "hub"):
-        fine = met.filter(f"{x} is not null and {x}.node <> node").filter(
-            _may_link(F.col("n"), F.col("pos"), F.col(f"{x}.n"), F.col(f"{x}.pos"), percent)
-        )
-        rows = fine.select(F.col("node"), F.col(f"{x}.node").alias("partner"))
-        partners = rows if partners is None else partners.unionByName(rows)
-    often = partners.groupBy("node", "partner").count()
-    best = often.groupBy("node").agg(F.max_by("partner", F.struct("count", "partner")).alias("partner"))
-    pairs = best.select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).distinct()
-    first = stored(_similar_ranges(pairs, classes, percent), "first")
+    size = Window.partitionBy("shingle")
+    met = stored(posts.withColumn("meets", F.count(F.lit(1)).over(size)).filter("meets > 1").drop("meets"), "met")
+
+    first = _proposed(met.withColumn("root", F.col("node")), classes, percent, 0)
     sets = stored(_sets(docs, digests, _ends(first), words), "sets")
-    links = stored(_verified(first, sets, percent), "links")
+    links, tried = stored(_verified(first, sets, percent), "links"), first
+    for turn in range(1, ROUNDS):
+        known = met.join(sets.select("node"), "node", "left_semi")
+        known = known.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        further = stored(_proposed(known, classes, percent, turn).join(tried, ["a", "b"], "left_anti"), "further")
+        found = stored(_verified(further, sets, percent), "links")
+        links, tried = links.unionByName(found), tried.unionByName(further)
 
     roots = components(links)
     placed = met.select("shingle", "node", "n", "pos").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("shingle")
-    open_posts = stored(placed.join(mixed, "shingle", "left_semi"), "open")
-    x, y = (open_posts.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "pos", "root")]) for s in "ab")
+    open_posts = placed.join(mixed, "shingle", "left_semi").join(classes.select("node", "ranges"), "node")
+    open_posts = stored(open_posts, "open")
+    x, y = (open_posts.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "pos", "root", "ranges")]) for s in "ab")
     others = (
         x.join(y, "shingle")
         .filter("node_a < node_b and root_a <> root_b")
-        .filter(_may_link(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"), percent))
+        .filter(_may_link(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"), percent) & _near(percent))
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         .distinct()
-        .join(first, ["a", "b"], "left_anti")
+        .join(tried, ["a", "b"], "left_anti")
     )
-    second = stored(_similar_ranges(others, classes, percent), "second")
+    second = stored(others, "second")
     more = _ends(second).join(sets.select("node"), "node", "left_anti")
     all_sets = sets.unionByName(stored(_sets(docs, digests, more, words), "sets"))
     links = links.unionByName(stored(_verified(second, all_sets, percent), "links"))
     return members, links
 
 
+def _proposed(met: DataFrame, classes: DataFrame, percent: int, turn: int) -> DataFrame:
+    """For every class a few of those of other components that it stands beside in the posting lists, in an order that
+    is another in each turn, if they pass the filters. However long a list is, it proposes a few pairs for each entry."""
+    beside = Window.partitionBy("shingle").orderBy(F.xxhash64("node", F.lit(turn)), "node")
+    others = F.array(*[F.lag(F.struct("node", "n", "pos", "root"), i).over(beside) for i in range(1, BESIDE + 1)])
+    pairs = met.withColumn("other", others).withColumn("other", F.explode("other")).filter("other.root <> root")
+    pairs = pairs.filter(_may_link(F.col("n"), F.col("pos"), F.col("other.n"), F.col("other.pos"), percent))
+    often = pairs.groupBy("node", F.col("other.node").alias("partner")).count()
+    ranked = Window.partitionBy("node").orderBy(F.desc("count"), F.xxhash64("node", "partner"))
+    best = often.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= PARTNERS)
+    pairs = best.select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).distinct()
+    return stored(_similar_ranges(pairs, classes, percent), "proposed")
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
 
