@@ -4,6 +4,7 @@ Lines are parsed to a fixed depth: a leaf of the tree is a token count and the l
 digit already made variable. Within a leaf, a token that only one document has at its place is a variable field too;
 the rest is the line's template. Templates found in several documents are dropped from all but the first of them, the
 one with the smallest id, so that nothing vanishes from the corpus and a document that was copied stays whole once.
+Lines too short or with too few constant tokens for a template are told to recur by their own words and digits.
 
 Leaves, line forms and tokens are told to recur by their smallest and largest document, which combine before any
 shuffle, so a line that a third of all documents share is no burden. Token-wise work is done only in leaves that more
@@ -17,9 +18,9 @@ from pyspark.sql import functions as F
 
 from frostline.llm.common import col, stored
 
-#: Leading tokens that lead to a leaf, and the fewest tokens of a line that can be a template.
+#: Leading tokens that lead to a leaf, and the fewest tokens of a line that can stand for others.
 LEADING, SHORTEST = 3, 3
-#: Least share of constant tokens in a line that recurs as it is, and in a generalised template.
+#: Least share of constant tokens in a line that recurs but for its digits, and in a generalised template.
 CONSTANT, CONSTANT_GENERAL = 0.5, 0.7
 #: Different lines that a generalised template must stand for.
 FORMS = 3
@@ -27,49 +28,89 @@ FIELD = "<*>"
 _VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
-def _normal(line: Column) -> Column:
-    """The line's tokens with one space between, those that hold a digit as variable fields."""
-    spaced = F.translate(line, "\t\x0b\x0c\r", "    ")
-    masked = F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, _VARIABLE, FIELD)).otherwise(spaced)
-    return F.trim(F.when(F.contains(masked, F.lit("  ")), F.regexp_replace(masked, " +", " ")).otherwise(masked))
+def _normal(line: Column, masked: bool = True) -> Column:
+    """The line's tokens with one space between, those that hold a digit as variable fields if ``masked``."""
+    out = F.translate(line, "\t\x0b\x0c\r", "    ")
+    if masked:
+        out = F.when(out.rlike("[0-9]"), F.regexp_replace(out, _VARIABLE, FIELD)).otherwise(out)
+    return F.trim(F.when(F.contains(out, F.lit("  ")), F.regexp_replace(out, " +", " ")).otherwise(out))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """doc, text_hash, pos, line (normal), n (tokens), leaf and form (a hash of the line) of all lines."""
-    lines = docs.select("doc", "text_hash", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.select("doc", "text_hash", "pos", _normal(F.col("line")).alias("line"))
+def _lines(docs: DataFrame, literal: bool = False) -> DataFrame:
+    """doc, text_hash, pos, line (normal), n (tokens), fixed (those that are no field), leaf and form of all lines.
+
+    The form is a hash of the line. With ``literal``, lines without a token are left out, and the form of lines that are
+    too short or have too few constant tokens for a template is a hash of the line with its digits.
+    """
+    lines = docs.select("doc", "text_hash", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
+    lines = lines.select("doc", "text_hash", "pos", "raw", _normal(F.col("raw")).alias("line"))
     n = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "))) + 1
-    return lines.withColumns({"n": n, "leaf": F.xxhash64(n, F.substring_index("line", " ", LEADING)), "form": F.xxhash64("line")})
+    lines = lines.withColumns({"n": n, "leaf": F.xxhash64(n, F.substring_index("line", " ", LEADING)), "fixed": _fixed(F.col("line"), n)})
+    form = F.xxhash64("line")
+    if literal:
+        lines = lines.filter("line <> ''")
+        form = F.when(_general(), form).otherwise(F.xxhash64(_normal(F.col("raw"), masked=False), F.lit(1)))
+    return lines.withColumn("form", form).drop("raw")
+
+
+def _general() -> Column:
+    """Whether a line may stand for others that differ in its fields."""
+    return (F.col("n") >= SHORTEST) & (F.col("fixed") >= CONSTANT * F.col("n"))
 
 
 def _recurs(low: str = "low", high: str = "high") -> Column:
     return F.col(low) < F.col(high)
 
 
-def templates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def templates(docs: DataFrame, sql_rules: bool = False) -> tuple[DataFrame, DataFrame]:
     """Positions of all lines that can be templates, and form, template, first (document) of the forms that recur.
 
-    ``docs`` has doc, text_hash and text. The template is text for generalised forms and null for others.
+    ``docs`` has doc, text_hash and text. The template is text for generalised forms and null for others. With
+    ``sql_rules`` lines that cannot stand for others are left alone, as the checking SQL does.
     """
-    places = stored(_lines(docs).withColumn("fixed", _fixed(F.col("line"), F.col("n"))).drop("line"), "lines")
-    places = places.filter(F.col("n") >= SHORTEST)
+    places = stored(_lines(docs, not sql_rules).drop("line"), "lines")
+    tree = F.col("n") >= SHORTEST if sql_rules else _general()
+    if sql_rules:
+        places = places.filter(tree)
     spread = (F.min("doc").alias("low"), F.max("doc").alias("high"))
     mixed = (
-        places.groupBy("leaf")
+        places.filter(tree)
+        .groupBy("leaf")
         .agg(*spread, F.min("form").alias("one"), F.max("form").alias("other"))
         .filter(_recurs() & _recurs("one", "other"))
         .select(F.col("leaf").alias("mixed_leaf"))
     )
-    open_lines = _lines(docs).join(mixed.hint("shuffle_hash"), F.col("leaf") == F.col("mixed_leaf"), "left_semi")
+    open_lines = _lines(docs, not sql_rules).filter(tree).join(mixed.hint("shuffle_hash"), F.col("leaf") == F.col("mixed_leaf"), "left_semi")
     forms = stored(open_lines.groupBy("leaf", "form").agg(F.first("line").alias("line"), *spread), "forms")
+    general = _spreads(forms)
+    known = places.groupBy("form").agg(*spread, F.min("n").alias("n"), F.min("fixed").alias("fixed"))
+    known = known.withColumn("whole", F.col("fixed") >= CONSTANT * F.col("n") if sql_rules else F.lit(True))
+    known = stored(known.join(general, "form", "left"), "known")
+    shared = (
+        known.filter("template is not null").groupBy("template").agg(F.min("low").alias("first"), F.max("high").alias("last"), F.count(F.lit(1)).alias("forms"))
+    )
+    shared = shared.filter((F.col("forms") >= FORMS) & _recurs("first", "last")).select(F.col("template").alias("shared"), F.col("first").alias("shared_first"))
+    # Most forms have no general template; they stay out of the join, where they would all meet as nulls.
+    joined = known.filter("template is not null").join(shared, F.col("template") == F.col("shared"), "left")
+    joined = joined.unionByName(known.filter("template is null"), allowMissingColumns=True)
+    first = F.coalesce("shared_first", F.when(_recurs() & F.col("whole"), F.col("low")))
+    recurring = joined.withColumn("first", first).filter("first is not null").select("form", F.col("shared").alias("template"), "first")
+    return places, recurring
 
-    words = forms.select("leaf", "form", "low", "high", F.posexplode(F.split("line", " ")).alias("pos", "token"))
+
+def _words(forms: DataFrame) -> DataFrame:
+    return forms.select("leaf", "form", "low", "high", F.posexplode(F.split("line", " ")).alias("pos", "token"))
+
+
+def _spreads(forms: DataFrame) -> DataFrame:
+    """form and template of forms, where a token is constant if several documents have it at its place."""
+    words = _words(forms)
     spread_of = (F.min("low").alias("low"), F.max("high").alias("high"))
     constant = words.groupBy("leaf", "pos", "token").agg(*spread_of).filter(_recurs()).select("leaf", "pos", "token", F.lit(True).alias("constant"))
     # A line's own tokens come together: as many as the line is long.
     marked = words.join(constant, ["leaf", "pos", "token"], "left").withColumn("constant", F.coalesce("constant", F.lit(False)))
     kept = F.when(F.col("constant"), F.col("token")).otherwise(F.lit(FIELD))
-    general = (
+    return (
         marked.groupBy("leaf", "form")
         .agg(
             F.sum(F.when(F.col("constant") & (F.col("token") != FIELD), 1).otherwise(0)).alias("constants"),
@@ -80,19 +121,6 @@ def templates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .filter((F.col("fields") > 0) & (F.col("constants") >= CONSTANT_GENERAL * F.col("n")))
         .select("form", "template")
     )
-    literal = places.groupBy("form").agg(*spread, F.min("n").alias("n"), F.min("fixed").alias("fixed"))
-    literal = literal.withColumn("whole", F.col("fixed") >= CONSTANT * F.col("n"))
-    known = stored(literal.join(general, "form", "left"), "known")
-    shared = (
-        known.filter("template is not null").groupBy("template").agg(F.min("low").alias("first"), F.max("high").alias("last"), F.count(F.lit(1)).alias("forms"))
-    )
-    shared = shared.filter((F.col("forms") >= FORMS) & _recurs("first", "last")).select(F.col("template").alias("shared"), F.col("first").alias("shared_first"))
-    # Most forms have no general template; they stay out of the join, where they would all meet as nulls.
-    joined = known.filter("template is not null").join(shared, F.col("template") == F.col("shared"), "left")
-    joined = joined.unionByName(known.filter("template is null"), allowMissingColumns=True)
-    first = F.coalesce("shared_first", F.when(_recurs() & F.col("whole"), F.col("low")))
-    recurring = joined.withColumn("first", first).filter("first is not null").select("form", F.col("shared").alias("template"), "first")
-    return places, recurring
 
 
 def _fixed(line: Column, n: Column) -> Column:
@@ -100,11 +128,12 @@ def _fixed(line: Column, n: Column) -> Column:
     return F.when(F.contains(line, F.lit(FIELD)), F.size(F.filter(F.split(line, " "), lambda t: t != FIELD))).otherwise(n)
 
 
-def without_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: bool = False) -> DataFrame:
+def without_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: bool = False, sql_rules: bool = False) -> DataFrame:
     """``docs`` with recurring lines taken out of ``text``; with ``counts``, also n_lines and n_dropped.
 
     Lines end at line feeds and the kept ones stay exactly as they are. A null text stays null, a document all of whose
-    lines recur gets an empty text. Lines of fewer than three tokens stay. A document is told by its id, or without one
+    lines recur gets an empty text. Lines without a token stay; a line of one or two tokens, or most of whose tokens hold
+    digits, goes only where it recurs as it is. With ``sql_rules`` such lines all stay, as in the checking SQL. A document is told by its id, or without one
     by its text; rows with one id are one document, where lines do not recur. Columns named n_lines or n_dropped give
     way to the counts.
     """
@@ -113,7 +142,7 @@ def without_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     body = F.col(f"c{names.index(text)}")
     inner = inner.withColumn("text_hash", F.xxhash64(body)).withColumn("doc", F.coalesce(F.col(f"c{names.index(doc_id)}").cast("long"), "text_hash"))
     plain = docs.select(col(doc_id).cast("long").alias("doc"), col(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    places, recurring = templates(plain.withColumn("doc", F.coalesce("doc", "text_hash")).filter("text is not null"))
+    places, recurring = templates(plain.withColumn("doc", F.coalesce("doc", "text_hash")).filter("text is not null"), sql_rules)
     gone = places.join(recurring.select("form", "first"), "form").filter("doc <> first")
     dropped = gone.groupBy("doc", "text_hash").agg(F.collect_set("pos").alias("gone"))
     joined = inner.join(dropped, ["doc", "text_hash"], "left")

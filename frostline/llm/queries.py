@@ -57,9 +57,9 @@ def op4_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without its recurring lines, and how many lines it had and lost."""
+    """Every document without its recurring lines by the rules of the checking SQL, and how many lines it had and lost."""
     docs = _table(spark, sf_dir, "documents")
-    return line_templates.without_templates(docs, counts=True).select("doc_id", "n_lines", "n_dropped", "text")
+    return line_templates.without_templates(docs, counts=True, sql_rules=True).select("doc_id", "n_lines", "n_dropped", "text")
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

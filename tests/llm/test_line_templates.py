@@ -57,3 +57,14 @@ def test_one_document_may_repeat_itself(spark):
 
 def test_empty_table(spark):
     assert texts(spark, []) == []
+
+
+def test_short_and_digit_lines_go_where_they_recur_as_they_are(spark):
+    rows = [(1, "Les.\nAnd ornd.\n無断転載を禁じます。\n12 34 56\n\nkept 7"), (2, "Les.\nAnd  ornd.\n\n無断転載を禁じます。\n12 34 56\nkept 8\n12 34 57\nown")]
+    assert texts(spark, rows) == [(1, rows[0][1]), (2, "\nkept 8\n12 34 57\nown")]
+
+
+def test_rules_of_the_sql_leave_short_lines(spark):
+    df = spark.createDataFrame([(i, "Les.\nthis line stands twice", "x", "y") for i in (1, 2)], SCHEMA)
+    out = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in without_templates(df, counts=True, sql_rules=True).collect()}
+    assert out == {1: ("Les.\nthis line stands twice", 0), 2: ("Les.", 1)}
