@@ -1,8 +1,9 @@
 """Line dedup with a log-template tree, in DataFrame operations only.
 
 Lines are parsed to a fixed depth: a leaf of the tree is a token count and the leading tokens, with tokens that hold a
-digit already made variable. Within a leaf, a token that only one document has at its place is a variable field too;
-the rest is the line's template. Templates found in several documents are dropped from all but the first of them, the
+digit already made variable. Within a leaf, a token is a variable field too if only one document has it at its place, or
+far fewer forms than have the tokens that must be constant; so fields are told alike in small and large corpora. The
+rest is the line's template. Templates found in several documents are dropped from all but the first of them, the
 one with the smallest id, so that nothing vanishes from the corpus and a document that was copied stays whole once.
 Lines too short or with too few constant tokens for a template are told to recur by their own words and digits.
 
@@ -22,6 +23,8 @@ from frostline.llm.common import col, stored
 LEADING, SHORTEST = 3, 3
 #: Least share of constant tokens in a line that recurs but for its digits, and in a generalised template.
 CONSTANT, CONSTANT_GENERAL = 0.5, 0.7
+#: Forms that share a constant token, as a share of those that share the rarest of the tokens that must be constant.
+SHARED = 0.5
 #: Different lines that a generalised template must stand for.
 FORMS = 3
 FIELD = "<*>"
@@ -66,7 +69,8 @@ def templates(docs: DataFrame, sql_rules: bool = False) -> tuple[DataFrame, Data
     """Positions of all lines that can be templates, and form, template, first (document) of the forms that recur.
 
     ``docs`` has doc, text_hash and text. The template is text for generalised forms and null for others. With
-    ``sql_rules`` lines that cannot stand for others are left alone, as the checking SQL does.
+    ``sql_rules`` lines that cannot stand for others are left alone, and a token that two documents have at its place is
+    constant, as in the checking SQL.
     """
     places = stored(_lines(docs, not sql_rules).drop("line"), "lines")
     tree = F.col("n") >= SHORTEST if sql_rules else _general()
@@ -82,7 +86,7 @@ def templates(docs: DataFrame, sql_rules: bool = False) -> tuple[DataFrame, Data
     )
     open_lines = _lines(docs, not sql_rules).filter(tree).join(mixed.hint("shuffle_hash"), F.col("leaf") == F.col("mixed_leaf"), "left_semi")
     forms = stored(open_lines.groupBy("leaf", "form").agg(F.first("line").alias("line"), *spread), "forms")
-    general = _spreads(forms)
+    general = _spreads(forms) if sql_rules else _shares(forms)
     known = places.groupBy("form").agg(*spread, F.min("n").alias("n"), F.min("fixed").alias("fixed"))
     known = known.withColumn("whole", F.col("fixed") >= CONSTANT * F.col("n") if sql_rules else F.lit(True))
     known = stored(known.join(general, "form", "left"), "known")
@@ -123,6 +127,35 @@ def _spreads(forms: DataFrame) -> DataFrame:
     )
 
 
+def _shares(forms: DataFrame) -> DataFrame:
+    """form and template of forms, where a token is constant by the number of forms that have it at its place.
+
+    The tokens that a template must keep at least, a form's commonest, tell how many forms it may stand for. A token is
+    constant if it has no less than a share of these, and several documents. However often the values of a field repeat,
+    they stay a field as long as each is rare beside the line's words.
+    """
+    words = _words(forms)
+    counts = words.groupBy("leaf", "pos", "token").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count(F.lit(1)).alias("count"))
+    counts = counts.filter(_recurs()).select("leaf", "pos", "token", "count")
+    marked = words.join(counts, ["leaf", "pos", "token"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
+
+    def template(own: Column) -> Column:
+        ranked = F.sort_array(F.transform(F.filter(own, lambda w: w["token"] != FIELD), lambda w: w["count"]), asc=False)
+        least = SHARED * F.get(ranked, F.ceil(F.size(own) * F.lit(CONSTANT_GENERAL)).cast("int") - 1)
+
+        def kept(at_least: Column) -> Column:
+            field = F.exists(own, lambda w: (w["token"] != FIELD) & (w["count"] < at_least))
+            tokens = F.transform(own, lambda w: F.when(w["count"] < at_least, FIELD).otherwise(w["token"]))
+            return F.when(field, F.array_join(tokens, " "))
+
+        return F.get(F.transform(F.array(least), kept), F.lit(0))
+
+    # A line's own tokens come together: as many as the line is long. They and their bound are bound once, as the only
+    # elements of arrays, and not worked out again for every token.
+    own = marked.groupBy("leaf", "form").agg(F.array_sort(F.collect_list(F.struct("pos", "token", "count"))).alias("own"))
+    return own.select("form", F.get(F.transform(F.array("own"), template), F.lit(0)).alias("template")).filter("template is not null")
+
+
 def _fixed(line: Column, n: Column) -> Column:
     """Number of tokens that are no variable field."""
     return F.when(F.contains(line, F.lit(FIELD)), F.size(F.filter(F.split(line, " "), lambda t: t != FIELD))).otherwise(n)
@@ -133,7 +166,8 @@ def without_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     Lines end at line feeds and the kept ones stay exactly as they are. A null text stays null, a document all of whose
     lines recur gets an empty text. Lines without a token stay; a line of one or two tokens, or most of whose tokens hold
-    digits, goes only where it recurs as it is. With ``sql_rules`` such lines all stay, as in the checking SQL. A document is told by its id, or without one
+    digits, goes only where it recurs as it is. With ``sql_rules`` such lines all stay and
+    field values that repeat are no fields, as in the checking SQL. A document is told by its id, or without one
     by its text; rows with one id are one document, where lines do not recur. Columns named n_lines or n_dropped give
     way to the counts.
     """

@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 from frostline.llm.line_templates import without_templates
 
 SCHEMA = "doc_id long, text string, tokens string, n_lines string"
@@ -68,3 +71,15 @@ def test_rules_of_the_sql_leave_short_lines(spark):
     df = spark.createDataFrame([(i, "Les.\nthis line stands twice", "x", "y") for i in (1, 2)], SCHEMA)
     out = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in without_templates(df, counts=True, sql_rules=True).collect()}
     assert out == {1: ("Les.\nthis line stands twice", 0), 2: ("Les.", 1)}
+
+
+@pytest.mark.parametrize("n", [10, 100_000])
+def test_fields_with_repeating_values_are_generalised(spark, n):
+    def one_of(values, salt):
+        return F.concat(F.lit(chr(97 + salt)), F.translate(F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(values)).cast("string"), "0123456789", "klmnopqrst"))
+
+    line = F.format_string("Posted by the author %s %s on this fine %s morning", one_of(50, 1), one_of(200, 2), one_of(7, 3))
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(line, F.lit("\nunlike "), F.translate("id", "0123456789", "klmnopqrst")).alias("text"))
+    out = without_templates(docs, counts=True)
+    assert out.filter(F.contains("text", F.lit("Posted"))).select("doc_id").collect() == [(0,)]
+    assert out.filter(~F.contains("text", F.lit("unlike"))).count() == 0
