@@ -3,8 +3,9 @@
 A source that is to give r times its words gives floor(r) whole copies; which documents give one copy more is a
 balanced sample with inclusion probability r - floor(r). The flight phase moves the probabilities of a few documents at
 a time through the null space of the constraints, so that expected words and documents stay as they are, until at most
-two of a group are undecided. The undecided ones of all groups fly on together, and only the last two of a source land,
-with ten others of the last flight, so that the source's words come near their target.
+two of a group are undecided. The undecided ones of all groups of a source fly on together, and only its last two land,
+with ten decided ones open again, so that the source's words come near their target. A source lands as soon as it is
+one group; a larger one carries ten decided documents of varied size along until then.
 """
 
 from __future__ import annotations
@@ -135,18 +136,26 @@ def land(p: list[float], sizes: list[float], reopened: int = REOPENED) -> None:
         p[i] = float(x)
 
 
-def _decider(keys: list[str], name: str, salt: str, size: str, probability: str, last: bool, turn: int):
+def _decider(keys: list[str], name: str, salt: str, parts: str, on: str, size: str, probability: str, turn: int):
+    """Flight of a group, and landing if it is its stratum's only one (``parts``). ``on`` tells the units that go on: the
+    undecided, and in a stratum's first group some decided ones from the smallest to the largest."""
+
     def decide(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(keys, kind="stable")
         draw = np.random.default_rng(list(f"{rows[name].iat[0]}/{rows[salt].iat[0]}/{turn}".encode()))
         order = draw.permutation(len(rows))  # long and short documents meet by chance
         p, sizes = rows[probability].to_numpy()[order].tolist(), rows[size].to_numpy()[order].astype(float).tolist()
         fly(p, sizes, draw)
-        if last:
+        if rows[parts].iat[0] == 1:
             land(p, sizes)
         back = np.empty(len(p))
         back[order] = p
-        return rows.assign(**{probability: back})
+        goes = (back > 0) & (back < 1)
+        if rows[parts].iat[0] > 1 and rows[salt].iat[0] == 0:
+            decided = np.flatnonzero(~goes)
+            decided = decided[np.argsort(rows[size].to_numpy()[decided], kind="stable")]
+            goes[decided[np.linspace(0, len(decided) - 1, min(REOPENED, len(decided))).astype(int)]] = True
+        return rows.assign(**{probability: back, on: goes})
 
     return decide
 
@@ -158,27 +167,26 @@ def sampled(
 
     ``keys`` (without nulls) tell units apart, and order them, so that a rerun decides alike however the rows are dealt
     out. A large stratum flies in groups chosen by a hash of the keys; at most two units of each group go on to the next
-    round, where so many groups become one that it is no larger than before.
+    round, with REOPENED decided ones of the stratum, where so many groups become one that it is no larger than before.
     """
-    salt, name = unused(units, "salt", "stratum_key")
-    kept = [*units.columns, salt, name]
+    salt, name, parts, on = unused(units, "salt", "stratum_key", "parts", "goes_on")
+    kept = [*units.columns, salt, name, parts]
     going = units.withColumn(name, F.coalesce(F.concat(F.lit("="), col(stratum).cast("string")), F.lit("")))
-    counts = stored(going.groupBy(name).agg(F.ceil(F.count(F.lit(1)) / group).alias(salt)), "strata")
-    groups = counts.agg(F.max(salt)).first()[0] or 1
-    going = going.join(counts, name).withColumn(salt, F.pmod(F.xxhash64(*map(col, keys), F.lit(0)), col(salt)))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in going.select(*kept).schema)
+    counts = stored(going.groupBy(name).agg(F.ceil(F.count(F.lit(1)) / group).alias(parts)), "strata")
+    groups = counts.agg(F.max(parts)).first()[0] or 1
+    going = going.join(counts, name).withColumn(salt, F.pmod(F.xxhash64(*map(col, keys), F.lit(0)), col(parts)))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in going.select(*kept).schema) + f", `{on}` boolean"
     decided, turn = None, 0
     while True:
-        decide = _decider(keys, name, salt, size, probability, groups == 1, turn)
+        decide = _decider(keys, name, salt, parts, on, size, probability, turn)
         flown = stored(going.select(*kept).groupBy(name, salt).applyInPandas(decide, schema), "flown")
-        undecided = (col(probability) > 0) & (col(probability) < 1)
-        done = flown.filter(~undecided)
+        done = flown.filter(~col(on))
         decided = done if decided is None else decided.unionByName(done)
         if groups == 1:
             break
-        fold = max(2, group // 2)
+        fold = max(2, (group - REOPENED) // 2)
         groups, turn = blocks_of(groups, fold), turn + 1
-        going = flown.filter(undecided).withColumn(salt, F.floor(col(salt) / fold))
+        going = flown.filter(col(on)).withColumn(salt, F.floor(col(salt) / fold)).withColumn(parts, F.ceil(col(parts) / fold))
     return decided.select(*map(col, units.columns), col(probability).cast("int").alias("chosen"))
 
 

@@ -69,6 +69,18 @@ def test_large_strata_fly_in_rounds(spark):
     assert abs(rows["chosen"].sum() - 0.37 * n) <= 5
 
 
+def test_small_sources_beside_a_large_one_come_as_near(spark):
+    size = {"hot": 9000, "middle": 4500, **{f"small{i}": 60 for i in range(12)}}
+    draw = np.random.default_rng(5)
+    rows = [(s, False, i, int(x)) for s, n in size.items() for i, x in enumerate(draw.lognormal(5, 1, n) + 1)]
+    units = spark.createDataFrame(rows, "source string, unnamed boolean, unit long, size long").withColumn("probability", F.lit(0.41))
+    out = cube_mixing.sampled(units, ["unnamed", "unit"]).toPandas()
+    assert out.groupby("source").size().to_dict() == size
+    for source, own in out.groupby("source"):
+        want = 0.41 * own["size"].sum()
+        assert abs((own["chosen"] * own["size"]).sum() - want) <= 0.02 * want, source
+
+
 def test_nulls_ties_and_repeats(spark):
     rows = [(1, "a b c", "s", "x"), (1, "a b c", "s", "x"), (2, None, "s", "y"), (None, "d e", None, None), (None, "f", None, None), (3, "", "t", "z")]
     rows += [(4, "w " * 5000, "u", "long")]
