@@ -50,3 +50,15 @@ def test_clean_scattered_repeated_and_odd_texts(spark):
 
 def test_empty_table(spark):
     assert found(spark, []) == []
+
+
+def test_usual_wordings_and_whole_texts(spark):
+    texts = {
+        "MIT": "This project is licensed under the MIT License - see the file", "MIT ": "Distributed under the MIT License.", "Apache-2.0": "SPDX-License-Identifier: Apache-2.0",
+        "CC-BY-SA-4.0": "under the Creative Commons Attribution-ShareAlike 4.0 International License", "EPL-2.0": "made available under the terms of the Eclipse Public License 2.0",
+        "GPL-3.0": TEMPLATES["GPL-3.0 text"], "MPL-2.0": TEMPLATES["MPL-2.0 text"], "Apache-2.0 ": TEMPLATES["Apache-2.0 text"], "CC0-1.0": TEMPLATES["CC0-1.0 text"],
+        "BSD-2-Clause": TEMPLATES["BSD-2-Clause"], "BSD disclaimer": TEMPLATES["BSD disclaimer"], "ISC": TEMPLATES["ISC disclaimer"],
+    }
+    got = found(spark, [(i, f"some words {t} and others") for i, t in enumerate(texts.values())])
+    for i, name in enumerate(texts):
+        assert any(d == i and license.startswith(name.strip()) for d, license, _ in got), name
