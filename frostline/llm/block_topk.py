@@ -67,10 +67,13 @@ class ForwardBlocks:
 
 def _floors(ids: np.ndarray, weights: np.ndarray, sample_ids: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
     """For each query, the kth score among the sampled documents, or nothing to go by."""
-    if len(sample_ids) <= k:
+    order = np.argsort(sample_ids, kind="stable")
+    different, starts = np.unique(sample_ids[order], return_index=True)
+    if len(different) <= k:
         return np.full(len(ids), -np.inf)
-    scores = (weights @ sample.T).astype(float)
-    scores[ids[:, None] == sample_ids[None, :]] = -np.inf
+    scores = (weights @ sample[order].T).astype(float)
+    scores = np.maximum.reduceat(scores, starts, axis=1)  # rows that share an id count as one, with the best score
+    scores[ids[:, None] == different[None, :]] = -np.inf
     return np.partition(scores, -k, axis=1)[:, -k]
 
 

@@ -105,3 +105,8 @@ def test_agreement_is_the_footrule_distance():
     for asked in permutations[:10]:
         footrule = [np.abs(place(p) - place(asked)).sum() for p in permutations]
         assert (12 * 13 - 2 * files.agreement(asked)).tolist() == footrule
+
+
+def test_floor_counts_an_id_once():
+    sample_ids, sample = np.array([1, 2, 1, 3]), np.array([[10.0], [8.0], [9.0], [1.0]])
+    assert block_topk._floors(np.array([7]), np.array([[1.0]]), sample_ids, sample, 2).tolist() == [8.0]
