@@ -109,7 +109,7 @@ def search(vectors: DataFrame, query: Column, k: int = 20, scale: int = 64, vec_
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     whole = F.transform("v", lambda x: F.floor(x * F.lit(float(scale))))
     rows = stored(rows.filter(F.size("v") == d).select("vec_id", "is_query", whole.alias("v")), "weights")
-    sample_ids, sample = V.sample(rows, total, SAMPLE)
+    sample_ids, sample = V.sample(rows, d, SAMPLE)
     exact = (scale * norm + d) ** 2 < _EXACT
     there, asked = V.meetings(rows, total, queries)
     found = there.groupBy("block", "batch").cogroup(asked.groupBy("block", "batch"))

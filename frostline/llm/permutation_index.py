@@ -116,7 +116,7 @@ def search(
     rows = rows.filter(F.size("v") == d)
     if not queries:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    _, chosen = V.sample(rows, total, pivots)
+    _, chosen = V.sample(rows, d, pivots)
     index = stored(_represented(rows, chosen, norm, min(nearest, len(chosen))), "index")
     there, asked = V.meetings(index, total, queries)
     found = there.groupBy("block", "batch").cogroup(asked.groupBy("block", "batch"))

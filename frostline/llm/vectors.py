@@ -38,13 +38,15 @@ def shape(rows: DataFrame) -> tuple[int, int, int, float]:
     return (top[0]["d"], top[0]["n"], top[0]["queries"], top[0]["norm"]) if top else (0, 0, 0, 0.0)
 
 
-def sample(rows: DataFrame, total: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors of up to ``size`` different vectors: those whose hashes are lowest among a bounded draw."""
-    every = max(1, total // (4 * size))
-    drawn = rows.withColumn("hash", F.xxhash64("v")).filter(F.pmod("hash", F.lit(every)) == 0)
+def sample(rows: DataFrame, d: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of up to ``size`` different vectors of length ``d``: those whose hashes are lowest among a bounded
+    draw. How much is drawn goes by the number of different vectors, however often they repeat."""
+    rows = rows.withColumn("hash", F.xxhash64("v"))
+    every = max(1, rows.agg(F.approx_count_distinct("hash")).first()[0] // (4 * size))
+    drawn = rows.filter(F.pmod("hash", F.lit(every)) == 0)
     drawn = drawn.groupBy("hash").agg(F.min(F.struct("vec_id", "v")).alias("row")).orderBy("hash").limit(size).collect()
     ids = np.array([r["row"]["vec_id"] for r in drawn], np.int64)
-    return ids, np.array([r["row"]["v"] for r in drawn], float).reshape(len(ids), -1)
+    return ids, np.array([r["row"]["v"] for r in drawn], float).reshape(len(ids), d)
 
 
 def meetings(index: DataFrame, total: int, queries: int) -> tuple[DataFrame, DataFrame]:

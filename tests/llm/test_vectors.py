@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from frostline.llm import block_topk, permutation_index
+from frostline.llm import block_topk, permutation_index, vectors
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 NAN, INF = float("nan"), float("inf")
@@ -110,3 +110,11 @@ def test_agreement_is_the_footrule_distance():
 def test_floor_counts_an_id_once():
     sample_ids, sample = np.array([1, 2, 1, 3]), np.array([[10.0], [8.0], [9.0], [1.0]])
     assert block_topk._floors(np.array([7]), np.array([[1.0]]), sample_ids, sample, 2).tolist() == [8.0]
+
+
+def test_few_vectors_in_many_rows(spark):
+    v = F.array(F.lit(1.0), (F.col("id") % 3).cast("double"))
+    df = spark.range(20_000).select(F.col("id").alias("vec_id"), v.alias("embedding"))
+    assert len(answers(permutation_index.search(df, F.col("vec_id") == 40, k=3))[40]) == 3
+    _, chosen = vectors.sample(df.withColumnRenamed("embedding", "v"), 2, 256)
+    assert sorted(chosen.tolist()) == [[1.0, 0.0], [1.0, 1.0], [1.0, 2.0]]
