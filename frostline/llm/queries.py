@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from frostline.llm import (
     best_fit,
     block_topk,
+    byte_pairs,
     chat_trees,
     cube_mixing,
     jaccard_join,
@@ -87,6 +88,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token count and digests of its ids and of the text decoded from them."""
+    return byte_pairs.round_trips(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,5 +106,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_block_topk,
         op9_best_fit_packing,
         op10_license_scan,
+        op11_byte_pairs,
     )
 }
