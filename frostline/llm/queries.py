@@ -13,6 +13,7 @@ from frostline.llm import (
     byte_pairs,
     chat_trees,
     cube_mixing,
+    divergence,
     jaccard_join,
     language_id,
     license_scan,
@@ -93,6 +94,11 @@ def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pairs.round_trips(_table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each source is from the others of its language, and the terms that set it apart."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -107,5 +113,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_best_fit_packing,
         op10_license_scan,
         op11_byte_pairs,
+        op12_source_divergence,
     )
 }

@@ -124,9 +124,50 @@ FROM runs GROUP BY name, doc_id, license, run
 HAVING 100 * count(DISTINCT shingle) >= 80 * any_value(different)
 """
 
+# Every term of a language with every two of its sources, without levels or bitmaps.
+SOURCE_DIVERGENCE = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t
+    FROM documents
+), words AS (
+    SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), kept AS (
+    SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+), langs AS (
+    SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), sizes AS (
+    SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source
+), groups AS (
+    SELECT DISTINCT lang, source FROM docs
+), grid AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(s.total, 0) + 5 * l.v)::HUGEINT AS p,
+        1 + (1000000000::HUGEINT * (k.n + 5)) // (l.total + 5 * l.v)::HUGEINT AS q
+    FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+    LEFT JOIN sizes s USING (lang, source) LEFT JOIN counts c USING (lang, source, term)
+), distances AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+), rows AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(d.value, 0) AS BIGINT) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN distances d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM grid WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM rows
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 ORACLE: dict[str, str] = {
     "op4_chat_trees": CHAT_TREES,
     "op5_line_templates": LINE_TEMPLATES,
     "op8_block_topk": BLOCK_TOPK,
     "op10_license_scan": LICENSE_SCAN,
+    "op12_source_divergence": SOURCE_DIVERGENCE,
 }
