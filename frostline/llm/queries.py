@@ -20,6 +20,7 @@ from frostline.llm import (
     line_templates,
     permutation_index,
     personal_data,
+    prefix_trie,
 )
 from frostline.llm.common import stored
 
@@ -99,6 +100,12 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, rebuilt so that each hundred opens with the same turns."""
+    lists = stored(prefix_trie.turn_lists(_table(spark, sf_dir, "conversations")), "turns")
+    return prefix_trie.trie(prefix_trie.with_shared_heads(lists))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -114,5 +121,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_license_scan,
         op11_byte_pairs,
         op12_source_divergence,
+        op13_prefix_trie,
     )
 }

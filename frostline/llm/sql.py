@@ -164,10 +164,52 @@ WITH docs AS (
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
 """
 
+# Prefixes as lists, grouped; every node is joined with all nodes above it. CRC-32 bit by bit.
+PREFIX_TRIE = r"""
+WITH lists AS (
+    SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''),
+        sha256(concat_ws(':', length(coalesce(role, '')), coalesce(role, ''), coalesce(text, '')))) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), bits AS (
+    SELECT conv_id, turns, list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+        lambda c: list_concat([CAST(ord(c) AS BIGINT)], [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))) AS steps
+    FROM lists
+), hashed AS (
+    SELECT conv_id, turns, xor(list_reduce(steps, lambda c, s: CASE WHEN s >= 0 THEN xor(c, s)
+        WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END), 4294967295) % 6 AS h
+    FROM bits
+), rebuilt AS (
+    SELECT a.conv_id, list_concat(coalesce(list_slice(b.turns, 1, a.h), []), list_slice(a.turns, a.h + 1, len(a.turns))) AS turns
+    FROM hashed a LEFT JOIN lists b ON b.conv_id = a.conv_id - a.conv_id % 100
+), prefixes AS (
+    SELECT conv_id AS member, len(turns) AS n, depth, list_slice(turns, 1, depth) AS prefix
+    FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt)
+), nodes AS (
+    SELECT prefix, depth, min(member) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(member AS VARCHAR), ',' ORDER BY member) FILTER (WHERE n = depth), '')) AS ends_sha256,
+        CASE WHEN depth > 0 THEN (count(*) - 1) * length(list_extract(prefix, depth).text) ELSE 0 END AS saved
+    FROM prefixes GROUP BY prefix, depth
+), children AS (
+    SELECT list_slice(prefix, 1, depth - 1) AS prefix, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), counted AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (depth, prefix)
+), above AS (
+    SELECT saved, n_children, above, list_slice(prefix, 1, above) AS prefix
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS above FROM counted)
+), sums AS (
+    SELECT prefix, above AS depth, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+    FROM above GROUP BY ALL
+)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, c.ends_sha256
+FROM counted c JOIN sums USING (depth, prefix)
+LEFT JOIN counted p ON p.depth = c.depth - 1 AND p.prefix = list_slice(c.prefix, 1, c.depth - 1)
+"""
+
 ORACLE: dict[str, str] = {
     "op4_chat_trees": CHAT_TREES,
     "op5_line_templates": LINE_TEMPLATES,
     "op8_block_topk": BLOCK_TOPK,
     "op10_license_scan": LICENSE_SCAN,
     "op12_source_divergence": SOURCE_DIVERGENCE,
+    "op13_prefix_trie": PREFIX_TRIE,
 }
