@@ -96,9 +96,9 @@ def test_bases_that_are_absent_and_conversations_left_without_turns(spark):
 
 
 def test_repeated_ids_null_turns_and_long_conversations(spark, monkeypatch):
-    monkeypatch.setattr(prefix_trie, "TURNS", 1000)
-    long = [(digest("user", str(i % 7)), len(str(i % 7))) for i in range(3000)]
-    rows = [(5, long), (5, long), (9, long[:2500]), (2, None), (2, []), (None, long), (11, long[:10] + long[:100])]
+    monkeypatch.setattr(prefix_trie, "TURNS", 100)
+    long = [(digest("user", str(i % 7)), len(str(i % 7))) for i in range(300)]
+    rows = [(5, long), (5, long), (9, long[:250]), (2, None), (2, []), (None, long), (11, long[:10] + long[:100])]
     df = spark.createDataFrame(rows, "conv_id long, turns array<struct<digest:string,chars:long>>").withColumn("key", F.lit(0))
     convs = [(c, [(d, "x" * n) for d, n in turns or []]) for c, turns in rows if c is not None]
     assert found(prefix_trie.trie(df)) == brute(convs)
