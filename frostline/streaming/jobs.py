@@ -1,8 +1,9 @@
 """Streaming jobs: ingestion, alerts, deduplication, rolling risk, latest state, marts.
 
-Each job writes below one folder: its outputs, its state and its checkpoint. Outputs
-of ``foreachBatch`` jobs go to a folder per batch that a repeated batch overwrites,
-so a restart neither loses nor doubles rows.
+Each job writes below one folder: its outputs and its checkpoint. Outputs of
+``foreachBatch`` jobs go to a folder per batch that a repeated batch overwrites,
+so a restart neither loses nor doubles rows. What a job remembers of a container or
+a reading is keyed state of Spark's; a batch writes the state of what it brings.
 """
 
 from __future__ import annotations
@@ -11,10 +12,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, StructField, StructType
+from pyspark.sql.types import BooleanType, DateType, IntegerType, StructField, StructType
 
-from frostline.operators.lags import ROWS_PER_CHUNK, with_previous
-from frostline.operators.latest import first_rows, newest_per_container, without_retries
+from frostline.operators.latest import first_rows, newest_first, newest_per_container, without_retries
 from frostline.plans import rolling
 from frostline.plans.alerts import alert_documents, alert_payload, with_reasons
 from frostline.plans.kinetics import container_health, spoilage_risk
@@ -28,10 +28,14 @@ from frostline.plans.staging import (
     stage_prices,
     stage_telemetry,
 )
+from frostline.sinks.keyed import KeyedTable, delete, exists, replace
 from frostline.sources import reference as ref
 from frostline.sources.schemas import EVENT_FIELDS
+from frostline.streaming.state import NewestOfReading, TrailingRows
 from frostline.streaming.topics import trigger
 
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def _finish(query) -> None:
     query.awaitTermination()
@@ -44,6 +48,8 @@ def _each_batch(
     mode: str = "append",
     seconds: float | None = None,
 ):
+    # Keyed state of Python functions needs this provider; a job started before goes on with its own.
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     return (
         stream.writeStream.foreachBatch(action)
         .outputMode(mode)
@@ -53,6 +59,10 @@ def _each_batch(
     )
 
 
+def _fields(df: DataFrame, *names: str) -> str:
+    return ", ".join(f"{n} {df.schema[n].dataType.simpleString()}" for n in names)
+
+
 def _put(df: DataFrame, folder: str, name: str, batch: int) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch}")
 
@@ -66,46 +76,11 @@ def read_output(spark: SparkSession, folder: str, name: str, schema: StructType
         return spark.read.option("mergeSchema", False).parquet(f"{folder}/{name}")
     columns = [f for f in schema.fields if f.name != "batch"]
     whole = StructType([*columns, StructField("batch", IntegerType())])
-    if not _exists(spark, f"{folder}/{name}"):
+    if not exists(spark, f"{folder}/{name}"):
         return spark.createDataFrame([], whole)
     return spark.read.schema(whole).parquet(f"{folder}/{name}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
-class _State:
-    """A table that each batch replaces, in two slots taken in turn.
-
-    A batch reads the slot of the batch before and writes the other one. A repeated
-    batch therefore finds the state it started from. Each row carries the batch that
-    wrote it, so a reader needs no other record of how far the job has come.
-    """
-
-    def __init__(self, folder: str, columns: str):
-        self.folder, self.columns = f"{folder}/state", columns
-
-    def before(self, spark: SparkSession, batch: int) -> DataFrame:
-        path = f"{self.folder}/slot={(batch - 1) % 2}"
-        if batch == 0 or not _exists(spark, path):
-            return spark.createDataFrame([], self.columns)
-        return spark.read.schema(self.columns).parquet(path)
-
-    def put(self, df: DataFrame, batch: int) -> None:
-        written = df.withColumn("state_batch", F.lit(batch).cast("long"))
-        written.write.mode("overwrite").parquet(f"{self.folder}/slot={batch % 2}")
-
-    def current(self, spark: SparkSession) -> DataFrame:
-        """What the last batch with any state has left; empty if there was none."""
-        if not _exists(spark, self.folder):
-            return spark.createDataFrame([], self.columns)
-        rows = spark.read.schema(f"{self.columns}, state_batch long").parquet(self.folder)
-        last = rows.agg(F.max("state_batch").alias("state_batch"))
-        return rows.join(last, "state_batch").drop("state_batch", "slot")
-
-
 # Ingestion
 
 
@@ -144,44 +119,51 @@ def alert_stream(readings: DataFrame, folder: str, seconds: float | None = None)
     )
 
 
-def dedup_stream(raw: DataFrame, folder: str, seconds: float | None = None):
-    """Drop retries however late they come; the one ingested last stays, late readings are kept.
+def dedup_stream(raw: DataFrame, folder: str, seconds: float | None = None, delay: str = "7 days"):
+    """Drop retries; the one ingested last stays, and readings that come late are kept.
 
-    The table written so far is the state. A batch is compared with the days it touches, which the table is partitioned
-    by, and adds what is new or newer; ``fresh_readings`` takes the newest row of each reading. Readings without
+    State is the newest row of each reading, and goes once the clocks seen are ``delay`` past the reading's. Until then
+    only a newer row of a reading is put out. A row that comes later than that goes to the late rows, as there is
+    nothing left to compare it with. ``fresh_readings`` takes the newest row of each reading out of both. Readings without
     container or clock are all kept.
     """
     schema = raw.schema
+    alone = F.when(F.col("container_id").isNull() | F.col("timestamp").isNull(), F.col("record_id"))
+    # The watermark stands on a copy of the clock that goes no further: otherwise Spark would drop late rows unseen.
+    clock = F.coalesce(F.col("timestamp"), F.lit("1970-01-01").cast("timestamp_ntz")).cast("timestamp")
+    marked = raw.withColumn("_clock", clock).withWatermark("_clock", delay).drop("_clock")
+    newest = (
+        marked.withColumn("_alone", alone)
+        .groupBy("container_id", "timestamp", "_alone")
+        .transformWithState(
+            NewestOfReading(schema.names, _fields(raw, "ingestion_timestamp", "record_id")),
+            StructType([*schema.fields, StructField("is_late", BooleanType())]),
+            "append",
+            "eventTime",
+        )
+    )
 
     def action(batch: DataFrame, number: int) -> None:
-        fresh = without_retries(batch).withColumn("event_date", F.to_date("timestamp"))
-        if number > 0:
-            days = fresh.select("event_date").distinct()
-            written = _written(batch.sparkSession, folder, schema).filter(F.col("batch") < number)
-            known = (
-                written.join(days, "event_date", "left_semi")
-                .groupBy("event_date", "container_id", "timestamp")
-                .agg(F.max(F.struct("ingestion_timestamp", "record_id")).alias("known"))
-            )
-            own = F.struct("ingestion_timestamp", "record_id")
-            fresh = (
-                fresh.join(known, ["event_date", "container_id", "timestamp"], "left")
-                .filter(F.col("known").isNull() | (own > F.col("known")))
-                .drop("known")
-                .select(*schema.names, "event_date")
-            )
-        fresh.hint("rebalance", "event_date").write.mode("overwrite").partitionBy(
-            "event_date"
+        dated = batch.withColumn("event_date", F.to_date("timestamp"))
+        dated.hint("rebalance", "event_date").write.mode("overwrite").partitionBy(
+            "is_late", "event_date"
         ).parquet(f"{folder}/fresh/batch={number}")
 
-    return _each_batch(raw, folder, action, seconds=seconds)
+    return _each_batch(newest, folder, action, seconds=seconds)
 
 
 def _written(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
-    dated = StructType([*schema.fields, StructField("event_date", DateType())])
+    dated = StructType(
+        [*schema.fields, StructField("is_late", BooleanType()), StructField("event_date", DateType())]
+    )
     return read_output(spark, folder, "fresh", dated)
 
 
+def late_readings(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """Rows that came when their reading was no longer remembered, with all their columns."""
+    return _written(spark, folder, schema).filter("is_late").select(schema.names)
+
+
 def fresh_readings(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
     """The newest row of each reading that the job has written, with all its columns."""
     return without_retries(_written(spark, folder, schema)).select(schema.names)
@@ -189,77 +171,35 @@ def fresh_readings(spark: SparkSession, folder: str, schema: StructType) -> Data
 
 # Rolling risk
 
-_TAIL_ROWS = rolling.ANOMALY_ROWS
-_TAIL_COLUMNS = (
-    "container_id string, record_id string, telemetry_timestamp timestamp_ntz,"
-    " commodity string, temperature_c double, humidity_pct double, vibration_g double,"
-    " position int, newest timestamp_ntz"
-)
+_BEFORE = rolling.ANOMALY_ROWS
 
 
-def rolling_stream(
-    readings: DataFrame,
-    folder: str,
-    seconds: float | None = None,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-):
-    """Score every reading against the readings that arrived before it.
+def rolling_stream(readings: DataFrame, folder: str, seconds: float | None = None):
+    """Score every reading against the readings that arrived before it, and tell which turn a container critical.
 
-    State is the last five readings of each container. Within a batch readings are
-    taken by event time; one older than a container's newest is scored and marked late.
-    A batch uses the same chunked lags as the batch query, so a busy container is
-    spread over tasks.
+    State is the last five readings of each container and its newest clock, kept by Spark for each container; a batch
+    writes that of the containers it has readings of. Within a batch readings are taken by event time; one older than
+    a container's newest is scored and marked late. A batch's readings of one container are sorted in one task, so the
+    source's limit on a batch (files or rows) bounds that task.
     """
-    state = _State(folder, _TAIL_COLUMNS)
+    kept = readings.select(STAGED_COLUMNS)
+    row = _fields(kept, *[c for c in kept.columns if c in TrailingRows.COLUMNS])
+    trailing = kept.groupBy("container_id").transformWithState(
+        TrailingRows(kept.columns, _BEFORE, row),
+        f"{_fields(kept, *kept.columns)}, is_late boolean, previous array<struct<{row}>>",
+        "append",
+        "none",
+    )
+    before = {f"previous_{i}": F.get("previous", F.lit(i - 1)) for i in range(1, _BEFORE + 1)}
+    scored = rolling.with_previous_score(rolling.with_risk(rolling.add_features(trailing.withColumns(before))))
+    scored = scored.drop("previous", *before)
 
     def action(batch: DataFrame, number: int) -> None:
-        tails = state.before(batch.sparkSession, number)
-        incoming = batch.select(
-            *STAGED_COLUMNS, F.lit(1).alias("arrival"), F.lit(0).alias("position")
-        ).persist()
-        held = tails.drop("newest").withColumn("arrival", F.lit(0))
-        rows = incoming.unionByName(held, allowMissingColumns=True)
-        order = ["arrival", "position", "telemetry_timestamp", "record_id"]
-
-        scored = rolling.with_previous_score(
-            rolling.with_risk(
-                rolling.add_features(
-                    with_previous(
-                        rows,
-                        "container_id",
-                        order,
-                        [*rolling.SENSORS, "commodity"],
-                        _TAIL_ROWS,
-                        rows_per_chunk,
-                    ).filter(F.col("arrival") == 1)
-                )
-            )
-        )
-        newest = tails.groupBy("container_id").agg(F.max("newest").alias("held_newest"))
-        late = F.coalesce(F.col("telemetry_timestamp") < F.col("held_newest"), F.lit(False))
-        scored = (
-            scored.join(newest, "container_id", "left")
-            .withColumn("is_late", late)
-            .drop("held_newest")
-            .drop(*[f"previous_{i}" for i in range(1, _TAIL_ROWS + 1)])
-        )
-        _put(scored, folder, "scored", number)
+        _put(batch, folder, "scored", number)
+        written = batch.sparkSession.read.schema(batch.schema).parquet(f"{folder}/scored/batch={number}")
+        _put(rolling.transitions(written), folder, "transitions", number)
 
-        last = first_rows(
-            rows, ["container_id"], [F.col(c).desc() for c in order], _TAIL_ROWS, "_rank"
-        )
-        seen = rows.groupBy("container_id").agg(F.max("telemetry_timestamp").alias("seen"))
-        kept = (
-            last.withColumn("position", -F.col("_rank"))
-            .join(seen, "container_id")
-            .join(newest, "container_id", "left")
-            .withColumn("newest", F.greatest("seen", "held_newest"))
-        )
-        names = [c.split()[0] for c in _TAIL_COLUMNS.split(", ")]
-        state.put(kept.select(names), number)
-        incoming.unpersist()
-
-    return _each_batch(readings, folder, action, seconds=seconds)
+    return _each_batch(scored, folder, action, seconds=seconds)
 
 
 def scored_readings(spark: SparkSession, folder: str) -> DataFrame:
@@ -267,71 +207,127 @@ def scored_readings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def transition_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    return rolling.transitions(scored_readings(spark, folder))
+    """Readings at which a container became critical, each put out by the batch that brought it."""
+    return read_output(spark, folder, "transitions").drop("batch")
 
 
 # Latest state
 
 
-def latest_stream(readings: DataFrame, folder: str, seconds: float | None = None):
-    """Newest reading per container, kept by Spark's state store; puts out the changes."""
+#: Batches of changes between two snapshots.
+SNAPSHOT_EVERY = 16
+
+
+def latest_stream(readings: DataFrame, folder: str, seconds: float | None = None, every: int = SNAPSHOT_EVERY):
+    """Newest reading per container, kept by Spark's state store; puts out the changes.
+
+    After every so many batches the changes since the last snapshot become part of a new one. Changes and snapshots
+    that the snapshot before does without are deleted; a reader that has begun with that one still finds its files.
+    """
     columns = [c for c in STAGED_COLUMNS if c != "container_id"]
     newest = readings.groupBy("container_id").agg(
         F.max_by(F.struct(*columns), F.struct("telemetry_timestamp", "record_id")).alias("row")
     )
 
     def action(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
         _put(batch.select("container_id", "row.*"), folder, "changes", number)
+        if (number + 1) % every == 0:
+            # Built on an earlier snapshot, never on this batch's own, so that a repeated batch does the same.
+            whole = latest_rows(spark, folder, before=number)
+            whole.write.mode("overwrite").parquet(f"{folder}/snapshot/batch={number}")
+            for old in _batches(spark, folder, "snapshot")[:-2]:
+                delete(spark, f"{folder}/snapshot/batch={old}")
+            for old in _batches(spark, folder, "changes"):
+                if old <= number - every:
+                    delete(spark, f"{folder}/changes/batch={old}")
 
     return _each_batch(newest, folder, action, "update", seconds)
 
 
-def latest_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """The current row of each container out of the change log."""
-    changes = read_output(spark, folder, "changes")
-    return first_rows(changes, ["container_id"], [F.col("batch").desc()]).select(STAGED_COLUMNS)
+def _batches(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """Numbers of the batches that have been written whole, in order."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    paths = [str(status.getPath()) for status in files.listStatus(place)]
+    numbers = [int(p.rpartition("batch=")[2]) for p in paths if "batch=" in p]
+    return sorted(n for n in numbers if exists(spark, f"{folder}/{name}/batch={n}/_SUCCESS"))
+
+
+def latest_rows(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
+    """The current row of each container: the last snapshot (before a batch) and the changes since."""
+    shots = [n for n in _batches(spark, folder, "snapshot") if before is None or n < before]
+    since = [n for n in _batches(spark, folder, "changes") if not shots or n > shots[-1]]
+    parts = [
+        spark.read.option("basePath", f"{folder}/{name}").parquet(*[f"{folder}/{name}/batch={n}" for n in numbers])
+        for name, numbers in (("changes", since), ("snapshot", shots[-1:]))
+        if numbers
+    ]
+    if not parts:
+        return spark.createDataFrame([], _LATEST_COLUMNS).select(STAGED_COLUMNS)
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return first_rows(rows, ["container_id"], [F.col("batch").desc(), *newest_first()]).select(STAGED_COLUMNS)
 
 
 # Marts
 
+
 _LATEST_COLUMNS = (
     "record_id string, telemetry_timestamp timestamp_ntz, container_id string,"
     " shipment_id string, commodity string, temperature_c double, humidity_pct double,"
     " vibration_g double, latitude double, longitude double, origin string,"
     " destination string, quantity_kg bigint, speed_kmh double, door_open boolean,"
     " compressor_status string, anomaly_mode string, is_temperature_alert int,"
-    " is_humidity_alert int, is_vibration_alert int, is_mechanical_alert int, changed int"
+    " is_humidity_alert int, is_vibration_alert int, is_mechanical_alert int"
 )
 
 
 def mart_stream(
-    raw: DataFrame, markets: DataFrame, prices: DataFrame, folder: str, seconds: float | None = None
+    raw: DataFrame,
+    markets: DataFrame,
+    prices: DataFrame,
+    folder: str,
+    seconds: float | None = None,
+    buckets: int = 64,
 ):
-    """Recompute the reroute mart for the containers each batch brings news of."""
-    state = _State(folder, _LATEST_COLUMNS)
+    """Recompute the reroute mart for the containers each batch brings news of.
+
+    Latest readings and mart are stored in buckets of containers. A batch reads and rewrites the buckets of the
+    containers it has readings of, and no others.
+    """
+    latest, mart = mart_tables(raw.sparkSession, folder, markets, prices, buckets)
 
     def action(batch: DataFrame, number: int) -> None:
-        known = state.before(batch.sparkSession, number)
-        fresh = newest_per_container(
-            stage_telemetry(batch).select(*STAGED_COLUMNS, *FLAG_COLUMNS)
-        ).withColumn("changed", F.lit(number))
-        state.put(newest_per_container(known.unionByName(fresh)), number)
-        changed = state.before(batch.sparkSession, number + 1).filter(F.col("changed") == number)
-        risk = spoilage_risk(container_health(changed))
-        _put(spoilage_arbitrage(market_options(risk, markets, prices)), folder, "mart", number)
+        fresh = newest_per_container(stage_telemetry(batch).select(*STAGED_COLUMNS, *FLAG_COLUMNS)).persist()
+        try:
+            latest.merge(fresh, lambda held, new: newest_per_container(held.unionByName(new)), number)
+            risk = spoilage_risk(container_health(latest.rows_of(fresh)))
+            rows = spoilage_arbitrage(market_options(risk, markets, prices))
+            mart.merge(rows, lambda held, new: replace(held, new, ["container_id"]), number)
+        finally:
+            fresh.unpersist()
 
     return _each_batch(raw, folder, action, seconds=seconds)
 
 
+def mart_tables(
+    spark: SparkSession, folder: str, markets: DataFrame, prices: DataFrame, buckets: int = 64
+) -> tuple[KeyedTable, KeyedTable]:
+    """The stored latest readings and reroute mart of a ``mart_stream`` job."""
+    none = spark.createDataFrame([], _LATEST_COLUMNS)
+    rows = spoilage_arbitrage(market_options(spoilage_risk(container_health(none)), markets, prices))
+    return (
+        KeyedTable(f"{folder}/latest", ["container_id"], none.schema, buckets),
+        KeyedTable(f"{folder}/mart", ["container_id"], rows.schema, buckets),
+    )
+
+
 def current_mart(spark: SparkSession, folder: str) -> DataFrame:
     """Mart rows of each container's latest change, however often the job was started."""
-    state = _State(folder, _LATEST_COLUMNS).current(spark)
-    if not _exists(spark, f"{folder}/mart"):
-        risk = spoilage_risk(container_health(state.limit(0)))
-        markets, prices = stage_markets(ref.raw_markets(spark)), stage_prices(ref.raw_prices(spark), F.current_timestamp())
-        return spoilage_arbitrage(market_options(risk, markets, prices))
-    current = state.select("container_id", F.col("changed").alias("batch"))
-    return read_output(spark, folder, "mart").join(current, ["container_id", "batch"]).drop("batch")
+    markets, prices = stage_markets(ref.raw_markets(spark)), stage_prices(ref.raw_prices(spark), F.current_timestamp())
+    return mart_tables(spark, folder, markets, prices)[1].rows(spark)
 
 
 def run_to_end(query) -> int:

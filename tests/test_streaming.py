@@ -56,9 +56,7 @@ def test_rolling_over_batches_and_a_restart(spark, small, tmp_path, slices):
     for half in ((0, 1), (2, 3)):
         for i in half:
             put_file(folder, slices[i], i)
-        job = jobs.rolling_stream(
-            staging.type_readings(stream(spark, folder)), out, rows_per_chunk=5
-        )
+        job = jobs.rolling_stream(staging.type_readings(stream(spark, folder)), out)
         last = jobs.run_to_end(job)
     assert last == FILES - 1
     scored = jobs.scored_readings(spark, out)
@@ -174,3 +172,111 @@ def test_ingest_over_batches(spark, small, landing, tmp_path):
     valid, dead = (jobs.read_output(spark, out, n).count() for n in ("valid", "dead"))
     assert valid + dead == 1000 and dead > 0
     assert jobs.read_output(spark, out, "alerts").count() > 0
+
+
+def readings_file(spark, folder, rows):
+    """Staged readings (record, container, clock, temperature) as one more file."""
+    staged = spark.createDataFrame(
+        [
+            (r, clock, c, "s", "Bananas", t, 60.0, 0.05, 1.0, 2.0, "a", "b", 1000, 50.0, False, "ON", "none")
+            for r, c, clock, t in rows
+        ],
+        READING_SCHEMA,
+    )
+    staged.coalesce(1).write.mode("append").parquet(str(folder))
+    return spark.readStream.schema(READING_SCHEMA).parquet(str(folder))
+
+
+READING_SCHEMA = ", ".join(c for c in jobs._LATEST_COLUMNS.split(", ") if "alert" not in c)
+
+
+def test_a_transition_is_put_out_once_by_its_batch(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    hot, start = 60.0, datetime(2024, 1, 1)
+    for i, temperature in enumerate([13.0, hot, hot, hot, hot]):
+        rows = [(f"a{i}", "c1", start + timedelta(hours=i), temperature), (f"b{i}", None, start + timedelta(hours=i), 13.0)]
+        jobs.run_to_end(jobs.rolling_stream(readings_file(spark, folder, rows), out))
+        jobs.run_to_end(jobs.rolling_stream(readings_stream(spark, folder), out))  # finds nothing
+    scored = jobs.scored_readings(spark, out)
+    assert scored.count() == 10
+    turned = rolling.transitions(scored).collect()
+    assert len(turned) == 1
+    put_out = jobs.read_output(spark, out, "transitions").collect()
+    assert [r["record_id"] for r in put_out] == [turned[0]["record_id"]]
+    assert put_out[0]["batch"] == int(turned[0]["record_id"][1:])
+    # A batch that is repeated, as after a failure before its commit, puts out the same again and no more.
+    commit = max((tmp_path / "out" / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    os.remove(commit)
+    (commit.parent / f".{commit.name}.crc").unlink(missing_ok=True)
+    jobs.run_to_end(jobs.rolling_stream(readings_stream(spark, folder), out))
+    assert jobs.scored_readings(spark, out).count() == 10 and jobs.transition_alerts(spark, out).count() == 1
+
+
+def readings_stream(spark, folder):
+    return spark.readStream.schema(READING_SCHEMA).parquet(str(folder))
+
+
+def test_late_rows_go_aside_and_none_is_lost(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    schema = "record_id string, ingestion_timestamp timestamp_ntz, timestamp timestamp_ntz, container_id string"
+    day = [datetime(2024, 1, d) for d in range(1, 30)]
+    files = [
+        [("r1", day[0], day[0], "c1")],
+        [("r2", day[20], day[20], "c1"), ("r2", day[21], day[20], "c1")],  # moves the watermark to the 20th
+        [("r1", day[22], day[0], "c1"), ("r3", day[22], day[1], "c2"), ("r2", day[22], day[20], "c1"), ("r2", day[19], day[20], "c1")],
+        [("r1", day[5], day[0], "c1")],
+    ]
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+        raw = spark.readStream.schema(schema).parquet(str(folder))
+        jobs.run_to_end(jobs.dedup_stream(raw, out, delay="1 day"))
+    late = jobs.late_readings(spark, out, raw.schema).collect()
+    assert sorted((r["record_id"], r["ingestion_timestamp"].day) for r in late) == [("r1", 6), ("r1", 23), ("r3", 23)]
+    kept = jobs.fresh_readings(spark, out, raw.schema).collect()
+    assert sorted((r["record_id"], r["ingestion_timestamp"].day) for r in kept) == [("r1", 23), ("r2", 23), ("r3", 23)]
+
+
+def test_state_of_readings_goes_after_the_delay(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    schema = "record_id string, ingestion_timestamp timestamp_ntz, timestamp timestamp_ntz, container_id string"
+    held = []
+    for d in range(8):
+        clock = datetime(2024, 1, 1) + timedelta(days=3 * d)
+        rows = [(f"r{d}-{i}", clock, clock + timedelta(minutes=i), "c1") for i in range(20)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+        query = jobs.dedup_stream(spark.readStream.schema(schema).parquet(str(folder)), out, delay="1 day")
+        jobs.run_to_end(query)
+        held.append(max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]))
+    assert max(held[3:]) <= held[1] + 20  # a day's readings and the last file's, not all that ever came
+    assert jobs.fresh_readings(spark, out, spark.read.schema(schema).parquet(str(folder)).schema).count() == 160
+
+
+def test_latest_rows_read_a_snapshot_and_the_changes_since(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    start, newest = datetime(2024, 1, 1), {}
+    for i in range(11):
+        rows = [(f"r{i}-{c}", f"c{c}", start + timedelta(hours=i), float(i)) for c in range(i % 3, 4)]
+        newest |= {r[1]: r[0] for r in rows}
+        jobs.run_to_end(jobs.latest_stream(readings_file(spark, folder, rows), out, every=3))
+        assert {r["container_id"]: r["record_id"] for r in jobs.latest_rows(spark, out).collect()} == newest
+    assert len(jobs._batches(spark, out, "snapshot")) <= 2 and len(jobs._batches(spark, out, "changes")) <= 6
+    assert len([f for f in jobs.latest_rows(spark, out).inputFiles() if "snapshot" in f]) >= 1
+    assert not any("batch=0/" in f for f in jobs.latest_rows(spark, out).inputFiles())
+
+
+def test_a_batch_rewrites_the_buckets_of_its_containers_only(spark, small, tmp_path):
+    marts = Marts(feed.readings(spark, small))
+    folder, out = tmp_path / "in", tmp_path / "out"
+    raw = feed.readings(spark, small).select(feed.READING_COLUMNS)
+    one = raw.select("container_id").distinct().orderBy("container_id").first()[0]
+    for i, part in enumerate([raw, raw.filter(raw.container_id == one)]):
+        part.coalesce(1).write.mode("append").parquet(str(folder))
+        before = {p: p.stat().st_mtime_ns for t in ("latest", "mart") for p in (out / t / "table").glob("*/*.parquet")}
+        stream = spark.readStream.schema(raw.schema).parquet(str(folder))
+        jobs.run_to_end(jobs.mart_stream(stream, marts.markets, marts.prices, str(out), buckets=16))
+    after = {p: p.stat().st_mtime_ns for t in ("latest", "mart") for p in (out / t / "table").glob("*/*.parquet")}
+    for table in ("latest", "mart"):
+        kept = {p.parent for p in before if table in str(p) and after.get(p) == before[p]}
+        gone = {p.parent for p in before if table in str(p) and p not in after}
+        assert len(gone) == 1 and len(kept) >= 2 and not kept & gone
+    same(jobs.current_mart(spark, str(out)), marts.arbitrage)
