@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from frostline.llm.common import col, letters_lower
+from frostline.llm.common import col, letters_lower, stored
 from frostline.llm.license_texts import TEMPLATES
 
 WORDS, PERCENT = 5, 80
@@ -44,7 +44,7 @@ def anchors(templates: dict[str, str]) -> list[str]:
         shingles = [words[i : i + WORDS] for i in range(len(words) - WORDS + 1)]
         order = sorted(set(words), key=lambda w: (-sum(w in s for s in shingles) * (len(w) > 6), -len(w), w))
         for word in [None, *order]:
-            if word:
+            if word and word not in chosen:
                 chosen.append(word)
             distinct = {tuple(s) for s in shingles}
             if 100 * sum(not any(a in w for a in chosen for w in s) for s in distinct) < PERCENT * len(distinct):
@@ -105,8 +105,12 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
     parts = wanted.select("license", F.size("shingles").alias("length"), F.size(F.array_distinct("shingles")).alias("different"), "shingles")
     words = anchors(templates)
     holds = letters_lower(col(text)).rlike("|".join(words)) if words else F.lit(False)
-    read = docs.filter(holds).select(
-        col(doc_id).cast("long").alias("doc_id"), F.xxhash64(col(text)).alias("text_hash"), _shingles(col(text)).alias("shingles")
+    # Documents are read and tested once; few hold an anchor, and three joins below start from these.
+    read = stored(
+        docs.filter(holds).select(
+            col(doc_id).cast("long").alias("doc_id"), F.xxhash64(col(text)).alias("text_hash"), _shingles(col(text)).alias("shingles")
+        ),
+        "anchored",
     )
 
     posted = parts.select("license", "length", "different", F.explode(F.array_distinct("shingles")).alias("shingle"))
