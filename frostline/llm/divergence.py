@@ -29,7 +29,7 @@ DOCUMENTS, TERMS = 30, 50
 #: Added to each count, and what probabilities are counted in.
 SMOOTH, UNITS = 5, 1_000_000_000
 #: Widest and narrowest block in terms; in between, width times total count is 2**20. Rows that a block has about, at most.
-WIDE, NARROW, PRODUCT, ROWS = 4096, 64, 20, 200_000
+WIDE, NARROW, PRODUCT, ROWS = 4096, 64, 20, 20_000
 #: Counters that a task holds before it puts them out.
 HELD = 300_000
 
