@@ -39,21 +39,21 @@ def _normal(line: Column, masked: bool = True) -> Column:
     return F.trim(F.when(F.contains(out, F.lit("  ")), F.regexp_replace(out, " +", " ")).otherwise(out))
 
 
-def _lines(docs: DataFrame, literal: bool = False) -> DataFrame:
-    """doc, text_hash, pos, line (normal), n (tokens), fixed (those that are no field), leaf and form of all lines.
+def _lines(docs: DataFrame) -> DataFrame:
+    """doc, text_hash, pos, line (normal), n (tokens), fixed (those that are no field), leaf and form of all lines with a
+    token.
 
-    The form is a hash of the line. With ``literal``, lines without a token are left out, and the form of lines that are
-    too short or have too few constant tokens for a template is a hash of the line with its digits.
+    The form is a hash of the line. That of lines that are too short or have too few constant tokens for a template is a
+    hash of the line with its digits.
     """
     lines = docs.select("doc", "text_hash", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
     lines = lines.select("doc", "text_hash", "pos", "raw", _normal(F.col("raw")).alias("line"))
     n = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "))) + 1
     lines = lines.withColumns({"n": n, "leaf": F.xxhash64(n, F.substring_index("line", " ", LEADING)), "fixed": _fixed(F.col("line"), n)})
-    form = F.xxhash64("line")
-    if literal:
-        lines = lines.filter("line <> ''")
-        form = F.when(_general(), form).otherwise(F.xxhash64(_normal(F.col("raw"), masked=False), F.lit(1)))
-    return lines.withColumn("form", form).drop("raw")
+    form = F.when(_general(), F.xxhash64("line")).otherwise(F.xxhash64(_normal(F.col("raw"), masked=False), F.lit(1)))
+    parsed = F.struct("line", "n", "fixed", "leaf", form.alias("form"))
+    # Unpacked by inline, below which no filter is pushed: pushed, it would parse each line again for every column it names.
+    return lines.select("doc", "text_hash", "pos", F.inline(F.array(parsed))).filter("line <> ''")
 
 
 def _general() -> Column:
@@ -65,31 +65,25 @@ def _recurs(low: str = "low", high: str = "high") -> Column:
     return F.col(low) < F.col(high)
 
 
-def templates(docs: DataFrame, sql_rules: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Positions of all lines that can be templates, and form, template, first (document) of the forms that recur.
+def templates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Positions of all lines, and form, template and first (document) of the forms that recur.
 
-    ``docs`` has doc, text_hash and text. The template is text for generalised forms and null for others. With
-    ``sql_rules`` lines that cannot stand for others are left alone, and a token that two documents have at its place is
-    constant, as in the checking SQL.
+    ``docs`` has doc, text_hash and text. The template is text for generalised forms and null for others.
     """
-    places = stored(_lines(docs, not sql_rules).drop("line"), "lines")
-    tree = F.col("n") >= SHORTEST if sql_rules else _general()
-    if sql_rules:
-        places = places.filter(tree)
+    # Parsed once; the lines' text is read back for the leaves that need it, and other columns without it.
+    places = stored(_lines(docs), "lines")
     spread = (F.min("doc").alias("low"), F.max("doc").alias("high"))
     mixed = (
-        places.filter(tree)
+        places.filter(_general())
         .groupBy("leaf")
         .agg(*spread, F.min("form").alias("one"), F.max("form").alias("other"))
         .filter(_recurs() & _recurs("one", "other"))
         .select(F.col("leaf").alias("mixed_leaf"))
     )
-    open_lines = _lines(docs, not sql_rules).filter(tree).join(mixed.hint("shuffle_hash"), F.col("leaf") == F.col("mixed_leaf"), "left_semi")
+    open_lines = places.filter(_general()).join(mixed.hint("shuffle_hash"), F.col("leaf") == F.col("mixed_leaf"), "left_semi")
     forms = stored(open_lines.groupBy("leaf", "form").agg(F.first("line").alias("line"), *spread), "forms")
-    general = _spreads(forms) if sql_rules else _shares(forms)
-    known = places.groupBy("form").agg(*spread, F.min("n").alias("n"), F.min("fixed").alias("fixed"))
-    known = known.withColumn("whole", F.col("fixed") >= CONSTANT * F.col("n") if sql_rules else F.lit(True))
-    known = stored(known.join(general, "form", "left"), "known")
+    known = places.groupBy("form").agg(*spread)
+    known = stored(known.join(_shares(forms), "form", "left"), "known")
     shared = (
         known.filter("template is not null").groupBy("template").agg(F.min("low").alias("first"), F.max("high").alias("last"), F.count(F.lit(1)).alias("forms"))
     )
@@ -97,36 +91,15 @@ def templates(docs: DataFrame, sql_rules: bool = False) -> tuple[DataFrame, Data
     # Most forms have no general template; they stay out of the join, where they would all meet as nulls.
     joined = known.filter("template is not null").join(shared, F.col("template") == F.col("shared"), "left")
     joined = joined.unionByName(known.filter("template is null"), allowMissingColumns=True)
-    first = F.coalesce("shared_first", F.when(_recurs() & F.col("whole"), F.col("low")))
+    first = F.coalesce("shared_first", F.when(_recurs(), F.col("low")))
     recurring = joined.withColumn("first", first).filter("first is not null").select("form", F.col("shared").alias("template"), "first")
-    return places, recurring
+    return places.drop("line"), recurring
 
 
 def _words(forms: DataFrame) -> DataFrame:
     return forms.select("leaf", "form", "low", "high", F.posexplode(F.split("line", " ")).alias("pos", "token"))
 
 
-def _spreads(forms: DataFrame) -> DataFrame:
-    """form and template of forms, where a token is constant if several documents have it at its place."""
-    words = _words(forms)
-    spread_of = (F.min("low").alias("low"), F.max("high").alias("high"))
-    constant = words.groupBy("leaf", "pos", "token").agg(*spread_of).filter(_recurs()).select("leaf", "pos", "token", F.lit(True).alias("constant"))
-    # A line's own tokens come together: as many as the line is long.
-    marked = words.join(constant, ["leaf", "pos", "token"], "left").withColumn("constant", F.coalesce("constant", F.lit(False)))
-    kept = F.when(F.col("constant"), F.col("token")).otherwise(F.lit(FIELD))
-    return (
-        marked.groupBy("leaf", "form")
-        .agg(
-            F.sum(F.when(F.col("constant") & (F.col("token") != FIELD), 1).otherwise(0)).alias("constants"),
-            F.sum(F.when(F.col("constant"), 0).otherwise(1)).alias("fields"),
-            F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", kept.alias("token")))), lambda x: x["token"]), " ").alias("template"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .filter((F.col("fields") > 0) & (F.col("constants") >= CONSTANT_GENERAL * F.col("n")))
-        .select("form", "template")
-    )
-
-
 def _shares(forms: DataFrame) -> DataFrame:
     """form and template of forms, where a token is constant by the number of forms that have it at its place.
 
@@ -161,22 +134,21 @@ def _fixed(line: Column, n: Column) -> Column:
     return F.when(F.contains(line, F.lit(FIELD)), F.size(F.filter(F.split(line, " "), lambda t: t != FIELD))).otherwise(n)
 
 
-def without_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: bool = False, sql_rules: bool = False) -> DataFrame:
+def without_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: bool = False) -> DataFrame:
     """``docs`` with recurring lines taken out of ``text``; with ``counts``, also n_lines and n_dropped.
 
     Lines end at line feeds and the kept ones stay exactly as they are. A null text stays null, a document all of whose
     lines recur gets an empty text. Lines without a token stay; a line of one or two tokens, or most of whose tokens hold
-    digits, goes only where it recurs as it is. With ``sql_rules`` such lines all stay and
-    field values that repeat are no fields, as in the checking SQL. A document is told by its id, or without one
-    by its text; rows with one id are one document, where lines do not recur. Columns named n_lines or n_dropped give
-    way to the counts.
+    digits, goes only where it recurs as it is. A document is told by its id, or without one by its text; rows with one
+    id are one document, where lines do not recur. Lines may be of any length, and an empty table gives no rows. Columns
+    named n_lines or n_dropped give way to the counts; others stay as they are, whatever their names.
     """
     names = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
     body = F.col(f"c{names.index(text)}")
     inner = inner.withColumn("text_hash", F.xxhash64(body)).withColumn("doc", F.coalesce(F.col(f"c{names.index(doc_id)}").cast("long"), "text_hash"))
     plain = docs.select(col(doc_id).cast("long").alias("doc"), col(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    places, recurring = templates(plain.withColumn("doc", F.coalesce("doc", "text_hash")).filter("text is not null"), sql_rules)
+    places, recurring = templates(plain.withColumn("doc", F.coalesce("doc", "text_hash")).filter("text is not null"))
     gone = places.join(recurring.select("form", "first"), "form").filter("doc <> first")
     dropped = gone.groupBy("doc", "text_hash").agg(F.collect_set("pos").alias("gone"))
     joined = inner.join(dropped, ["doc", "text_hash"], "left")

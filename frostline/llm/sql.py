@@ -51,38 +51,43 @@ WITH split AS (
 ), numbered AS (
     SELECT doc_id, h, place, all_lines[place + 1] AS line
     FROM (SELECT doc_id, h, all_lines, unnest(range(0, len(all_lines))) AS place FROM split)
-), tokenized AS (
-    SELECT doc_id, h, place, line, list_transform(
-        list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda t: t <> ''),
-        lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens
-    FROM numbered
+), split_lines AS (
+    SELECT doc_id, h, place, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda t: t <> '') AS raw FROM numbered
+), masked AS (
+    SELECT *, list_transform(raw, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens
+    FROM split_lines WHERE len(raw) > 0
+), told AS (
+    SELECT *, len(tokens) AS n, len(tokens) >= 3 AND len(list_filter(tokens, lambda t: t <> '<*>')) >= 0.5 * len(tokens) AS general FROM masked
 ), lines AS (
-    SELECT doc_id, h, place, tokens, len(tokens) AS n, array_to_string(tokens[:3], ' ') AS head, array_to_string(tokens, ' ') AS form
-    FROM tokenized WHERE len(tokens) >= 3
+    SELECT doc_id, h, place, tokens, n, general, array_to_string(tokens[:3], ' ') AS head,
+        CASE WHEN general THEN 'g ' || array_to_string(tokens, ' ') ELSE 'l ' || array_to_string(raw, ' ') END AS form
+    FROM told
 ), leaves AS (
-    SELECT n, head FROM lines GROUP BY n, head HAVING min(doc_id) < max(doc_id) AND min(form) < max(form)
+    SELECT n, head FROM lines WHERE general GROUP BY n, head HAVING min(doc_id) < max(doc_id) AND min(form) < max(form)
 ), forms AS (
     SELECT n, head, form, any_value(tokens) AS tokens, min(doc_id) AS low, max(doc_id) AS high
-    FROM lines JOIN leaves USING (n, head) GROUP BY n, head, form
+    FROM lines JOIN leaves USING (n, head) WHERE general GROUP BY n, head, form
 ), words AS (
     SELECT n, head, form, low, high, place, tokens[place + 1] AS token
     FROM (SELECT *, unnest(range(0, n)) AS place FROM forms)
-), constants AS (
-    SELECT n, head, place, token FROM words GROUP BY n, head, place, token HAVING min(low) < max(high)
+), counts AS (
+    SELECT n, head, place, token, CASE WHEN min(low) < max(high) THEN count(*) ELSE 0 END AS forms FROM words GROUP BY n, head, place, token
+), ranked AS (
+    SELECT form, list({'token': token, 'forms': forms} ORDER BY place) AS own,
+        list(forms ORDER BY forms DESC) FILTER (WHERE token <> '<*>') AS by_forms
+    FROM words JOIN counts USING (n, head, place, token) GROUP BY form
+), bounded AS (
+    SELECT form, own, 0.5 * by_forms[CAST(ceil(len(own) * 0.7::DOUBLE) AS INTEGER)] AS least FROM ranked
 ), general AS (
-    SELECT w.form, string_agg(CASE WHEN c.token IS NULL THEN '<*>' ELSE w.token END, ' ' ORDER BY w.place) AS template
-    FROM words w LEFT JOIN constants c USING (n, head, place, token)
-    GROUP BY w.form
-    HAVING count(*) FILTER (WHERE c.token IS NULL) > 0
-        AND count(*) FILTER (WHERE c.token IS NOT NULL AND w.token <> '<*>') >= 0.7 * count(*)
+    SELECT form, array_to_string(list_transform(own, lambda w: CASE WHEN w.forms < least THEN '<*>' ELSE w.token END), ' ') AS template
+    FROM bounded WHERE len(list_filter(own, lambda w: w.token <> '<*>' AND w.forms < least)) > 0
 ), literal AS (
-    SELECT form, min(doc_id) AS low, max(doc_id) AS high, any_value(n) AS n, any_value(len(list_filter(tokens, lambda t: t <> '<*>'))) AS fixed
-    FROM lines GROUP BY form
+    SELECT form, min(doc_id) AS low, max(doc_id) AS high FROM lines GROUP BY form
 ), shared AS (
     SELECT template, min(low) AS first FROM literal JOIN general USING (form)
     GROUP BY template HAVING count(*) >= 3 AND min(low) < max(high)
 ), firsts AS (
-    SELECT form, coalesce(shared.first, CASE WHEN low < high AND fixed >= 0.5 * n THEN low END) AS first
+    SELECT form, coalesce(shared.first, CASE WHEN low < high THEN low END) AS first
     FROM literal LEFT JOIN general USING (form) LEFT JOIN shared USING (template)
 ), gone AS (
     SELECT DISTINCT doc_id, h, place, TRUE AS gone FROM lines JOIN firsts USING (form) WHERE doc_id <> first

@@ -67,10 +67,15 @@ def test_short_and_digit_lines_go_where_they_recur_as_they_are(spark):
     assert texts(spark, rows) == [(1, rows[0][1]), (2, "\nkept 8\n12 34 57\nown")]
 
 
-def test_rules_of_the_sql_leave_short_lines(spark):
-    df = spark.createDataFrame([(i, "Les.\nthis line stands twice", "x", "y") for i in (1, 2)], SCHEMA)
-    out = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in without_templates(df, counts=True, sql_rules=True).collect()}
-    assert out == {1: ("Les.\nthis line stands twice", 0), 2: ("Les.", 1)}
+def test_counts_of_lines(spark):
+    df = spark.createDataFrame([(i, "Les.\nthis line stands twice\n\nonly in " + "ab"[i - 1], "x", "y") for i in (1, 2)], SCHEMA)
+    out = {r["doc_id"]: (r["text"], r["n_lines"], r["n_dropped"]) for r in without_templates(df, counts=True).collect()}
+    assert out == {1: ("Les.\nthis line stands twice\n\nonly in a", 4, 0), 2: ("\nonly in b", 4, 2)}
+
+
+def test_a_line_of_a_million_characters(spark):
+    long = "word " * 100_000 + "end" * 200_000
+    assert texts(spark, [(1, long), (2, f"{long}\nown"), (3, "x" * 1_000_000)]) == [(1, long), (2, "own"), (3, "x" * 1_000_000)]
 
 
 @pytest.mark.parametrize("n", [10, 100_000])
