@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from frostline.llm.common import col
 
-#: Documents of each language that the sample has at most, and languages that are learned at most (the commonest).
-PER_LANGUAGE, LANGUAGES = 600, 200
+#: Documents of each language that the sample has at most, and of all languages; where there are so many that the second
+#: bound is reached, each language has fewer, but no fewer than the last number.
+PER_LANGUAGE, SAMPLE, FEWEST = 600, 120_000, 20
 #: Hash buckets (as a power of two) and numbers of an embedding.
 BITS, DIMENSIONS = 14, 16
 #: Accepted answers that may be wrong on the calibration documents, and right ones that may be lost to that end; an
@@ -30,6 +31,8 @@ UNKNOWN = "und"
 _ORDERS = (2, 3, 4)
 #: Words of the short passages that are trained on beside whole documents.
 _PASSAGES = (2, 6, 20, 60)
+#: Whole documents are trained on if they have fewer different buckets than this. One in so many documents is kept aside.
+_SHORT, _ASIDE = 400, 5
 _STEP = 1 << 20
 
 
@@ -103,8 +106,15 @@ class LanguageModel:
         return self.languages[best], float(p[best]), bool(p[best] >= self.threshold)
 
 
+def _aside(key: int) -> bool:
+    return key % _ASIDE == 0
+
+
 def _examples(docs: DataFrame, bits: int) -> DataFrame:
-    """Of each document, its bucket counts and those of a few short passages from anywhere in it, as sparse rows."""
+    """Of each document, its bucket counts and those of a few short passages from anywhere in it, in one packed row.
+
+    A whole long document is left out unless it is kept aside for calibration, as no training looks at it.
+    """
 
     def view(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,18 +126,36 @@ def _examples(docs: DataFrame, bits: int) -> DataFrame:
                 for n in _PASSAGES:
                     at = int(draw.integers(0, max(1, len(words) - n + 1)))
                     views.append(" ".join(words[at : at + n]))
+                sizes, buckets, counted = [], [], []
                 for i, part in enumerate(views):
                     counts = subword_counts(part, bits)
-                    if counts is not None:
-                        at = np.flatnonzero(counts)
-                        rows.append((key, lang, i, at.astype("<u4").tobytes(), counts[at].astype("<f4").tobytes()))
-            columns = list(zip(*rows)) if rows else [()] * 5
-            types = (pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names=["key", "lang", "view", "buckets", "counts"]
-            )
-
-    return docs.mapInArrow(view, "key long, lang string, view int, buckets binary, counts binary")
+                    at = np.flatnonzero(counts) if counts is not None else ()
+                    if not i and len(at) >= _SHORT and not _aside(key):
+                        at = ()
+                    sizes.append(len(at))
+                    if len(at):
+                        buckets.append(at.astype("<u4"))
+                        counted.append(counts[at].astype("<f4"))
+                if buckets:
+                    packed = np.concatenate([np.array(sizes, "<u4"), *buckets]).tobytes() + np.concatenate(counted).tobytes()
+                    rows.append((key, lang, packed))
+            columns = list(zip(*rows)) if rows else [()] * 3
+            types = (pa.int64(), pa.string(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "lang", "views"])
+
+    return docs.mapInArrow(view, "key long, lang string, views binary")
+
+
+def _unpacked(views: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number, buckets and counts of a document's views."""
+    n = 1 + len(_PASSAGES)
+    sizes = np.frombuffer(views, "<u4", n)
+    total = int(sizes.sum())
+    buckets, counts = np.frombuffer(views, "<u4", total, 4 * n), np.frombuffer(views, "<f4", total, 4 * (n + total))
+    ends = np.cumsum(sizes)
+    for i, (end, size) in enumerate(zip(ends, sizes)):
+        if size:
+            yield i, buckets[end - size : end], counts[end - size : end]
 
 
 def train(
@@ -146,37 +174,36 @@ def train(
     """Learn from a sample of the ``usable`` labelled documents: ``per_language`` of each language at most.
 
     A document is in the sample if a hash of its id and text is low enough, so reruns learn alike. Documents without
-    text or label are not learned from; repeated rows may come in repeatedly.
+    text or label are not learned from; repeated rows come in once. All labels are learned.
     """
     rows = docs.select(
         F.xxhash64(col(doc_id), col(text)).alias("key"), col(lang).cast("string").alias("lang"), col(text).alias("text"),
         (F.lit(True) if usable is None else usable).alias("usable"),
     ).filter("usable and lang is not null and text is not null")
-    known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    known = rows.groupBy("lang").count().orderBy("lang").collect()
     if not known:
         return LanguageModel((), np.zeros((1 << bits, 0), np.float32), np.zeros(0), 1.0, 0.0, bits)
-    share = {r["lang"]: min(1.0, 1.3 * per_language / r["count"]) for r in known}
+    per_language = min(per_language, max(FEWEST, SAMPLE // len(known)))
+    share = {r["lang"]: min(1.0, (1.3 * per_language + 20) / r["count"]) for r in known}
     bound = F.create_map(*[F.lit(x) for k, v in share.items() for x in (k, v * 2.0**31)])
-    drawn = rows.filter(F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(2**31)) < bound[F.col("lang")])
-    found = _examples(drawn.select("key", "lang", "text").limit(2 * per_language * len(known)), bits).collect()
+    drawn = rows.filter(F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(2**31)) < bound[F.col("lang")]).drop("usable")
+    # A hash draws some more than are wanted; repeated rows have one hash, and come once. All tasks get a part of them.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = _examples(drawn.repartition(tasks, "key").dropDuplicates(["key", "lang"]), bits).collect()
 
-    by_lang: dict[str, dict[int, list]] = {}
+    by_lang: dict[str, dict[int, bytes]] = {}
     for r in found:
-        by_lang.setdefault(r["lang"], {}).setdefault(r["key"], []).append(r)
+        by_lang.setdefault(r["lang"], {})[r["key"]] = bytes(r["views"])
+    del found
     languages = tuple(sorted(by_lang))
     learned, kept = [], []
     for i, name in enumerate(languages):
-        chosen = sorted(by_lang[name])[:per_language]
-        for j, key in enumerate(chosen):
-            for r in by_lang[name][key]:
-                x = np.frombuffer(r["buckets"], "<u4"), np.frombuffer(r["counts"], "<f4"), i
-                calibrates = j % 5 == 4
-                if calibrates:
-                    kept.append((r["view"], x))
-                elif r["view"]:
-                    learned.append(x)
-                elif len(r["buckets"]) < 4 * 400:
-                    learned.append(x)
+        for key in sorted(by_lang[name])[:per_language]:
+            for view, buckets, counts in _unpacked(by_lang[name][key]):
+                if _aside(key):
+                    kept.append((view, (buckets, counts, i)))
+                elif view or len(buckets) < _SHORT:
+                    learned.append((buckets, counts, i))
     if not learned:
         return LanguageModel((), np.zeros((1 << bits, 0), np.float32), np.zeros(0), 1.0, 0.0, bits)
     logits, offsets = _descend(learned, len(languages), bits, dimensions, steps, rate, seed)
