@@ -107,6 +107,12 @@ def _counters(digests: DataFrame) -> np.ndarray:
     return out
 
 
+def _rarity(counters: np.ndarray) -> np.ndarray:
+    """The counters in a byte each: as they are up to 127, from there on by their logarithm. Only their order matters."""
+    steps = 128 + 4 * (np.log2(np.maximum(counters, 128)) - 7)
+    return np.where(counters < 128, counters, steps).astype(np.uint8)
+
+
 def _posted(docs: DataFrame, counters: np.ndarray, words: int, percent: int) -> DataFrame:
     """node, n and the prefix (rarest shingles first) of every class with any shingle."""
 
@@ -185,7 +191,7 @@ def linked(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFr
     reachable through similar pairs. ``docs`` has doc_id, text and text_hash."""
     digests = stored(_digests(docs.select("doc_id", "text_hash", "text"), words), "digests")
     members = digests.filter("slice is null")
-    counters = _counters(digests)
+    counters = _rarity(_counters(digests))
     classes = stored(members.filter("n > 0").select("node", "n", "ranges").dropDuplicates(["node"]), "classes")
 
     posts = _posted(docs, counters, words, percent).select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
