@@ -28,6 +28,8 @@ PIECES_PER_TASK = 1_000_000
 END_OF_DOCUMENT = 2
 _VOCABULARY = "byte_bpe_50k"
 _SPECIAL = "<|endoftext|>"
+#: White-space characters in a row from which the encoder's look-ahead is not trusted; it fails at a million.
+_LONG_SPACE = 50_000
 _PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -36,7 +38,7 @@ class TokenIds:
 
     The same merges are run by the byte-pair encoder that is faster on words it has not met. Its pattern's look-ahead
     only matters where two white-space characters meet; other texts do without. Texts that hold the special token's
-    string go to the tokenizer file itself.
+    string, or a run of white space that the look-ahead would run out of stack on, go to the tokenizer file itself.
     """
 
     def __init__(self, vocabulary: str | None = None, ranks: str | None = None) -> None:
@@ -54,16 +56,18 @@ class TokenIds:
         self.general = encoding(pattern)
         self.plain = encoding(pattern.replace(r"\s+(?!\S)|", ""))
         self.doubled_space = re.compile(r"\s\s").search
+        self.long_space = re.compile(rf"\s{{{_LONG_SPACE}}}").search
         self.tokenizer = None
 
     def of(self, text: str) -> list[int]:
-        if _SPECIAL in text:
+        spaced = self.doubled_space(text)
+        if _SPECIAL in text or spaced and self.long_space(text):
             if self.tokenizer is None:
                 from tokenizers import Tokenizer
 
                 self.tokenizer = Tokenizer.from_file(self.vocabulary)
             return self.tokenizer.encode(text, add_special_tokens=False).ids
-        return (self.general if self.doubled_space(text) else self.plain).encode_ordinary(text)
+        return (self.general if spaced else self.plain).encode_ordinary(text)
 
 
 def cut(n_ids: int, size: int = SEQUENCE) -> list[tuple[int, int]]:

@@ -70,3 +70,12 @@ def test_edges(spark):
     assert len(out[out.doc_id == 5]) == 2 and out["doc_id"].isna().sum() == 1
     assert out[out.doc_id == 4]["length"].sum() == 100_002
     assert best_fit.pack_documents(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text", [" " * 10_000_000, "\n" * 10_000_000 + "end", "a" + " " * 60_000 + "b"])
+def test_ids_of_long_white_space(text):
+    ids = IDS.of(text)
+    assert ids[-1:] == REAL.encode(text[-20:], add_special_tokens=False).ids[-1:]
+    if len(text) < 1_000_000:
+        assert ids == REAL.encode(text, add_special_tokens=False).ids
+    assert REAL.decode(ids, skip_special_tokens=False) == text
