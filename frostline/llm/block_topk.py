@@ -54,11 +54,11 @@ class ForwardBlocks:
             fine = (score >= floor) & (self.ids[at] != own)
             ids, scores = np.concatenate((ids, self.ids[at][fine])), np.concatenate((scores, score[fine]))
             if len(ids) > k:
-                best = np.lexsort((ids, -scores))[: 4 * k]
+                best = np.lexsort((ids, -scores))
+                best = best[np.sort(np.unique(ids[best], return_index=True)[1])[:k]]  # an id's best row, then the k best ids
                 ids, scores = ids[best], scores[best]
-                different = np.unique(ids, return_index=True)[1]
-                if len(different) >= k:
-                    floor = max(floor, np.sort(scores[different])[-k])
+                if len(ids) == k:
+                    floor = max(floor, scores[-1])
         best = np.lexsort((ids, -scores))
         ids, scores = ids[best], scores[best]
         first = np.sort(np.unique(ids, return_index=True)[1])[:k]

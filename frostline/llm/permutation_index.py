@@ -79,12 +79,16 @@ def _searcher(pivots: int, k: int, reranked: float, least: int):
             rows = rows.sort_values("vec_id", kind="stable")
             ids, body = rows["vec_id"].to_numpy(), _stacked(rows["v"], "<f8")
             files = InvertedFiles(_stacked(rows["pivots"], "<u2"), pivots)
-            take = min(len(ids), max(least, int(np.ceil(reranked * len(ids)))))
-            back = np.arange(len(ids))[::-1]
+            # Ids are ranked, not rows: each by its best row, however many rows share it.
+            starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+            of_id = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(ids)))
+            take = min(len(starts), max(least, int(np.ceil(reranked * len(starts)))))
+            back = np.arange(len(starts))[::-1]
             for query, v, near in zip(asked["vec_id"], _stacked(asked["v"], "<f8"), _stacked(asked["asks"], "<u2")):
-                ranked = files.agreement(near) * len(ids) + back
-                best = np.argpartition(-ranked, take - 1)[:take]
-                best = best[ids[best] != query]
+                ranked = np.maximum.reduceat(files.agreement(near), starts) * len(starts) + back
+                chosen = np.zeros(len(starts), bool)
+                chosen[np.argpartition(-ranked, take - 1)[:take]] = True
+                best = np.flatnonzero(chosen[of_id] & (ids != query))
                 score = (body[best] * v).sum(axis=1)  # equal vectors get equal scores, wherever they stand
                 top = np.lexsort((ids[best], -score))
                 top = top[np.sort(np.unique(ids[best][top], return_index=True)[1])[:k]]

@@ -118,3 +118,22 @@ def test_few_vectors_in_many_rows(spark):
     assert len(answers(permutation_index.search(df, F.col("vec_id") == 40, k=3))[40]) == 3
     _, chosen = vectors.sample(df.withColumnRenamed("embedding", "v"), 2, 256)
     assert sorted(chosen.tolist()) == [[1.0, 0.0], [1.0, 1.0], [1.0, 2.0]]
+
+
+@pytest.mark.parametrize("search", [block_topk.search, permutation_index.search])
+def test_an_id_in_many_rows_counts_once(spark, search):
+    """500 rows of one id, all nearer to the query than any other row, take one place and not all."""
+    draw = np.random.default_rng(8)
+    rows = [(20, [1.0] * 8)] + [(7, (10 + draw.random(8)).tolist()) for _ in range(500)]
+    rows += [(100 + i, draw.random(8).tolist()) for i in range(0, 900) if (100 + i) % 20]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rank", F.lit("clash"))
+    got = answers(search(df, F.col("vec_id") == 20))[20]
+    assert len(got) == 20 and [i for i, _ in got][0] == 7 and len({i for i, _ in got}) == 20
+    by_id = {}
+    for i, v in rows[1:]:
+        score = sum(int(np.floor(64 * x)) * 64 for x in v) if search is block_topk.search else sum(v)
+        by_id[i] = max(by_id.get(i, -np.inf), score)
+    if search is block_topk.search:
+        assert got == sorted(by_id.items(), key=lambda x: (-x[1], x[0]))[:20]
+    else:
+        assert got[0][1] == pytest.approx(by_id[7])
