@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frostline.operators.latest import first_rows
+from frostline.sinks.keyed import KeyedTable
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
@@ -31,13 +32,28 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
     return joined.select([value(c) for c in target.columns])
 
 
+# Keys of the reference tables, and the columns that an upsert changes
+MARKETS = (["market_id"], ["market_name", "latitude", "longitude"])
+PRICES = (["market", "commodity"], ["price_per_kg", "last_updated"])
+ROUTES = (["route_id"], ["distance_km", "estimated_transit_hours"])
+
+
 def upsert_markets(target: DataFrame, source: DataFrame) -> DataFrame:
-    return upsert(target, source, ["market_id"], ["market_name", "latitude", "longitude"])
+    return upsert(target, source, *MARKETS)
 
 
 def upsert_prices(target: DataFrame, source: DataFrame) -> DataFrame:
-    return upsert(target, source, ["market", "commodity"], ["price_per_kg", "last_updated"])
+    return upsert(target, source, *PRICES)
 
 
 def upsert_routes(target: DataFrame, source: DataFrame) -> DataFrame:
-    return upsert(target, source, ["route_id"], ["distance_km", "estimated_transit_hours"])
+    return upsert(target, source, *ROUTES)
+
+
+def upsert_into(table: KeyedTable, source: DataFrame, update: list[str], batch: int | None = None) -> None:
+    """Upsert into a stored table, of which only the buckets that the source's keys fall in are read and replaced.
+
+    Doing it again changes nothing. With a ``batch`` number, a run that broke off can be repeated. Rows whose key holds
+    a NULL match nothing, and are inserted each time.
+    """
+    table.merge(source, lambda held, new: upsert(held, new, table.keys, update), batch)

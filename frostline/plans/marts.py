@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from frostline.functions.numeric import (
@@ -199,7 +199,9 @@ class Marts:
         raw_routes: DataFrame | None = None,
         bands: DataFrame | None = None,
         envelopes: DataFrame | None = None,
+        prices_as_of: Column | None = None,
     ):
+        """``prices_as_of`` is the clock of prices that have none; without it, the time of the query."""
         spark = raw_telemetry.sparkSession
         self.spark = spark
         self.typed = type_readings(raw_telemetry)
@@ -207,7 +209,8 @@ class Marts:
         self.bands, self.envelopes = bands, envelopes
         self.markets = stage_markets(raw_markets or ref.raw_markets(spark))
         self.prices = stage_prices(
-            raw_prices or ref.raw_prices(spark), F.lit("2026-09-21 06:00:00")
+            raw_prices or ref.raw_prices(spark),
+            F.current_timestamp() if prices_as_of is None else prices_as_of,
         )
         self.routes = stage_routes(raw_routes or ref.raw_routes(spark))
 

@@ -83,10 +83,13 @@ def risk_level(score: Column) -> Column:
     )
 
 
-def hours_left(shelf: Column, score: Column) -> Column:
+def exact_hours_left(shelf: Column, score: Column) -> Column:
     left = F.greatest(F.lit(0.05), 1.0 - score / 100.0)
-    hours = F.greatest(F.lit(1.0), shelf * F.pow(left, F.lit(1.6)))
-    return F.when(score.isNotNull(), round_positive(hours, 1))
+    return F.when(score.isNotNull(), F.greatest(F.lit(1.0), shelf * F.pow(left, F.lit(1.6))))
+
+
+def hours_left(shelf: Column, score: Column) -> Column:
+    return round_positive(exact_hours_left(shelf, score), 1)
 
 
 def _this_row() -> Column:

@@ -23,6 +23,7 @@ from frostline.plans import (
 )
 from frostline.plans.marts import Marts, StoredMarts, dim_market
 from frostline.sinks import exports, tables
+from frostline.sinks.keyed import KeyedTable
 from frostline.sources import files, schemas
 from frostline.sources import reference as ref
 from frostline.sources import telemetry as feed
@@ -33,7 +34,7 @@ EVENT_COLUMNS = schemas.EVENT_FIELDS
 
 
 def _marts(spark: SparkSession, sf_dir: str) -> Marts:
-    return Marts(feed.readings(spark, sf_dir))
+    return Marts(feed.readings(spark, sf_dir), prices_as_of=_time())
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,16 +46,27 @@ def _mart_query(build):
     return lambda spark, sf_dir: build(_marts(spark, sf_dir))
 
 
-#: The dashboards' marts of a session and folder.
-_STORED: dict[tuple[str, str], StoredMarts] = {}
+#: The dashboards' marts of a session and folder, and the state of the input that they were made from.
+_STORED: dict[tuple[str, str], tuple[list, StoredMarts]] = {}
+
+
+def _input_state(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, size and time of a table's files."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(place, True)
+    found = []
+    while files.hasNext():
+        status = files.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return sorted(found)
 
 
 def _dashboard(spark: SparkSession, sf_dir: str) -> StoredMarts:
-    """The marts that all dashboard queries of a session read; they are written once."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
-        _STORED[key] = StoredMarts(_marts(spark, sf_dir), tables.work_folder(spark, "marts"))
-    return _STORED[key]
+    """The marts that all dashboard queries of a session read; written once, and anew when the events change."""
+    key, state = (spark.sparkContext.applicationId, sf_dir), _input_state(spark, f"{sf_dir}/events.parquet")
+    if key not in _STORED or _STORED[key][0] != state:
+        _STORED[key] = (state, StoredMarts(_marts(spark, sf_dir), tables.work_folder(spark, "marts")))
+    return _STORED[key][1]
 
 
 def _dashboard_query(build):
@@ -190,30 +202,39 @@ def kafka_payload(spark, sf_dir):
 
 
 def sink_append(spark, sf_dir):
-    """Append two batches of the 16 event columns to the raw table; read it back."""
+    """Append two batches of the 16 event columns to the raw table, one of them twice; read it back."""
     readings = feed.readings(spark, sf_dir)
     path = tables.work_folder(spark, "raw")
     batch = readings.select(*EVENT_COLUMNS)
-    for alarm in (True, False):
+    for alarm in (True, False, False):
         part = readings.filter((F.col("event_type") == "error") == alarm).select(*EVENT_COLUMNS)
-        tables.write_readings(part, path, "timestamp")
+        tables.write_readings(part, path, "timestamp", batch=f"alarm {alarm}")
     return tables.read_readings(batch, path).drop("event_date")
 
 
 def sink_json(spark, sf_dir):
-    """Append two batches as JSON lines; read them back."""
+    """Append two batches as JSON lines, one of them twice; read them back."""
     readings = feed.readings(spark, sf_dir)
     path = tables.work_folder(spark, "json")
     text = doc.iso_time(F.col("timestamp")).alias("timestamp")
-    for alarm in (True, False):
+    for alarm in (True, False, False):
         part = readings.filter((F.col("event_type") == "error") == alarm)
-        tables.append_json(part.select(text, *EVENT_COLUMNS[1:]), path)
+        tables.append_json(part.select(text, *EVENT_COLUMNS[1:]), path, batch=f"alarm {alarm}")
     return files.read_event_lines(spark, path)
 
 
+def _upserted(spark, purpose, target, source, rule):
+    """A stored table after it was filled and upserted into, as read back. The second upsert changes nothing."""
+    keys, update = rule
+    table = KeyedTable(tables.work_folder(spark, purpose), keys, target.schema, buckets=8)
+    for rows in (target, source, source):
+        upsert.upsert_into(table, rows.select(target.columns), update)
+    return table.rows(spark)
+
+
 def upsert_markets(spark, sf_dir):
     readings, markets = feed.readings(spark, sf_dir), staging.stage_markets(ref.raw_markets(spark))
-    return upsert.upsert_markets(markets, feed.observed_markets(readings, markets))
+    return _upserted(spark, "markets", markets, feed.observed_markets(readings, markets), upsert.MARKETS)
 
 
 def upsert_prices(spark, sf_dir):
@@ -226,13 +247,13 @@ def upsert_prices(spark, sf_dir):
         [F.col("last_updated").desc(), F.col("price_per_kg").desc()],
     )
     target = staging.stage_prices(ref.raw_prices(spark), _time())
-    return upsert.upsert_prices(target.withColumnRenamed("price_timestamp", "last_updated"), newest)
+    return _upserted(spark, "prices", target.withColumnRenamed("price_timestamp", "last_updated"), newest, upsert.PRICES)
 
 
 def upsert_routes(spark, sf_dir):
     routes = staging.stage_routes(ref.raw_routes(spark))
     source = feed.observed_routes(feed.readings(spark, sf_dir), routes)
-    return upsert.upsert_routes(routes, source)
+    return _upserted(spark, "routes", routes, source, upsert.ROUTES)
 
 
 def seed_readings(spark, sf_dir):

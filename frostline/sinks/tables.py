@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +31,18 @@ def write_mart(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_readings(df: DataFrame, path: str, clock: str, mode: str = "append") -> None:
+def write_readings(
+    df: DataFrame, path: str, clock: str, mode: str = "append", batch: str | int | None = None
+) -> None:
     """Write readings partitioned by day and sorted by container and time.
 
     The rebalance hint lets Spark cut a crowded day into several files and join the
-    small ones; the sort keeps a container's rows together within a file.
+    small ones; the sort keeps a container's rows together within a file. With a ``batch``
+    key the rows become that batch of the table, all or none, and take the place of any
+    rows the batch had: a job that is repeated leaves one copy.
     """
+    if batch is not None:
+        path, mode = batch_folder(path, batch), "overwrite"
     dated = (
         df.withColumn("event_date", F.to_date(clock))
         .hint("rebalance", "event_date")
@@ -44,12 +51,19 @@ def write_readings(df: DataFrame, path: str, clock: str, mode: str = "append") -
     dated.write.mode(mode).partitionBy("event_date").parquet(path)
 
 
+def batch_folder(path: str, batch: str | int) -> str:
+    """Where a batch of a table lies: a partition of it, named so that no key is taken for a path."""
+    return f"{path.rstrip('/')}/batch={quote(str(batch), safe='')}"
+
+
 def read_readings(df: DataFrame, path: str) -> DataFrame:
-    """Readings written by ``write_readings``: the columns of ``df`` and their day."""
+    """Readings written by ``write_readings``, with or without batches: the columns of ``df`` and their day."""
     schema = StructType([*df.schema.fields, StructField("event_date", DateType())])
-    return df.sparkSession.read.schema(schema).parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path).select(schema.names)
 
 
-def append_json(df: DataFrame, path: str) -> None:
-    """Append rows as JSON, one object per line."""
-    df.write.mode("append").option("ignoreNullFields", False).json(path)
+def append_json(df: DataFrame, path: str, batch: str | int | None = None) -> None:
+    """Append rows as JSON, one object per line; with a ``batch`` key, as that batch, once however often it is written."""
+    mode = "append" if batch is None else "overwrite"
+    path = path if batch is None else batch_folder(path, batch)
+    df.write.mode(mode).option("ignoreNullFields", False).json(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from frostline.sources.schemas import EVENT_SCHEMA, RAW_TABLES
 
@@ -22,7 +23,8 @@ def read_event_arrays(spark: SparkSession, path: str) -> DataFrame:
 
 def read_event_lines(spark: SparkSession, path: str) -> DataFrame:
     """Events from files with one JSON object per line; these can be split."""
-    return spark.read.schema(EVENT_SCHEMA).json(path)
+    schema = StructType.fromDDL(EVENT_SCHEMA)
+    return spark.read.schema(schema).json(path).select(schema.names)
 
 
 def read_reference_csv(spark: SparkSession, path: str, table: str) -> DataFrame:

@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from frostline.functions import documents, numeric
-from frostline.operators.upsert import upsert
+from frostline.operators.upsert import upsert, upsert_into
 from frostline.plans import filters, quality
 from frostline.plans.marts import Marts
 from frostline.sinks import exports, tables
+from frostline.sinks.keyed import KeyedTable
 from frostline.sources import files, schemas
 from frostline.sources import reference as ref
 from frostline.sources import telemetry as feed
@@ -171,6 +172,61 @@ def test_appended_days_are_partitions(spark, tmp_path):
     assert tables.read_readings(readings, str(tmp_path / "raw")).count() == 14
 
 
+def test_a_repeated_batch_leaves_one_copy(spark, tmp_path):
+    readings = feed.seed_readings(spark)
+    raw, lines = str(tmp_path / "raw"), str(tmp_path / "json")
+    for batch in ("2024-01-01/a", 7, "2024-01-01/a"):
+        tables.write_readings(readings, raw, "timestamp", batch=batch)
+        tables.append_json(readings.select("record_id", "container_id"), lines, batch=batch)
+    assert tables.read_readings(readings, raw).columns == [*readings.columns, "event_date"]
+    assert tables.read_readings(readings, raw).count() == spark.read.json(lines).count() == 14
+    # A batch is replaced whole: days that it no longer has are gone.
+    tables.write_readings(readings.limit(0), raw, "timestamp", batch=7)
+    assert tables.read_readings(readings, raw).count() == 7
+
+
+def keyed_rows(table, spark):
+    return sorted(tuple(r) for r in table.rows(spark).collect())
+
+
+def test_stored_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    schema = spark.createDataFrame([], "k string, v long, seen long").schema
+    table = KeyedTable(str(tmp_path / "t"), ["k"], schema, buckets=16)
+    assert table.rows(spark).count() == 0
+    target = spark.createDataFrame([(f"k{i}", i, 1) for i in range(100)], schema)
+    upsert_into(table, target, ["v"])
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "table").glob("*/*.parquet")}
+    assert len({p.parent for p in files}) == 16
+    source = spark.createDataFrame([("k3", -3, 2), ("new", 5, 2)], schema)
+    expected = sorted([(f"k{i}", i if i != 3 else -3, 1) for i in range(100)] + [("new", 5, 2)])
+    for _ in range(2):
+        upsert_into(table, source, ["v"])
+        assert keyed_rows(table, spark) == expected
+    kept = {p.parent for p, at in files.items() if p.exists() and p.stat().st_mtime_ns == at}
+    assert len(kept) >= 14
+
+
+def test_a_merge_that_broke_off_is_repeated_from_its_journal(spark, tmp_path):
+    schema = spark.createDataFrame([], "k long, v long").schema
+    table = KeyedTable(str(tmp_path / "t"), ["k"], schema, buckets=4)
+
+    def add(held, new):
+        return held.unionByName(new).groupBy("k").agg(F.sum("v").alias("v"))
+
+    table.merge(spark.createDataFrame([(i, 1) for i in range(20)], schema), add, batch=0)
+    changes = spark.createDataFrame([(i, 10) for i in range(20)], schema)
+    table.merge(changes, add, batch=1)
+    # As if it had broken off after it deleted a bucket: the journal of the batch still has it whole.
+    gone = next((tmp_path / "t" / "table").glob("_bucket=*"))
+    for file in list(gone.iterdir()):
+        file.unlink()
+    assert table.rows(spark).count() < 20
+    table.merge(changes, add, batch=1)
+    assert keyed_rows(table, spark) == [(i, 11) for i in range(20)]
+    table.merge(spark.createDataFrame([(3, 100)], schema), add, batch=2)
+    assert keyed_rows(table, spark)[3] == (3, 111)
+
+
 def test_work_folder_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = (tables.work_folder(spark, "x") for _ in range(2))
