@@ -30,42 +30,31 @@ def _unpacked(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
 
 
-def _fits(name: str, kind: str) -> Column:
-    """Whether what was sent as a field is of its type. Any value has a text."""
-    sent = F.col(f"_{name}")
-    if kind == "double":
-        return sent.isin("BIGINT", "DOUBLE") | sent.startswith("DECIMAL")
-    return {"bigint": sent == "BIGINT", "boolean": sent == "BOOLEAN"}.get(kind, F.lit(True))
-
-
-def _given(name: str) -> Column:
-    return F.coalesce(F.col(f"_{name}") != "VOID", F.lit(False))
-
-
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """Decode JSON messages, each parsed once; kinds and values of the fields are read from the parsed form.
+    """Decode JSON messages, each parsed once; a broken one keeps its text in ``_corrupt`` instead of failing.
 
-    A field of the wrong kind is NULL. Beside the fields come the kind that was sent for each, named with an underscore,
-    and ``_broken``: the text is no JSON object, or some field has the wrong kind.
+    Texts are decoded as variants, which know what was sent: beside each comes its kind, named with an underscore.
     """
-    parsed = messages.withColumn("_sent", F.try_parse_json("value"))
-    kinds = {f"_{c}": F.schema_of_variant(F.try_variant_get("_sent", f"$.{c}", "variant")) for c in EVENT_TYPES}
-    values = {
-        c: F.when(_fits(c, kind), F.try_variant_get("_sent", f"$.{c}", kind)) for c, kind in EVENT_TYPES.items()
-    }
-    unfit = reduce(lambda a, b: a | b, [_given(c) & ~_fits(c, kind) for c, kind in EVENT_TYPES.items()])
-    no_object = F.col("_sent").isNull() | ~F.ltrim("value").startswith("{")
-    return _unpacked(_unpacked(parsed, kinds), values | {"_broken": no_object | unfit}).drop("_sent")
+    kinds = {c: "variant" if c in TEXTS else kind for c, kind in EVENT_TYPES.items()}
+    schema = ", ".join(f"{c} {kind}" for c, kind in kinds.items()) + ", _corrupt string"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    decoded = messages.select("*", F.inline(F.array(F.from_json("value", schema, options))))
+    return decoded.withColumns(
+        {f"_{c}": F.schema_of_variant(c) for c in TEXTS} | {c: F.col(c).cast("string") for c in TEXTS}
+    )
 
 
 def event_errors() -> Column:
     """Every reason why a decoded message is not a valid event."""
     nothing = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in REQUIRED_FIELDS])
+    broken = F.col("_corrupt").isNotNull()
 
     def absent(name: str) -> Column:
+        # Only a broken message is looked at again, and only for a field that it lacks.
+        given = broken & F.get_json_object("value", f"$.{name}").isNotNull()
         return F.when(
             F.col(name).isNull(),
-            F.when(_given(name), f"invalid {name}").otherwise(f"missing {name}"),
+            F.when(given, f"invalid {name}").otherwise(f"missing {name}"),
         )
 
     clock = F.col("timestamp")
@@ -76,11 +65,10 @@ def event_errors() -> Column:
         for c, (low, high) in LIMITS.items()
     ]
     ranges.append(F.when(~(F.col("quantity_kg") > 0), "quantity_kg out of range"))
-    # A text is made of any value, so its kind tells what was sent.
     for c in TEXTS:
         ranges.append(F.when(F.col(c).isNotNull() & ((F.col(f"_{c}") != "STRING") | (F.trim(c) == "")), f"invalid {c}"))
     details = F.array_compact(F.array(*[absent(c) for c in REQUIRED_FIELDS], *ranges))
-    return F.when(F.col("_broken") & nothing, F.array(F.lit("malformed"))).otherwise(details)
+    return F.when(broken & nothing, F.array(F.lit("malformed"))).otherwise(details)
 
 
 def validate_events(messages: DataFrame) -> DataFrame:
