@@ -21,11 +21,15 @@ def filter_fleet(df: DataFrame, **choices: list[str]) -> DataFrame:
 def filter_recent(df: DataFrame, hours: int, as_of: Column | None = None) -> DataFrame:
     """Readings of the last hours before ``as_of``, by default the newest reading.
 
-    Readings that carry their day are also filtered by it, so that whole days are skipped.
+    Readings that carry their day are also filtered by it, so that whole days are skipped: the newest clock is looked
+    for in the newest day only, and that day is known without reading a column.
     """
-    newest = df.agg(F.max("telemetry_timestamp")).scalar() if as_of is None else as_of
-    start = newest - F.make_dt_interval(hours=F.lit(hours))
-    if "event_date" in df.columns:
+    dated = "event_date" in df.columns
+    if as_of is None:
+        last = df.filter(F.col("event_date") == df.agg(F.max("event_date")).scalar()) if dated else df
+        as_of = last.agg(F.max("telemetry_timestamp")).scalar()
+    start = as_of - F.make_dt_interval(hours=F.lit(hours))
+    if dated:
         df = df.filter(F.col("event_date") >= F.to_date(start))
     return df.filter(F.col("telemetry_timestamp") > start)
 

@@ -279,11 +279,15 @@ class StoredMarts:
         return self._table("dim_market", self.below.market_dim)
 
     @cached_property
-    def readings(self) -> DataFrame:
-        """Partitioned by day."""
+    def dated_readings(self) -> DataFrame:
+        """With the day, by which the table is partitioned."""
         rows, path = self.below.readings, f"{self.folder}/fct_container_health"
         write_readings(rows, path, "telemetry_timestamp", "overwrite")
-        return read_readings(rows, path).select(rows.columns)
+        return read_readings(rows, path)
+
+    @property
+    def readings(self) -> DataFrame:
+        return self.dated_readings.drop("event_date")
 
     @property
     def routes(self) -> DataFrame:

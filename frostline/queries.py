@@ -586,7 +586,7 @@ QUERIES = {
             risk_category=["High Risk", "Critical Risk"],
         )
     ),
-    "filter_recent": _dashboard_query(lambda m: filters.filter_recent(m.readings, 24)),
+    "filter_recent": _dashboard_query(lambda m: filters.filter_recent(m.dated_readings, 24).drop("event_date")),
     "filter_text": lambda s, d: filters.filter_text(
         _console_arbitrage(s, d), "Pun", ["container_id", "commodity", "recommended_market"]
     ),

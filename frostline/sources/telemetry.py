@@ -6,6 +6,8 @@ a batch and on a streaming DataFrame.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +56,26 @@ def events_stream(spark: SparkSession, folder: str, files_per_trigger: int = 100
     )
 
 
+def land_events(events: DataFrame, folder: str, rows: int) -> None:
+    """Add events to a landing folder in files of so many rows, a task's last file of fewer.
+
+    A stream that takes one file at a time then takes as many rows in a batch, whatever size the events came in.
+    """
+    columns = [field.split()[0] for field in EVENTS_SCHEMA.split(", ")]
+    staging = f"{folder.rstrip('/')}/events-{uuid.uuid4().hex}.parquet"
+    events.select(columns).write.option("maxRecordsPerFile", rows).parquet(staging)
+
+
+def row_limited_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The landed events as a stream, a file of ``land_events`` in each batch."""
+    return (
+        spark.readStream.schema(EVENTS_SCHEMA)
+        .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(folder)
+    )
+
+
 def _pick(values: list, index: str) -> str:
     listed = ", ".join(ref.sql_literal(v) for v in values)
     return f"element_at(array({listed}), int({index} % {len(values)} + 1))"

@@ -268,3 +268,15 @@ def test_clock_change_does_not_shift_text(spark):
         assert tuple(row) == ("2024-03-10T02:30:00.500000", "02:30:00", 1710037800)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_the_newest_clock_is_looked_for_in_the_newest_day(spark, small, tmp_path, capsys):
+    readings = Marts(feed.readings(spark, small)).readings
+    path = str(tmp_path / "readings")
+    tables.write_readings(readings, path, "telemetry_timestamp")
+    stored = tables.read_readings(readings, path)
+    recent = filters.filter_recent(stored, 24)
+    recent.explain("formatted")
+    plan = capsys.readouterr().out.replace("\n", " ")
+    assert "ReadSchema: struct<>" in plan and plan.count("event_date") > 3
+    assert recent.count() == filters.filter_recent(readings, 24).count() > 0

@@ -280,3 +280,27 @@ def test_a_batch_rewrites_the_buckets_of_its_containers_only(spark, small, tmp_p
         gone = {p.parent for p in before if table in str(p) and p not in after}
         assert len(gone) == 1 and len(kept) >= 2 and not kept & gone
     same(jobs.current_mart(spark, str(out)), marts.arbitrage)
+
+
+def test_batches_of_ten_rows_equal_one_batch(spark, small, tmp_path):
+    folder, outs = str(tmp_path / "in"), [str(tmp_path / x) for x in ("tens", "one")]
+    events = feed.events(spark, small).orderBy("event_id").limit(50).coalesce(1)
+    feed.land_events(events.limit(30), folder, 10)
+    raw = feed.from_events(feed.row_limited_stream(spark, folder))
+    assert jobs.run_to_end(jobs.ingest(feed.messages(raw).drop("event_id"), outs[0])) == 2
+    feed.land_events(events.filter("event_id not in (%s)" % ", ".join(str(r[0]) for r in events.limit(30).select("event_id").collect())), folder, 10)
+    assert jobs.run_to_end(jobs.ingest(feed.messages(raw).drop("event_id"), outs[0])) == 4
+    counts = {"valid": 0, "dead": 0}
+    for name in counts:
+        for r in jobs.read_output(spark, outs[0], name).groupBy("batch").count().collect():
+            counts[name] += r["count"]
+    assert sum(counts.values()) == 50
+    per_batch = jobs.read_output(spark, outs[0], "valid").select("batch", "record_id").unionByName(jobs.read_output(spark, outs[0], "dead").select("batch", "record_id"))
+    assert {r["count"] for r in per_batch.groupBy("batch").count().collect()} == {10}
+    once = feed.from_events(feed.events(spark, small).orderBy("event_id").limit(50))
+    whole = spark.readStream.schema(feed.events(spark, small).schema)
+    feed.events(spark, small).orderBy("event_id").limit(50).coalesce(1).write.parquet(str(tmp_path / "once"))
+    job = jobs.ingest(feed.messages(feed.from_events(whole.parquet(str(tmp_path / "once")))).drop("event_id"), outs[1])
+    assert jobs.run_to_end(job) == 0 and once.count() == 50
+    for name in counts:
+        same(*[jobs.read_output(spark, out, name).drop("batch") for out in outs])
