@@ -1,8 +1,9 @@
 """The rows before each row, without sorting a hot key in one task.
 
-A plain window puts all rows of a key into one task. Here rows are first dealt out in ranges of key and order, so that
-a range holds about as many rows as any other, whatever the keys, the clocks and their gaps are. Each key's rows in a
-range are sorted apart, and get the last rows of the key's ranges before. The result is the one the plain window gives.
+A plain window puts all rows of a key into one task. That is what happens to keys of so many rows at most; only the rows of
+hotter keys are written in ranges of key and order, so that a range holds about as many rows as any other, whatever
+the keys, the clocks and their gaps are. Each key's rows in a range are sorted apart, and get the last rows of the key's
+ranges before. The result is the one the plain window gives.
 """
 
 from __future__ import annotations
@@ -39,8 +40,26 @@ def with_previous(
 ) -> DataFrame:
     """Add ``previous_1`` .. ``previous_<count>``: structs of the rows before, nearest first.
 
-    Rows of one key come by ``order``, nulls first.
+    Rows of one key come by ``order``, nulls first. Keys of more than ``rows_per_chunk`` rows are found when the plan is
+    built, by counting the key column; there are at most as many as the table has times so many rows.
     """
+    found = df.groupBy(key).count().filter(F.col("count") > rows_per_chunk).select(key).collect()
+    hot = [r[0] for r in found]
+    if not hot:
+        return _in_key(df, key, order, columns, count)
+    is_hot = F.coalesce(F.col(key).isin([k for k in hot if k is not None]), F.lit(False))
+    if None in hot:
+        is_hot = is_hot | F.col(key).isNull()
+    rest = _in_key(df.filter(~is_hot), key, order, columns, count)
+    return rest.unionByName(_over_chunks(df.filter(is_hot), key, order, columns, count, rows_per_chunk))
+
+
+def _in_key(df: DataFrame, key: str, order: list[str], columns: list[str], count: int) -> DataFrame:
+    window = Window.partitionBy(key).orderBy(*order)
+    return df.withColumns({f"previous_{i}": F.lag(F.struct(*columns), i).over(window) for i in range(1, count + 1)})
+
+
+def _over_chunks(df: DataFrame, key: str, order: list[str], columns: list[str], count: int, rows_per_chunk: int) -> DataFrame:
     group = [key, "_chunk"]
     row = F.struct(*columns)
     cut = chunked(df, key, order, rows_per_chunk)
