@@ -301,6 +301,17 @@ BODIES = {
       UNION ALL SELECT 'dim_commodity_prices', count(*) FROM ref_price
       UNION ALL SELECT 'dim_markets', count(*) FROM ref_market
       UNION ALL SELECT 'dim_routes', count(*) FROM ref_route""",
+    "export_contents": """
+      SELECT 'stg_sensor_telemetry' AS table_name, container_id AS name, commodity AS says,
+        CAST(temperature_c AS DOUBLE) AS amount, CAST(quantity_kg AS DOUBLE) AS other_amount FROM tele
+      UNION ALL SELECT 'fct_container_health', container_id, risk_level, CAST(spoilage_risk_score AS DOUBLE),
+        CAST(time_to_spoilage_hours AS DOUBLE) FROM desk_rows
+      UNION ALL SELECT 'fct_spoilage_arbitrage', container_id, action, CAST(spoilage_arbitrage_inr AS DOUBLE),
+        CAST(reroute_expected_value AS DOUBLE) FROM desk_rows
+      UNION ALL SELECT 'dim_commodity_prices', market, commodity, CAST(price_per_kg AS DOUBLE), CAST(price_per_kg AS DOUBLE) FROM ref_price
+      UNION ALL SELECT 'dim_markets', market_id, market_name, CAST(latitude AS DOUBLE), CAST(longitude AS DOUBLE) FROM ref_market
+      UNION ALL SELECT 'dim_routes', route_id, destination, CAST(distance_km AS DOUBLE),
+        CAST(estimated_transit_hours AS DOUBLE) FROM ref_route""",
     "export_results": "SELECT * FROM desk_rows",
     "decision_report": "SELECT container_id, commodity, "
     + ", ".join(

@@ -261,8 +261,8 @@ def seed_readings(spark, sf_dir):
     return readings.unionByName(feed.seed_readings(spark))
 
 
-def export_bundle(spark, sf_dir):
-    """Write the reporting bundle and count the rows of each table as read back."""
+def _bundle(spark, sf_dir):
+    """Paths of the reporting bundle's tables, written."""
     readings = feed.readings(spark, sf_dir)
     decisions = rolling.decision_columns(
         rolling.rolling_decision(staging.type_readings(readings), ref.DESK)
@@ -273,14 +273,41 @@ def export_bundle(spark, sf_dir):
         "routes": ref.raw_routes(spark),
     }
     folder = tables.work_folder(spark, "bundle")
-    paths = exports.write_bundle(readings, decisions, dimensions, folder)
+    return exports.write_bundle(readings, decisions, dimensions, folder)
+
+
+def export_bundle(spark, sf_dir):
+    """Write the reporting bundle and count the rows of each table as read back."""
     counts = [
         spark.read.parquet(path).agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"))
-        for name, path in paths.items()
+        for name, path in _bundle(spark, sf_dir).items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
+#: Of each table of the bundle: what a row is of, what it says, and two amounts.
+_CONTENTS = {
+    "stg_sensor_telemetry": ("container_id", "commodity", "temperature_c", "quantity_kg"),
+    "fct_container_health": ("container_id", "risk_level", "spoilage_risk_score", "time_to_spoilage_hours"),
+    "fct_spoilage_arbitrage": ("container_id", "recommendation_action", "spoilage_arbitrage_inr", "reroute_expected_value"),
+    "dim_commodity_prices": ("market", "commodity", "price_per_kg", "price_per_kg"),
+    "dim_markets": ("market_id", "market_name", "latitude", "longitude"),
+    "dim_routes": ("route_id", "destination", "distance_km", "estimated_transit_hours"),
+}
+
+
+def export_contents(spark, sf_dir):
+    """Rows of every table of the written bundle, as read back."""
+    paths = _bundle(spark, sf_dir)
+
+    def rows(table, name, says, one, other):
+        amounts = [F.col(c).cast("double").alias(a) for c, a in ((one, "amount"), (other, "other_amount"))]
+        read = spark.read.parquet(paths[table])
+        return read.select(F.lit(table).alias("table_name"), F.col(name).alias("name"), F.col(says).alias("says"), *amounts)
+
+    return reduce(DataFrame.unionByName, [rows(table, *columns) for table, columns in _CONTENTS.items()])
+
+
 def export_results(spark, sf_dir):
     """Write the decisions as JSON and read them back."""
     decisions = _decisions(spark, sf_dir)
@@ -542,6 +569,7 @@ QUERIES = {
     "export_health": lambda s, d: exports.export_health(_decisions(s, d)),
     "export_arbitrage": lambda s, d: exports.export_arbitrage(_decisions(s, d)),
     "export_bundle": export_bundle,
+    "export_contents": export_contents,
     "export_results": export_results,
     "decision_report": lambda s, d: exports.decision_report(_decisions(s, d)),
     "validate_events": validate_events,
