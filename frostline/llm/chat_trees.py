@@ -66,7 +66,8 @@ def paths(messages: DataFrame, tree: str, node: str, parent: str, score: str | N
     """tree, leaf, node and depth (1 at the root) of the messages on the best branches of each tree; None takes all.
 
     Branches rank by the mean score of their messages, then the longer, then the smaller leaf. An unknown parent makes
-    a root. Messages without id take no part; nor do those on a cycle. A null tree is a tree.
+    a root. Messages without id take no part; nor do those on a cycle. A null tree is a tree. Without messages there are
+    no paths. Other columns are not read, whatever their names.
     """
     levels = _jumps(_nodes(messages, tree, node, parent, score))
     full = levels[-1].filter("up is null")
@@ -90,7 +91,9 @@ def conversations(
 ) -> DataFrame:
     """tree, leaf, formatted and loss (an array of start and stop in code points) of each chosen path.
 
-    Null texts and roles are empty. Rows that repeat a message's id count once, with the smallest role and text.
+    Null texts and roles are empty. Rows that repeat a message's id count once, with the smallest role and text. A
+    conversation is one text, so it must fit one value; single texts may be of any length below that. No messages, no
+    conversations.
     """
     chosen = paths(messages, tree, node, parent, score, branches)
     body = F.struct(F.coalesce(col(role), F.lit("")).alias("role"), F.coalesce(col(text), F.lit("")).alias("text"))
@@ -128,7 +131,8 @@ def under_mask(formatted: Column, loss: Column) -> Column:
 def chained(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """conv, place, reply_to, role and text of plain conversations: each row, by turn, answers the one before.
 
-    Rows of one turn follow by role and text; repeated rows are turns of their own.
+    Rows of one turn follow by role and text; repeated rows are turns of their own. A null turn comes first, and rows
+    without conversation are one conversation. An empty table gives no rows; other columns are not read.
     """
     rows = turns.select(col(conv).alias("conv"), col(turn).alias("turn"), col(role).alias("role"), col(text).alias("text"))
     order = Window.partitionBy("conv").orderBy("turn", "role", "text")

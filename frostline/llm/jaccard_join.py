@@ -256,7 +256,8 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
 
     A document's set holds its distinct shingles; fewer words than a shingle has are one shingle. Null, empty and blank
     texts have an empty set and are linked with nothing, not even with one another. Rows with the same id and different
-    texts are documents of their own. A null id stands in no component_id unless nothing else does.
+    texts are documents of their own. A null id stands in no component_id unless nothing else does. Texts of any length
+    are read whole, an empty table gives no rows, and other columns are not read.
     """
     members, links = linked(_prepared(docs, doc_id, text), words, percent)
     least = members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
@@ -271,7 +272,8 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each group of similar documents: the one with the smallest id, then text hash.
 
-    Rows without words are all kept, as they are linked with nothing. All columns stay as they were.
+    Rows without words are all kept, as they are linked with nothing. All columns stay as they were, whatever their
+    names. Of rows that share id and text and differ elsewhere one stays, no matter which. An empty table gives no rows.
     """
     members, links = linked(_prepared(docs, doc_id, text), words, percent)
     # Groups are told apart by node, not by the smallest id, which rows of different texts may share.

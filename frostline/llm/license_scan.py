@@ -98,7 +98,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
     Words are runs of a-z and 0-9, A to Z lower-cased; share is the part of the template's different shingles that the
     passage has. Templates of fewer than five words are not looked for. Null, empty and short texts match nothing.
     A passage that repeats after more words than the template has is reported at each place; copies that are closer come
-    as one row that spans them, as in the checking SQL. Rows with the same id and text are one document.
+    as one row that spans them, as in the checking SQL. Rows with the same id and text are one document. An empty table
+    gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
     wanted = _templates(spark, templates)
