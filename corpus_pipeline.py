@@ -1,7 +1,8 @@
 """The corpus pipeline: from raw documents to packed training sequences.
 
 Each stage is a function of (spark, docs, sf_dir) over all that its predecessor kept; its result is written as Parquet
-and read again. All but the last keep the columns of documents.
+and read again. All but the last keep the columns of documents, and further columns of any name. Texts are read whole,
+however long, and an empty table goes through every stage.
 """
 
 from __future__ import annotations
@@ -14,31 +15,34 @@ from frostline.llm.common import stored
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised with enough certainty."""
+    """Documents whose language is recognised with enough certainty; null and letterless texts go, repeated rows stay."""
     return language_id.accepted(docs)
 
 
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier document has too; those left without a word go.
 
-    n_chars follows the text.
+    n_chars follows the text. Rows with one id are one document; rows without id are told by their text.
     """
     shorter = line_templates.without_templates(docs).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return shorter.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a Jaccard similarity of 0.8 or more of five-word shingles."""
+    """One document of each group linked by a Jaccard similarity of 0.8 or more of five-word shingles: the smallest id.
+
+    Repeated rows are copies too; texts without a word are linked with nothing, and stay.
+    """
     return jaccard_join.one_of_each(docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them. A null source is a source; null texts have no words."""
     return cube_mixing.mixed(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every document's pieces in sequences of 1024 tokens."""
+    """The place of every document's pieces in sequences of 1024 tokens. A null or empty text is one piece of one token."""
     return best_fit.pack_documents(docs)
 
 
