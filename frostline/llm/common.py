@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +35,34 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, most)
 
 
+#: Where the paths of new working tables are noted, while someone wants to know them.
+_NOTED: list[list[str]] = []
+
+
+@contextmanager
+def noted_tables() -> Iterator[list[str]]:
+    """The paths of the working tables that are written meanwhile."""
+    _NOTED.append([])
+    try:
+        yield _NOTED[-1]
+    finally:
+        _NOTED.pop()
+
+
+def drop_tables(spark: SparkSession, paths: list[str], docs: DataFrame) -> None:
+    """Delete working tables, unless ``docs`` still reads any of them."""
+    if paths and not any(path.rpartition("/")[2] in file for file in docs.inputFiles() for path in paths):
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a working table and return it as read back: lineage ends here, and a lost executor costs nothing."""
     bounded_batches(df.sparkSession)
     path = f"{work_root(df.sparkSession)}/{purpose}-{uuid.uuid4().hex}"
+    for paths in _NOTED:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
