@@ -7,18 +7,44 @@ however long, and an empty table goes through every stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frostline.llm import best_fit, cube_mixing, jaccard_join, language_id, line_templates
-from frostline.llm.common import stored
+from frostline.llm.common import drop_tables, noted_tables, stored
+
+#: Working tables of the stages that another one follows.
+_made: dict[int, list[str]] = {}
+
+
+def _stage(place: int) -> Callable:
+    """A stage at its place in the pipeline. The result of the one before has been written by the time it begins, so the
+    working tables of that one go."""
+
+    def placed(function: Callable) -> Callable:
+        @wraps(function)
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            drop_tables(spark, _made.pop(place - 1, []), docs)
+            with noted_tables() as made:
+                out = function(spark, docs, sf_dir)
+            _made[place] = made
+            return out
+
+        return run_stage
+
+    return placed
 
 
+@_stage(0)
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised with enough certainty; null and letterless texts go, repeated rows stay."""
     return language_id.accepted(docs)
 
 
+@_stage(1)
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier document has too; those left without a word go.
 
@@ -28,6 +54,7 @@ def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return shorter.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+@_stage(2)
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a Jaccard similarity of 0.8 or more of five-word shingles: the smallest id.
 
@@ -36,11 +63,13 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return jaccard_join.one_of_each(docs)
 
 
+@_stage(3)
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them. A null source is a source; null texts have no words."""
     return cube_mixing.mixed(docs)
 
 
+@_stage(4)
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every document's pieces in sequences of 1024 tokens. A null or empty text is one piece of one token."""
     return best_fit.pack_documents(docs)
