@@ -68,3 +68,25 @@ def test_empty_tables_go_through(spark, small, tmp_path):
     spark.read.parquet(f"{small}/conversations.parquet").limit(0).write.parquet(f"{tmp_path}/conversations.parquet")
     for name, query in QUERIES.items():
         assert query(spark, str(tmp_path)).count() == (name == "op4_chat_trees"), name
+
+
+def test_working_tables_go_when_the_next_stage_begins(spark, small):
+    from frostline.llm.common import work_root
+
+    def tables():
+        place = spark._jvm.org.apache.hadoop.fs.Path(work_root(spark))
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        return {str(f.getPath().getName()) for f in files.listStatus(place)}
+
+    docs = stored(spark.read.parquet(f"{small}/documents.parquet"), "whole")
+    names = [f for _, f in corpus_pipeline.STAGES]
+    shorter = names[1](spark, docs, small)
+    of_lines = tables()
+    rows = sorted(shorter.collect())
+    again = names[2](spark, shorter, small)  # not written in between: what it reads stays
+    assert of_lines <= tables() and sorted(shorter.collect()) == rows and again.count() > 0
+    written = stored(names[1](spark, docs, small), "written")
+    before = tables()
+    names[2](spark, written, small)
+    gone = before - tables()
+    assert gone and not any(name.startswith(("written", "whole")) for name in gone)
