@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import datetime, timezone
 
-from pyspark.sql import Row
+from pyspark.sql import Column, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
@@ -48,38 +49,54 @@ class TrailingRows(StatefulProcessor):
         pass
 
 
+#: Readings are remembered in bundles: a span of clocks, and a share of the readings in it by hash.
+BUNDLE_MINUTES = 10
+BUNDLE_SHARES = 64
+
+
+def bundle_of_reading(container: str = "container_id", clock: str = "timestamp") -> Column:
+    """The bundle that a reading is remembered in."""
+    slots = 60 // BUNDLE_MINUTES
+    slot = F.unix_date(F.to_date(clock)).cast("long") * (24 * slots) + F.hour(clock) * slots
+    slot += F.floor(F.minute(clock) / BUNDLE_MINUTES)
+    return slot * BUNDLE_SHARES + F.pmod(F.xxhash64(container, clock), F.lit(BUNDLE_SHARES))
+
+
 class NewestOfReading(StatefulProcessor):
-    """Passes a reading's newest row on, by ingestion and record id, if it is newer than any before.
+    """Names the readings of a batch whose newest row is late, and those that have none newer than a row before.
 
-    State: that row's ingestion and record id, until the watermark has gone past the reading's clock. The watermark is
-    the newest clock seen less the delay; a row behind it is late, and remembered no more.
+    State: a bundle's readings with the newest row's ingestion and record id, until the watermark has gone past the
+    bundle's clocks; a batch adds the readings that it brings. The watermark is the newest clock seen less the delay; a row
+    behind it is late, and remembered no more. Readings share state because each key costs calls and an Arrow batch.
     """
 
-    def __init__(self, columns: list[str], known_schema: str):
-        self.columns, self.known_schema = columns, known_schema
+    COLUMNS = ("container_id", "timestamp", "ingestion_timestamp", "record_id")
+
+    def __init__(self, known_schema: str):
+        self.known_schema = known_schema
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.known = handle.getValueState("known", self.known_schema)
+        self.known = handle.getListState("known", self.known_schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        out = Row(*self.columns, "is_late")
-        if key[0] is None or key[1] is None:  # cannot be told from another
-            for r in rows:
-                yield out(*[r[c] for c in self.columns], False)
-            return
-        known = tuple(self.known.get()) if self.known.exists() else None
-        best = max(rows, key=lambda r: _nulls_first(r["ingestion_timestamp"], r["record_id"]))
-        own = (best["ingestion_timestamp"], best["record_id"])
-        if known is not None and _nulls_first(*own) <= _nulls_first(*known):
-            return
-        clock = _milliseconds(key[1])
-        late = clock < timerValues.getCurrentWatermarkInMs()
-        if not late:
-            self.known.update(own)
-            if known is None:
-                self.handle.registerTimer(clock + 1)
-        yield out(*[best[c] for c in self.columns], late)
+        out, best, known = Row("container_id", "timestamp", "_late"), {}, {}
+        for r in rows:
+            _keep_newest(best, tuple(r[c] for c in self.COLUMNS))
+        for row in self.known.get():
+            _keep_newest(known, row)
+        added, watermark = [], timerValues.getCurrentWatermarkInMs()
+        for reading, (age, row) in best.items():
+            if reading in known and age <= known[reading][0]:
+                yield out(*reading, False)
+            elif _milliseconds(reading[1]) < watermark:
+                yield out(*reading, True)
+            else:
+                added.append(row)
+        if added:
+            self.known.appendList(added)
+            if not known:
+                self.handle.registerTimer((key[0] // BUNDLE_SHARES + 1) * BUNDLE_MINUTES * 60_000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.known.clear()
@@ -89,6 +106,13 @@ class NewestOfReading(StatefulProcessor):
         pass
 
 
+def _keep_newest(readings: dict, row: tuple) -> None:
+    """Put a row (container, clock, ingestion, record id) in its reading's place if it is newer than what is there."""
+    reading, age = row[:2], _nulls_first(*row[2:])
+    if reading not in readings or age > readings[reading][0]:
+        readings[reading] = age, row
+
+
 def _milliseconds(clock: datetime) -> int:
     """Since 1970, of a clock without zone."""
     since = clock.replace(tzinfo=timezone.utc) - datetime(1970, 1, 1, tzinfo=timezone.utc)

@@ -13,6 +13,7 @@ from frostline.plans import rolling, staging
 from frostline.plans.marts import Marts
 from frostline.sources import telemetry as feed
 from frostline.streaming import jobs
+from frostline.streaming.state import BUNDLE_SHARES, bundle_of_reading
 
 FILES = 4
 
@@ -251,6 +252,22 @@ def test_state_of_readings_goes_after_the_delay(spark, tmp_path):
     assert jobs.fresh_readings(spark, out, spark.read.schema(schema).parquet(str(folder)).schema).count() == 160
 
 
+def test_readings_share_the_keys_of_their_state(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    schema = "record_id string, ingestion_timestamp timestamp_ntz, timestamp timestamp_ntz, container_id string"
+    start = datetime(2024, 1, 1)
+    rows = [(f"r{i}", start, start + timedelta(seconds=i % 900), f"c{i}") for i in range(2000)]
+    spark.createDataFrame(rows, schema).write.parquet(str(folder))
+    raw = spark.readStream.schema(schema).parquet(str(folder))
+    query = jobs.dedup_stream(raw, out)
+    jobs.run_to_end(query)
+    bundles = spark.read.schema(schema).parquet(str(folder)).select(bundle_of_reading()).distinct().count()
+    progress = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+    # As many timers as bundles also tells that the state of a batch ran once.
+    assert sum(p["customMetrics"]["numRegisteredTimers"] for p in progress) == bundles <= 2 * BUNDLE_SHARES
+    assert jobs.fresh_readings(spark, out, raw.schema).count() == 2000
+
+
 def test_latest_rows_read_a_snapshot_and_the_changes_since(spark, tmp_path):
     folder, out = tmp_path / "in", str(tmp_path / "out")
     start, newest = datetime(2024, 1, 1), {}
