@@ -196,23 +196,33 @@ def rolling_stream(readings: DataFrame, folder: str, seconds: float | None = Non
     source's limit on a batch (files or rows) bounds that task.
     """
     kept = readings.select(STAGED_COLUMNS)
-    row = _fields(kept, *[c for c in kept.columns if c in TrailingRows.COLUMNS])
-    trailing = kept.groupBy("container_id").transformWithState(
-        TrailingRows(kept.columns, _BEFORE, row),
-        f"{_fields(kept, *kept.columns)}, is_late boolean, previous array<struct<{row}>>",
-        "append",
-        "none",
+    remembered = [c for c in kept.columns if c in TrailingRows.COLUMNS]
+    held = (
+        kept.select("container_id", "telemetry_timestamp", "record_id", *remembered)
+        .groupBy("container_id")
+        .transformWithState(
+            TrailingRows(remembered, _BEFORE, _fields(kept, *remembered)),
+            f"{_fields(kept, 'container_id', *remembered)}, _turn int, _newest timestamp_ntz",
+            "append",
+            "none",
+        )
     )
-    before = {f"previous_{i}": F.get("previous", F.lit(i - 1)) for i in range(1, _BEFORE + 1)}
-    scored = rolling.with_previous_score(rolling.with_risk(rolling.add_features(trailing.withColumns(before))))
-    scored = scored.drop("previous", *before)
+    # Whole rows go round Python; a container's remembered rows come before those of the batch.
+    turns = kept.withColumn("_turn", F.lit(None).cast("int")).unionByName(held, allowMissingColumns=True)
 
     def action(batch: DataFrame, number: int) -> None:
-        _put(batch, folder, "scored", number)
-        written = batch.sparkSession.read.schema(batch.schema).parquet(f"{folder}/scored/batch={number}")
+        order = [F.col(c).asc_nulls_first() for c in ("telemetry_timestamp", "record_id")]
+        taken = Window.partitionBy("container_id").orderBy(F.col("_turn").asc_nulls_last(), *order)
+        late = F.col("telemetry_timestamp") < F.max("_newest").over(taken)
+        before = {f"previous_{i}": F.lag(F.struct(*remembered), i).over(taken) for i in range(1, _BEFORE + 1)}
+        rows = batch.withColumns({"is_late": F.coalesce(late, F.lit(False)), **before}).filter("_turn IS NULL")
+        rows = rolling.add_features(rows.drop("_turn", "_newest"))
+        scored = rolling.with_previous_score(rolling.with_risk(rows)).drop(*before)
+        _put(scored, folder, "scored", number)
+        written = batch.sparkSession.read.schema(scored.schema).parquet(f"{folder}/scored/batch={number}")
         _put(rolling.transitions(written), folder, "transitions", number)
 
-    return _each_batch(scored, folder, action, seconds=seconds)
+    return _each_batch(turns, folder, action, seconds=seconds)
 
 
 def scored_readings(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from datetime import datetime, timezone
 
@@ -15,34 +16,38 @@ def _nulls_first(*values) -> tuple:
 
 
 class TrailingRows(StatefulProcessor):
-    """Gives every reading the rows before it, nearest first, and tells whether it is late.
+    """Gives the rows that a container had before a batch, oldest first, each with the container's newest clock till then.
 
-    State: the last rows of a container in the order they were taken, and its newest clock.
+    State: the last rows of a container in the order they were taken, and its newest clock. A batch's rows are taken by
+    clock and record id; no more than the last of them are held in memory.
     """
 
     COLUMNS = ("temperature_c", "humidity_pct", "vibration_g", "commodity")
 
     def __init__(self, columns: list[str], count: int, row_schema: str):
         self.columns, self.count, self.row_schema = columns, count, row_schema
-        self.remembered = [c for c in columns if c in self.COLUMNS]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.tail = handle.getListState("tail", self.row_schema)
         self.newest = handle.getValueState("newest", "clock timestamp_ntz")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = [tuple(r) for r in self.tail.get()] if self.tail.exists() else []
-        newest = self.newest.get()[0] if self.newest.exists() else None
-        out, seen = Row(*self.columns, "is_late", "previous"), newest
-        for r in sorted(rows, key=lambda r: _nulls_first(r["telemetry_timestamp"], r["record_id"])):
+        held = [tuple(r) for r in self.tail.get()]
+        newest = self.newest.get()[0] if held and self.newest.exists() else None
+        out, seen, last = Row("container_id", *self.columns, "_turn", "_newest"), newest, []
+        for turn, row in enumerate(held):
+            yield out(key[0], *row, turn, newest)
+        for number, r in enumerate(rows):
             clock = r["telemetry_timestamp"]
-            late = clock is not None and newest is not None and clock < newest
-            yield out(*[r[c] for c in self.columns], late, held[::-1])
-            held = [*held, tuple(r[c] for c in self.remembered)][-self.count :]
+            taken = (*_nulls_first(clock, r["record_id"]), number)
+            if len(last) < self.count:
+                heapq.heappush(last, (taken, tuple(r[c] for c in self.columns)))
+            elif taken > last[0][0]:
+                heapq.heapreplace(last, (taken, tuple(r[c] for c in self.columns)))
             if clock is not None and (seen is None or clock > seen):
                 seen = clock
-        self.tail.put(held)
-        if seen is not None:
+        self.tail.put([*held, *[row for _, row in sorted(last, key=lambda item: item[0])]][-self.count :])
+        if seen is not None and seen != newest:
             self.newest.update((seen,))
 
     def close(self) -> None:

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import Row
 
 from checks.compare import difference
 from frostline.operators.latest import without_retries
@@ -13,7 +14,7 @@ from frostline.plans import rolling, staging
 from frostline.plans.marts import Marts
 from frostline.sources import telemetry as feed
 from frostline.streaming import jobs
-from frostline.streaming.state import BUNDLE_SHARES, bundle_of_reading
+from frostline.streaming.state import BUNDLE_SHARES, TrailingRows, bundle_of_reading
 
 FILES = 4
 
@@ -268,6 +269,50 @@ def test_readings_share_the_keys_of_their_state(spark, tmp_path):
     assert jobs.fresh_readings(spark, out, raw.schema).count() == 2000
 
 
+class Held:
+    """State of one key, held in memory."""
+
+    def __init__(self, rows=()):
+        self.rows = list(rows)
+
+    def get(self):
+        return iter(self.rows)
+
+    def exists(self):
+        return bool(self.rows)
+
+    def put(self, rows):
+        self.rows = list(rows)
+
+
+class HeldValue(Held):
+    def get(self):
+        return self.rows[0]
+
+    def update(self, value):
+        self.rows = [value]
+
+
+def test_only_remembered_rows_come_out_of_rolling_state():
+    columns, start = list(TrailingRows.COLUMNS), datetime(2024, 1, 1)
+    state = TrailingRows(columns, 5, "")
+    state.tail, state.newest = Held(), HeldValue()
+
+    def batch(numbers):
+        rows = [
+            Row(record_id=f"r{i:04}", telemetry_timestamp=start + timedelta(minutes=i), temperature_c=float(i),
+                humidity_pct=None, vibration_g=0.0, commodity="Mango")
+            for i in numbers
+        ]
+        return list(state.handleInputRows(("c1",), iter(rows), None))
+
+    assert batch(range(999, -1, -1)) == []
+    given = batch([500, 2000])
+    assert [(r["temperature_c"], r["_turn"]) for r in given] == [(995.0 + i, i) for i in range(5)]
+    assert {r["_newest"] for r in given} == {start + timedelta(minutes=999)}
+    assert [r[0] for r in state.tail.rows] == [997.0, 998.0, 999.0, 500.0, 2000.0]
+
+
 def test_latest_rows_read_a_snapshot_and_the_changes_since(spark, tmp_path):
     folder, out = tmp_path / "in", str(tmp_path / "out")
     start, newest = datetime(2024, 1, 1), {}
